@@ -1 +1,8 @@
 """Sensor data warehouse on Spark."""
+
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Task functions travel with their code, so executors need no copy of this package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

@@ -33,22 +33,24 @@ def extract_patterns(
     """
     text = F.col(text) if isinstance(text, str) else text
     found = [
-        F.struct(F.lit(i).alias("pattern_no"), F.regexp_extract(text, F.lit(p), 0).alias("match"))
+        F.struct(F.lit(i).alias("pattern_no"), F.regexp_extract(text, p, 0).alias("match"))
         for i, p in enumerate(patterns)
     ]
     hits = F.filter(F.array(*found), lambda h: h["match"] != "")
-    # A hit repeats an earlier one if the text's first position in the match list is not its own.
-    texts = F.transform(hits, lambda h: h["match"])
-    firsts = F.filter(hits, lambda h, i: F.array_position(texts, h["match"]) == i + 1)
+    # A projection of its own, so that each pattern is searched once per text.
+    searched = df.select(*keep, text.alias("_text"), hits.alias("_hits")).filter(F.size("_hits") > 0)
+    texts = F.transform("_hits", lambda h: h["match"])
+    # A hit repeats an earlier one if its text first stands elsewhere in the list.
+    firsts = F.filter("_hits", lambda h, i: F.array_position(texts, h["match"]) == i + 1)
     placed = F.transform(
         firsts,
         lambda h: F.struct(
             h["pattern_no"].alias("pattern_no"),
             h["match"].alias("match"),
-            (F.position(h["match"], text) - 1).alias("offset"),
+            (F.position(h["match"], F.col("_text")) - 1).alias("offset"),
         ),
     )
-    return df.select(*keep, F.inline(placed))
+    return searched.select(*keep, F.inline(placed))
 
 
 def marker_positions(text: str | Column, marker: str) -> Column:

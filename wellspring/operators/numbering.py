@@ -28,7 +28,7 @@ def surrogate_key(df: DataFrame, key: str, name: str, start: Column | int = 0, r
     """
     shares = [i / ranges for i in range(1, ranges)]
     cuts = df.agg(F.percentile_approx(key, shares, ranges * 50)).scalar()
-    spread = df.withColumn("_cuts", cuts).withColumn("_range", _cuts_below(F.col(key), 0, ranges - 1)).drop("_cuts")
+    spread = df.withColumn("_cuts", cuts).withColumn("_range", F.expr(_cuts_below(f"`{key}`", 0, ranges - 1))).drop("_cuts")
     sizes = spread.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
@@ -42,13 +42,15 @@ def surrogate_key(df: DataFrame, key: str, name: str, start: Column | int = 0, r
     )
 
 
-def _cuts_below(key: Column, low: int, high: int) -> Column:
-    """Number of cut points below the key, by halving: a few comparisons per row, all in generated code."""
+def _cuts_below(key: str, low: int, high: int) -> str:
+    """SQL for the number of cut points below the key, by halving: a few comparisons per row, all in generated code."""
     if low == high:
-        return F.lit(low)
+        return str(low)
     middle = (low + high) // 2
-    above = key > F.col("_cuts")[middle]
-    return F.when(above, _cuts_below(key, middle + 1, high)).otherwise(_cuts_below(key, low, middle))
+    return (
+        f"CASE WHEN {key} > _cuts[{middle}] THEN {_cuts_below(key, middle + 1, high)} "
+        f"ELSE {_cuts_below(key, low, middle)} END"
+    )
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no", partitions: int | None = None) -> DataFrame:

@@ -23,12 +23,18 @@ def _key_name(entity: str) -> str:
 
 
 def build_hub(df: DataFrame, entity: str, business_key: str, source: str | Column | None, loaded_at: str) -> DataFrame:
-    """One row per business key, the first by record source."""
+    """One row per business key, the first by record source.
+
+    Repeats go before anything is hashed: the (key, source) pairs are few, also
+    where the rows are all readings.
+    """
+    pairs = df.select(F.col(business_key), _as_column(df, source).alias("record_source")).distinct()
+    first = dedup_first(pairs, business_key, ["record_source"])
     key = _key_name(entity)
-    rows = df.select(hash_key(df, entity, business_key).alias(key), F.col(business_key), *_source_column(df, source))
-    rows = with_audit(rows, _source(rows, source), loaded_at)
-    rows = rows.select(key, business_key, *AUDIT_COLUMNS)
-    return dedup_first(rows, key, ["record_source", business_key])
+    rows = with_audit(
+        first.withColumn(key, hash_key(first, entity, business_key)), F.col("record_source"), loaded_at
+    )
+    return rows.select(key, business_key, *AUDIT_COLUMNS)
 
 
 def build_satellite(
@@ -56,6 +62,11 @@ def _source_column(df: DataFrame, source: str | Column) -> list[Column]:
     return [F.col("record_source")] if "record_source" in df.columns and source is None else []
 
 
+def _as_column(df: DataFrame, source: str | Column | None) -> Column:
+    source = _source(df, source)
+    return F.lit(source) if isinstance(source, str) else source
+
+
 def _source(df: DataFrame, source: str | Column | None) -> str | Column:
     """A given source, or the lineage column the rows already carry."""
     if source is not None:
@@ -65,7 +76,9 @@ def _source(df: DataFrame, source: str | Column | None) -> str | Column:
     return F.col("record_source")
 
 
-def _link_rows(readings: DataFrame, source: str | Column | None, loaded_at: str, extra: Sequence[str]) -> DataFrame:
+def _link_rows(
+    readings: DataFrame, source: str | Column | None, loaded_at: str, extra: Sequence[str], carry: Sequence[str]
+) -> DataFrame:
     sensor = F.lit(None).cast("string")
     if "sensor_id" in readings.columns:
         sensor = F.when(F.col("sensor_id").isNotNull(), hash_key(readings, SENSOR, "sensor_id"))
@@ -74,21 +87,27 @@ def _link_rows(readings: DataFrame, source: str | Column | None, loaded_at: str,
         hash_key(readings, SURVEY, "survey_type_id").alias("survey_hash_key"),
         sensor.alias("sensor_hash_key"),
         reading_key(readings, extra).alias("link_hash_key"),
+        *carry,
         *_source_column(readings, source),
     )
     return with_audit(rows, _source(rows, source), loaded_at).select(
-        "well_hash_key", "survey_hash_key", "sensor_hash_key", "link_hash_key", *AUDIT_COLUMNS
+        "well_hash_key", "survey_hash_key", "sensor_hash_key", "link_hash_key", *AUDIT_COLUMNS, *carry
     )
 
 
 def build_link(
-    readings: DataFrame, source: str | Column | None, loaded_at: str, extra: Sequence[str] = ()
+    readings: DataFrame,
+    source: str | Column | None,
+    loaded_at: str,
+    extra: Sequence[str] = (),
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One link per reading key (well, survey, sensor or none, moment), first by record source.
 
-    ``extra`` widens the grain, for instance by ``depth_ft``.
+    ``extra`` widens the grain, for instance by ``depth_ft``; ``carry`` keeps
+    columns that follow from the key, such as a partition column.
     """
-    return dedup_first(_link_rows(readings, source, loaded_at, extra), "link_hash_key", ["record_source"])
+    return dedup_first(_link_rows(readings, source, loaded_at, extra, carry), "link_hash_key", ["record_source"])
 
 
 def build_measurement_satellite(

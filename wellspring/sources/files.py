@@ -6,10 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Both time types, written and read with microseconds and no zone.
+CSV_TIMES = {
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
+}
+
 
 def read_master(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A header CSV with a declared schema; types are not inferred, so the file is read once."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).option("header", True).options(**CSV_TIMES).csv(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

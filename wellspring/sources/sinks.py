@@ -11,13 +11,14 @@ from pyspark.sql.utils import AnalysisException
 
 from wellspring.functions.scalars import as_documents, iso_text, nan_to_null, run_time
 from wellspring.operators.joins import new_rows
+from wellspring.sources.files import CSV_TIMES
 
 DOCUMENT_LIMIT = 10_000  # fixed value: most documents the store takes per run
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a Parquet table; with partitions, replace only those in ``df``."""
-    writer = df.write.mode("overwrite")
+    writer = (gathered(df, *partition_by) if partition_by else df).write.mode("overwrite")
     if partition_by:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     writer.parquet(path)
@@ -38,8 +39,9 @@ def append_table(
 ) -> None:
     """Append rows whose key the table lacks, partitioned by ``partition_by``.
 
-    Only partitions that ``df`` touches are searched when the partition column
-    is part of the key; otherwise all keys are.
+    When the partition column is part of the key, only the partitions that
+    ``df`` touches are searched: their values (as many as the table has folders)
+    are looked up first, and the scan prunes to them.
     """
     existing = read_if_present(df, path)
     if existing is None:
@@ -48,10 +50,19 @@ def append_table(
         fresh = dedup_first(df, list(key), order or [c for c in df.columns if c not in key])
     else:
         if partition_by in key:
-            touched = df.select(partition_by).distinct()
-            existing = existing.join(touched, partition_by, "left_semi")
+            touched = [r[0] for r in df.select(partition_by).distinct().collect()]
+            existing = existing.filter(F.col(partition_by).isin(touched) | F.col(partition_by).isNull())
         fresh = new_rows(existing, df, list(key), order)
-    fresh.write.mode("append").partitionBy(partition_by).parquet(path)
+    gathered(fresh, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
+
+
+def gathered(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Rows of a partition brought together before a partitioned write, so that it gets few files.
+
+    A rebalance, not a repartition: small partitions share a task and a
+    partition with very many rows is split over several.
+    """
+    return df.hint("rebalance", *[F.col(c) for c in partition_by])
 
 
 def to_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None) -> None:
@@ -83,7 +94,8 @@ def to_json(df: DataFrame, folder: str, name: str, day: str, one_file: bool = Fa
 
 
 def to_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header; times keep their microseconds."""
+    df.write.mode("overwrite").option("header", True).options(**CSV_TIMES).csv(path)
 
 
 def export_marts(marts: Mapping[str, DataFrame], folder: str) -> dict[str, str]:
