@@ -21,6 +21,7 @@ from wellspring.operators import marts, quality  # noqa: E402
 from wellspring.plans.jobs import WarehouseInputs, run_daily, run_warehouse, write_vault  # noqa: E402
 from wellspring.registry import QUERIES  # noqa: E402
 from wellspring.registry import bindings as b  # noqa: E402
+from wellspring.registry import damage  # noqa: E402
 from wellspring.registry import file_queries as files  # noqa: E402
 from wellspring.registry.vault_queries import Vault  # noqa: E402
 from wellspring.session import build_session, scratch_path  # noqa: E402
@@ -67,7 +68,9 @@ def main() -> None:
     trace_dir = files._trace_files(spark, sf)
     timed("sgx_ingest", lambda: consume(traces.read_sgx(spark, trace_dir)), lines)
 
-    damaged = files._damaged_readings(spark, sf)
+    whole, damaged = scratch_path(spark, "whole"), scratch_path(spark, "damaged")
+    b.line_readings(spark, sf).repartition(8).write.parquet(whole)
+    consume(damage.damage_parquet(spark, whole, damaged, every=True))
     megabytes = repair.classify_files(spark, damaged).agg(F.sum("original_size")).first()[0] / 1e6
     timed("parquet_repair", lambda: repair.repair_parquet(spark, damaged, scratch_path(spark, "fixed")), megabytes)
 

@@ -22,10 +22,10 @@ def canonical_text(df: DataFrame, name: str) -> Column:
     """Text of a column that is the same for equal values of any numeric type; null becomes ''."""
     kind = df.schema[name].dataType
     col = F.col(name)
-    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-        fixed = col.try_cast(T.DecimalType(38, 10)).cast("string")
-        # NaN and numbers beyond 28 digits have no such decimal; they keep their plain text.
-        text = F.coalesce(F.rtrim(F.rtrim(fixed, F.lit("0")), F.lit(".")), col.cast("string"))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        text = _double_text(col.cast("double"))
+    elif isinstance(kind, T.DecimalType):
+        text = _trimmed(col.cast("string")) if kind.scale else col.cast("string")
     elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         text = F.date_format(col, TIMESTAMP_TEXT)
     else:
@@ -33,6 +33,20 @@ def canonical_text(df: DataFrame, name: str) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def _trimmed(text: Column) -> Column:
+    """Decimal text without zeros at its end, '1.50' as '1.5' and '1.0' as '1'."""
+    return F.rtrim(F.rtrim(text, F.lit("0")), F.lit("."))
+
+
+def _double_text(col: Column) -> Column:
+    # Between 0.001 and ten million a double's own text is plain digits. Others go
+    # through a decimal, or keep their text where no decimal holds them (NaN, 1e30).
+    size = F.abs(col)
+    plain = (size < 1e7) & ((size >= 1e-3) | (size == 0))
+    fixed = _trimmed(col.try_cast(T.DecimalType(38, 10)).cast("string"))
+    return F.when(plain, _trimmed((col + 0.0).cast("string"))).otherwise(F.coalesce(fixed, col.cast("string")))
+
+
 def hash_key(df: DataFrame, entity: str, *parts: str | Column) -> Column:
     """MD5 over the entity name and the key parts, joined by '|'.
 
@@ -47,6 +61,12 @@ def hash_diff(df: DataFrame, columns: Sequence[str], separator: str = SEPARATOR)
     return F.md5(F.concat_ws(separator, *[canonical_text(df, c) for c in columns]).cast("binary"))
 
 
+def reading_key_parts(df: DataFrame, extra: Sequence[str] = ()) -> list[str]:
+    """The columns of ``df`` that decide a reading's key."""
+    known = ["well_id", "survey_type_id", "sensor_id", "timestamp", "trace_num"]
+    return [c for c in known if c in df.columns] + [c for c in extra if c not in known]
+
+
 def reading_key(df: DataFrame, extra: Sequence[str] = ()) -> Column:
     """Key of one reading: well, survey, sensor (or NO_SENSOR), then timestamp, else trace number, else ''.
 

@@ -19,15 +19,23 @@ from wellspring.session import checkpointed
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, row position below
 
 
-def surrogate_key(df: DataFrame, key: str, name: str, start: Column | int = 0, ranges: int = 64) -> DataFrame:
+def surrogate_key(
+    df: DataFrame,
+    key: str,
+    name: str,
+    start: Column | int = 0,
+    ranges: int = 64,
+    cuts_from: DataFrame | None = None,
+) -> DataFrame:
     """Add ``name`` = 1, 2, ... in order of a unique numeric ``key``, above ``start``.
 
     The cut points only decide how rows are spread; offsets come from exact
     counts, so the numbers are right whatever the approximation returns. At most
-    ``ranges`` + 1 rows reach the offset window and the broadcast.
+    ``ranges`` + 1 rows reach the offset window and the broadcast. The cut
+    points may come from a cheaper table with similar keys (``cuts_from``).
     """
     shares = [i / ranges for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(key, shares, ranges * 50)).scalar()
+    cuts = (df if cuts_from is None else cuts_from).agg(F.percentile_approx(key, shares, ranges * 50)).scalar()
     spread = df.withColumn("_cuts", cuts).withColumn("_range", F.expr(_cuts_below(f"`{key}`", 0, ranges - 1))).drop("_cuts")
     sizes = spread.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))

@@ -68,7 +68,7 @@ def dim_well(masters: DataFrame, vault_ids: DataFrame | None, effective: str) ->
         rows = insert_ignore(
             rows, conform(only_id, DIM_WELL, {"effective_date": effective, "is_current": 1}), "well_id"
         )
-    return surrogate_key(rows, "well_id", "well_key")
+    return surrogate_key(rows, "well_id", "well_key", cuts_from=masters)
 
 
 def dim_sensor(masters: DataFrame, vault_ids: DataFrame | None, effective: str) -> DataFrame:
@@ -84,7 +84,7 @@ def dim_sensor(masters: DataFrame, vault_ids: DataFrame | None, effective: str)
             {"sensor_type": UNKNOWN, "effective_date": effective, "is_current": 1},
         )
         rows = insert_ignore(rows, only_id, "sensor_id")
-    return surrogate_key(rows, "sensor_id", "sensor_key")
+    return surrogate_key(rows, "sensor_id", "sensor_key", cuts_from=masters)
 
 
 def _no_duplicates(rows: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.functions.keys import hash_diff, hash_key, reading_key
+from wellspring.functions.keys import hash_diff, hash_key, reading_key, reading_key_parts
 from wellspring.functions.scalars import with_audit
 from wellspring.operators.history import dedup_first
 
@@ -76,25 +76,6 @@ def _source(df: DataFrame, source: str | Column | None) -> str | Column:
     return F.col("record_source")
 
 
-def _link_rows(
-    readings: DataFrame, source: str | Column | None, loaded_at: str, extra: Sequence[str], carry: Sequence[str]
-) -> DataFrame:
-    sensor = F.lit(None).cast("string")
-    if "sensor_id" in readings.columns:
-        sensor = F.when(F.col("sensor_id").isNotNull(), hash_key(readings, SENSOR, "sensor_id"))
-    rows = readings.select(
-        hash_key(readings, WELL, "well_id").alias("well_hash_key"),
-        hash_key(readings, SURVEY, "survey_type_id").alias("survey_hash_key"),
-        sensor.alias("sensor_hash_key"),
-        reading_key(readings, extra).alias("link_hash_key"),
-        *carry,
-        *_source_column(readings, source),
-    )
-    return with_audit(rows, _source(rows, source), loaded_at).select(
-        "well_hash_key", "survey_hash_key", "sensor_hash_key", "link_hash_key", *AUDIT_COLUMNS, *carry
-    )
-
-
 def build_link(
     readings: DataFrame,
     source: str | Column | None,
@@ -104,10 +85,30 @@ def build_link(
 ) -> DataFrame:
     """One link per reading key (well, survey, sensor or none, moment), first by record source.
 
-    ``extra`` widens the grain, for instance by ``depth_ft``; ``carry`` keeps
-    columns that follow from the key, such as a partition column.
+    Rows are deduplicated on the plain key columns; only what is left is
+    hashed. ``extra`` widens the grain, for instance by ``depth_ft``; ``carry``
+    keeps columns that follow from the key, such as a partition column.
     """
-    return dedup_first(_link_rows(readings, source, loaded_at, extra, carry), "link_hash_key", ["record_source"])
+    parts = reading_key_parts(readings, extra)
+    rows = readings.select(*parts, *carry, _as_column(readings, source).alias("record_source"))
+    if "timestamp" in parts and "trace_num" in parts:
+        # where there is a timestamp the trace number is no part of the key
+        rows = rows.withColumn("trace_num", F.when(F.col("timestamp").isNull(), F.col("trace_num")))
+    first = dedup_first(rows, parts, ["record_source"])
+    sensor = F.lit(None).cast("string")
+    if "sensor_id" in parts:
+        sensor = F.when(F.col("sensor_id").isNotNull(), hash_key(first, SENSOR, "sensor_id"))
+    links = first.select(
+        hash_key(first, WELL, "well_id").alias("well_hash_key"),
+        hash_key(first, SURVEY, "survey_type_id").alias("survey_hash_key"),
+        sensor.alias("sensor_hash_key"),
+        reading_key(first, extra).alias("link_hash_key"),
+        "record_source",
+        *carry,
+    )
+    return with_audit(links, F.col("record_source"), loaded_at).select(
+        "well_hash_key", "survey_hash_key", "sensor_hash_key", "link_hash_key", *AUDIT_COLUMNS, *carry
+    )
 
 
 def build_measurement_satellite(

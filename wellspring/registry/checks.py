@@ -140,7 +140,7 @@ LOADED = "TIMESTAMP '2025-01-01 00:00:00'"
 
 
 def number_text(expr: str) -> str:
-    return f"rtrim(rtrim(CAST(CAST({expr} AS DECIMAL(38,10)) AS VARCHAR), '0'), '.')"
+    return f"rtrim(rtrim(CAST({expr} AS VARCHAR), '0'), '.')"
 
 
 def key_sql(entity: str, expr: str) -> str:

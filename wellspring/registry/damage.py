@@ -59,9 +59,9 @@ def _copies(spark: SparkSession, path: str, output: str, glob: str, kinds, every
     return read_bytes(spark, path, glob).select("path").mapInPandas(work, "path STRING, kind STRING")
 
 
-def damage_parquet(spark: SparkSession, path: str, output: str) -> DataFrame:
-    """One damaged copy per file."""
-    return _copies(spark, path, output, "*.parquet", PARQUET_DAMAGE, every=False)
+def damage_parquet(spark: SparkSession, path: str, output: str, every: bool = False) -> DataFrame:
+    """One damaged copy per file, or one for every kind of damage."""
+    return _copies(spark, path, output, "*.parquet", PARQUET_DAMAGE, every)
 
 
 def damage_traces(spark: SparkSession, path: str, output: str) -> DataFrame:

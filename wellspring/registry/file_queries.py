@@ -255,9 +255,9 @@ def file_triage(spark, sf):
 # --- text ------------------------------------------------------------------
 
 # Patterns looked for in the documents, after the published flag patterns.
-EMAIL = r"[A-Za-z0-9._]+@[A-Za-z0-9.]+\.[a-z]+"
+EMAIL = r"\b[A-Za-z0-9._]+@[A-Za-z0-9.]+\.[a-z]+"
 LINK_PATTERN = r"https?://[A-Za-z0-9./_-]+"
-NUMBER = r"[0-9][0-9][0-9]-[0-9]+"
+NUMBER = r"\b[0-9][0-9][0-9]-[0-9]+"
 DOCUMENT_PATTERNS = [*text.DEFAULT_PATTERNS, EMAIL, LINK_PATTERN, NUMBER]
 
 

@@ -10,8 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "LONG": T.LongType(),
+    "INT": T.IntegerType(),
+    "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(" ".join(text.split()))
+    """'name TYPE, ...' to a schema; unlike Spark's DDL text this needs no running session."""
+    fields = [part.split() for part in text.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 MASTER_WELLS = _schema(
