@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from wellspring.functions.patterns import bytes_as_text, extract_patterns, hex_share
 from wellspring.functions.patterns import DEFAULT_PATTERNS
 from wellspring.sources.files import read_bytes
-from wellspring.sources.traces import open_filesystem
+from wellspring.sources.traces import list_files, open_filesystem
 
 # The Parquet marker, its hex text's first characters, and the hex test.
 MARKER = b"PAR1"
@@ -33,15 +33,28 @@ MANIFEST = (
 )
 
 
+def _all_files(spark: SparkSession, path: str, glob: str) -> DataFrame:
+    """path, length, content of every file. Spark's scan passes over empty files; they are added here."""
+    files = read_bytes(spark, path, glob).select("path", "length", "content")
+    empty = [(name,) for name, size in list_files(path, glob) if size == 0]
+    if not empty:
+        return files
+    added = spark.createDataFrame(empty, "path STRING")
+    return files.unionByName(
+        added.select("path", F.lit(0).cast("long").alias("length"), F.lit(b"").alias("content"))
+    )
+
+
 def classify_files(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
     """Per file: size, hex text or not, number of markers, and what a repair would do.
 
     Built-in functions over the file's bytes. For hex text the markers are
     counted in the decoded bytes.
     """
-    files = read_bytes(spark, path, glob)
+    files = _all_files(spark, path, glob)
     text = bytes_as_text("content")
-    is_hex = F.substring(text, 1, 2).isin(HEX_STARTS) & (hex_share(text, HEX_SAMPLE) > HEX_LIMIT)
+    share = F.coalesce(hex_share(text, HEX_SAMPLE), F.lit(0.0))
+    is_hex = F.substring(text, 1, 2).isin(HEX_STARTS) & (share > HEX_LIMIT)
     decoded = F.when(is_hex, bytes_as_text(F.unhex(F.regexp_replace(text, r"\s", "")))).otherwise(text)
     known = files.select("path", F.col("length").alias("original_size"), is_hex.alias("was_hex"), decoded.alias("_text"))
     marker = MARKER.decode()
@@ -167,7 +180,7 @@ def repair_dir(
             )
 
     # content is not selected, so the scan lists and groups the files without loading them
-    return read_bytes(spark, path, glob).select("path").mapInPandas(repair, MANIFEST)
+    return _all_files(spark, path, glob).select("path").mapInPandas(repair, MANIFEST)
 
 
 def repair_summary(manifest: DataFrame) -> DataFrame:
