@@ -119,6 +119,11 @@ def sample_bound(share: float) -> str:
     return f"{int(share * 2**32):08x}"
 
 
+def sample_fraction(df: DataFrame, key: str, share: float, seed: int = 0) -> DataFrame:
+    """The rows of a repeatable sample."""
+    return df.filter(in_sample(key, share, seed))
+
+
 def degrade_sample(df: DataFrame, key: str, share: float = DEGRADE_SHARE, seed: int = 0) -> DataFrame:
     """Set quality_flag 0 and data_quality_score 0.5 on a repeatable sample of the readings."""
     chosen = in_sample(key, share, seed)

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.functions.scalars import entity_label, fill_defaults, good_share, run_time, weighted_mean
+from wellspring.functions.scalars import entity_label, fill_defaults, good_share, run_time
 from wellspring.operators.anomaly import SIGMA, sigma_flag
 from wellspring.operators.quantiles import group_quantiles
 
@@ -215,13 +215,22 @@ def kpi_stats(well_mart: DataFrame, sensor_mart: DataFrame) -> DataFrame:
     """One row of headline numbers; an empty well mart gives zeros, an empty sensor mart one sensor."""
     wells = load_mart(well_mart)
     sensors = sensor_mart.agg(F.count_distinct("sensor_id")).scalar()
-    totals = wells.agg(
+    # One row per well first: a distinct count beside other sums would multiply the rows instead.
+    per_well = wells.groupBy("well_id").agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.count_distinct("well_id").alias("total_wells"),
         F.sum("total_readings").alias("total_readings"),
-        F.avg("data_quality_rate").alias("avg_data_quality"),
+        F.sum("data_quality_rate").alias("_quality"),
+        F.count("data_quality_rate").alias("_rated"),
         F.sum("anomaly_count").alias("total_anomalies"),
-        weighted_mean("avg_amplitude", "total_readings").alias("avg_amplitude"),
+        F.sum(F.col("avg_amplitude") * F.col("total_readings")).alias("_weighted"),
+    )
+    totals = per_well.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"),
+        F.count("well_id").alias("total_wells"),
+        F.sum("total_readings").alias("total_readings"),
+        F.try_divide(F.sum("_quality"), F.sum("_rated")).alias("avg_data_quality"),
+        F.sum("total_anomalies").alias("total_anomalies"),
+        F.try_divide(F.sum("_weighted"), F.sum("total_readings")).alias("avg_amplitude"),
     )
     shown = F.when(F.col("_rows") == 0, F.lit(0)).when(sensors == 0, F.lit(1)).otherwise(sensors)
     return totals.select(

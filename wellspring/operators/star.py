@@ -11,6 +11,7 @@ from wellspring.functions.scalars import entity_label, good_share, quality_score
 from wellspring.operators.history import dedup_first
 from wellspring.operators.joins import insert_ignore, lookup_key, rejects, upsert
 from wellspring.operators.numbering import surrogate_key
+from wellspring.sources.files import static_rows
 from wellspring.schemas import DIM_DATA_SOURCE, DIM_SENSOR, DIM_WELL, conform
 
 # The calendar's span, the static source rows and the fact defaults.
@@ -54,7 +55,7 @@ def dim_time(spark: SparkSession, start: str = CALENDAR_START, end: str = CALEND
 
 
 def dim_data_source(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DATA_SOURCES, DIM_DATA_SOURCE)
+    return static_rows(spark, DATA_SOURCES, DIM_DATA_SOURCE)
 
 
 def dim_well(masters: DataFrame, vault_ids: DataFrame | None, effective: str) -> DataFrame:

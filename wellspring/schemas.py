@@ -17,6 +17,7 @@ _TYPES = {
     "STRING": T.StringType(),
     "DATE": T.DateType(),
     "TIMESTAMP": T.TimestampType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
 }
 
 
@@ -52,6 +53,20 @@ DIM_SENSOR = _schema(
 )
 DIM_DATA_SOURCE = _schema("source_key INT, source_format STRING, source_type STRING, file_extension STRING")
 
+MART_WELL = _schema(
+    """well_id LONG, well_name STRING, latitude DOUBLE, longitude DOUBLE, source_format STRING, total_readings LONG,
+       avg_amplitude DOUBLE, data_quality_rate DOUBLE, anomaly_count LONG, first_reading TIMESTAMP_NTZ,
+       last_reading TIMESTAMP_NTZ"""
+)
+MART_SENSOR = _schema(
+    """sensor_id LONG, sensor_type STRING, manufacturer STRING, total_readings LONG, data_quality_rate DOUBLE,
+       avg_amplitude DOUBLE, first_reading TIMESTAMP_NTZ, last_reading TIMESTAMP_NTZ"""
+)
+MART_SURVEY = _schema(
+    """survey_type STRING, source_format STRING, wells_surveyed LONG, total_readings LONG, avg_amplitude DOUBLE,
+       avg_data_quality_rate DOUBLE, earliest_survey TIMESTAMP_NTZ, latest_survey TIMESTAMP_NTZ"""
+)
+
 
 def conform(df: DataFrame, schema: T.StructType, defaults: Mapping[str, Any] | None = None) -> DataFrame:
     """Project ``df`` to ``schema``: cast what is there, add what is missing.

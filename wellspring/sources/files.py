@@ -23,6 +23,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_vault(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One table of a written vault or warehouse."""
+    return read_table(spark, f"{path.rstrip('/')}/{name}")
+
+
+def static_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:
+    """A fixed, small table of literals."""
+    return spark.createDataFrame(rows, schema)
+
+
 def read_dir(spark: SparkSession, path: str, glob: str = "*.parquet", schema: T.StructType | None = None) -> DataFrame:
     """All matching Parquet files of a folder, with the file's name as record_source."""
     reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)

@@ -183,6 +183,11 @@ def repair_dir(
     return _all_files(spark, path, glob).select("path").mapInPandas(repair, MANIFEST)
 
 
+def repair_manifest(manifest: DataFrame) -> DataFrame:
+    """The repair log in file order."""
+    return manifest.orderBy("path")
+
+
 def repair_summary(manifest: DataFrame) -> DataFrame:
     """Files per status."""
     return manifest.groupBy("status").agg(F.count(F.lit(1)).alias("files"))

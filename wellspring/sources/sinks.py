@@ -24,6 +24,12 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     writer.parquet(path)
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write an intermediate table and go on from what was written; for results that several steps read."""
+    write_table(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def read_if_present(df: DataFrame, path: str) -> DataFrame | None:
     """The table at ``path``, or None before its first load."""
     try:
