@@ -60,7 +60,7 @@ def _groups(seed=0):
     return out
 
 
-@pytest.mark.parametrize("limit", [100_000, 8])
+@pytest.mark.parametrize("limit", [100_000, 1])
 def test_group_quantiles_are_exact_on_both_ways(spark, limit):
     data = _groups()
     rows = [(g, v) for g, vs in data.items() for v in vs] + [("hot", None), ("one", float("nan"))]
@@ -116,6 +116,24 @@ def test_lookup_required_default_and_rejects(spark, rows):
     assert rows(joins.rejects(facts, dim, "k"), "id") == [(2,), (3,)]
 
 
+def test_rows_without_a_key_are_spread(spark):
+    """With shuffled joins, rows with a null key end up in many partitions and still match nothing."""
+    facts = spark.range(4000).select("id", F.when(F.col("id") % 3 == 0, F.col("id") % 5).alias("k"))
+    dim = spark.createDataFrame([(i, i * 10) for i in range(5)], "k LONG, key LONG")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = joins.left_join(facts, dim, "k")
+        parts = out.filter("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        found = {(r.id, r.key) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(parts) == 4 and max(r["count"] for r in parts) < 1000
+    assert found == {(i, i % 5 * 10 if i % 3 == 0 else None) for i in range(4000)}
+
+
 def test_orphans_and_reference_counts(spark, rows):
     child = spark.createDataFrame([("a",)] * 5 + [("x",)] * 2 + [(None,)], "k STRING")
     parent = spark.createDataFrame([("a",), ("b",)], "k STRING")

@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -27,7 +28,23 @@ def lookup_key(
     side = dimension.select(*on, key)
     if default is None:
         return rows.join(side, on, "inner")
-    return rows.join(side, on, "left").withColumn(key, F.coalesce(F.col(key), F.lit(default)))
+    return left_join(rows, side, on).withColumn(key, F.coalesce(F.col(key), F.lit(default)))
+
+
+def left_join(rows: DataFrame, side: DataFrame, on: str | Sequence[str], spread: int = 1024) -> DataFrame:
+    """A left join that does not send all rows without a key to one task.
+
+    Null keys match nothing but hash alike, and a third of the readings may have
+    no sensor. A second join column spreads them; it is 0 on both sides
+    wherever there is a key.
+    """
+    on = _keys(on)
+    others = [f.name for f in rows.schema if f.name not in on and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    # pmod(.., 1) is always 0, yet no constant that the optimizer would fold out of the join keys
+    zero = F.pmod(F.xxhash64(*on), F.lit(1).cast("long"))
+    salt = F.when(_all_present(on), zero).otherwise(F.pmod(F.xxhash64(*on, *others), F.lit(spread).cast("long")))
+    joined = rows.withColumn("_spread", salt).join(side.withColumn("_spread", zero), [*on, "_spread"], "left")
+    return joined.drop("_spread")
 
 
 def rejects(rows: DataFrame, dimension: DataFrame, on: str | Sequence[str]) -> DataFrame:

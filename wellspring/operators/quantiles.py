@@ -55,6 +55,7 @@ def group_quantiles(
 
 def _one_quantile(values: DataFrame, group: list[str], share: float, limit: int) -> DataFrame:
     """The quantile at ``share`` per group, from distinct values ``_x`` with counts ``_n``."""
+    limit = max(limit, 4)  # two neighbouring positions can hold two cells apart
     place = (F.sum("_n") - 1) * F.lit(share)
     # _k: 0-based position wanted, _f: weight of the next one, _skip: rows below the stretch _lo.._hi
     stretch = values.groupBy(*group).agg(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wellspring.functions.keys import hash_diff, hash_key, reading_key, reading_key_parts
 from wellspring.functions.scalars import with_audit
 from wellspring.operators.history import dedup_first
+from wellspring.operators.joins import left_join
 
 # Entity names that enter the hash keys.
 WELL, SURVEY, SENSOR = "WELL", "SURVEY", "SENSOR"
@@ -177,10 +178,12 @@ def traverse(link: DataFrame, satellite: DataFrame, wells: DataFrame) -> DataFra
 
 def denormalise(link: DataFrame, hub_well: DataFrame, hub_sensor: DataFrame, satellite: DataFrame) -> DataFrame:
     """Readings with business keys; readings without a sensor keep a null sensor."""
+    named = link.select("well_hash_key", "sensor_hash_key", "link_hash_key").join(
+        hub_well.select("well_hash_key", "well_id"), "well_hash_key"
+    )
+    sensors = hub_sensor.select("sensor_hash_key", "sensor_id")
     return (
-        link.select("well_hash_key", "sensor_hash_key", "link_hash_key")
-        .join(hub_well.select("well_hash_key", "well_id"), "well_hash_key")
-        .join(hub_sensor.select("sensor_hash_key", "sensor_id"), "sensor_hash_key", "left")
+        left_join(named, sensors, "sensor_hash_key")
         .join(satellite.select("link_hash_key", "depth_ft", "amplitude", "quality_flag"), "link_hash_key")
     )
 
