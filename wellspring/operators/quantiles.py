@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from wellspring.session import checkpointed
 
-GROUP_LIMIT = 100_000
+GROUP_LIMIT = 200_000
 _CUTS = 64
 
 
@@ -36,21 +36,33 @@ def group_quantiles(
     )
     if not group:
         rows, group = rows.withColumn("_all", F.lit(1)), ["_all"]
-    largest = rows.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+    sizes = rows.groupBy(*group).count()
+    largest = sizes.agg(F.max("count")).first()[0] or 0
     if largest <= group_limit:
-        out = rows.groupBy(*group).agg(F.percentile("_x", F.array(*[F.lit(float(s)) for s in shares])).alias("q"))
-        return out.drop("_all")
+        return _by_percentile(rows, group, shares).drop("_all")
 
+    # Only the large groups take the longer way.
+    large = checkpointed(sizes.filter(F.col("count") > group_limit).select(*group))
+    ordinary = _by_percentile(rows.join(large, group, "left_anti"), group, shares)
+    narrowed = _by_narrowing(rows.join(large, group, "left_semi"), group, shares, group_limit)
+    return ordinary.unionByName(narrowed).drop("_all")
+
+
+def _by_percentile(rows: DataFrame, group: list[str], shares: Sequence[float]) -> DataFrame:
+    return rows.groupBy(*group).agg(F.percentile("_x", F.array(*[F.lit(float(s)) for s in shares])).alias("q"))
+
+
+def _by_narrowing(rows: DataFrame, group: list[str], shares: Sequence[float], limit: int) -> DataFrame:
     # One row per distinct value with its count: repeated values are folded before
     # anything is compared, and the shuffle key includes the value, so a hot group
     # is spread over all tasks.
     values = checkpointed(rows.groupBy(*group, "_x").agg(F.count(F.lit(1)).alias("_n")))
     parts = [
-        _one_quantile(values, group, float(share), group_limit).withColumnRenamed("_q", f"_q{i}")
+        _one_quantile(values, group, float(share), limit).withColumnRenamed("_q", f"_q{i}")
         for i, share in enumerate(shares)
     ]
     joined = reduce(lambda a, b: a.join(b, group), parts)
-    return joined.select(*group, F.array(*[f"_q{i}" for i in range(len(parts))]).alias("q")).drop("_all")
+    return joined.select(*group, F.array(*[f"_q{i}" for i in range(len(parts))]).alias("q"))
 
 
 def _one_quantile(values: DataFrame, group: list[str], share: float, limit: int) -> DataFrame:
