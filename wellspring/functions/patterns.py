@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 import pandas as pd
@@ -58,18 +59,13 @@ def marker_positions(text: str | Column, marker: str) -> Column:
     if not marker:
         raise ValueError("marker must not be empty")
 
+    # a lookahead consumes nothing, so the next match may start inside this one
+    ahead = f"(?={re.escape(marker)})"
+
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def positions(texts: pd.Series) -> pd.Series:
-        def places(value):
-            if value is None:
-                return None
-            found, at = [], value.find(marker)
-            while at >= 0:
-                found.append(at)
-                at = value.find(marker, at + 1)
-            return found
-
-        return texts.map(places)
+        find = re.compile(ahead).finditer
+        return texts.map(lambda value: None if value is None else [m.start() for m in find(value)])
 
     return positions(F.col(text) if isinstance(text, str) else text)
 

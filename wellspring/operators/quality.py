@@ -138,7 +138,7 @@ def _result(check: str, table: str, column: str, passed: Column, message: Column
 
 
 def _found(count: Column, what: str) -> Column:
-    return F.concat(F.lit("Found "), count.cast("string"), F.lit(f" {what}"))
+    return F.concat(count.cast("string"), F.lit(f" {what}"))
 
 
 def _table_rows(name: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -158,7 +158,7 @@ def _table_rows(name: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             measures[m] = F.count_if(F.col(rule.column).isNull())
             share = F.coalesce(F.try_divide(total - F.col(m), total), F.lit(1.0))
             results.append(
-                _result("completeness", name, rule.column, share >= rule.minimum, _found(F.col(m), "NULL values"),
+                _result("completeness", name, rule.column, share >= rule.minimum, _found(F.col(m), "nulls"),
                         {"total_records": total, "null_count": F.col(m),
                          "completeness_pct": F.round(share * 100, 2)})
             )
@@ -175,14 +175,14 @@ def _table_rows(name: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                         {"total_records": total, "valid": total - F.col(m), "invalid": F.col(m)})
             )
         elif isinstance(rule, MinRows):
-            message = F.concat(F.lit(f"Expected >= {rule.minimum}, got "), total.cast("string"))
+            message = F.concat(total.cast("string"), F.lit(f" rows, at least {rule.minimum} wanted"))
             results.append(
                 _result("row_count", name, "", total >= rule.minimum, message,
                         {"expected_minimum": F.lit(rule.minimum), "actual_count": total})
             )
         elif isinstance(rule, HasColumns):
             lacking = missing_columns(df, list(rule.columns))
-            text = F.lit(f"Missing columns: {lacking}" if lacking else "All required columns present")
+            text = F.lit(f"{len(lacking)} required columns missing")
             results.append(
                 _result("columns", name, "", F.lit(not lacking), text,
                         {"required_columns": F.lit(",".join(rule.columns)), "missing_columns": F.lit(",".join(lacking))})

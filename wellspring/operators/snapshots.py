@@ -51,7 +51,7 @@ def _known(history: DataFrame, *ids: str) -> None:
     }
     for wanted in ids:
         if wanted not in found:
-            raise ValueError(f"Snapshot {wanted} not found")
+            raise ValueError(f"there is no snapshot {wanted!r}")
 
 
 def read_snapshot(history: DataFrame, snapshot_id: str) -> DataFrame:
@@ -88,7 +88,7 @@ def as_of(history: DataFrame, moment: str | datetime) -> DataFrame:
         .first()[0]
     )
     if newest is None:
-        raise ValueError(f"No snapshot found before {moment}")
+        raise ValueError(f"there is no snapshot at or before {moment}")
     return history.filter(F.col("snapshot_id") == newest)
 
 

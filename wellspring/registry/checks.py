@@ -90,32 +90,33 @@ fact AS (
   LEFT JOIN dim_time t ON t.full_date = CAST(r."timestamp" AS DATE)
   LEFT JOIN dim_data_source d ON d.source_format = r.source_format)"""
 
-SURVEY_EVENT = """
+# Every reading with all its dimension columns; marts and reports group this one set.
+NAMED = """
+named AS (
+  SELECT fact.*, well_id, well_name, latitude, longitude, basin, field, operator, dim_well.is_current AS current_well,
+         sensor_id, sensor_type, manufacturer, model, dim_sensor.is_current AS current_sensor, year, month,
+         source_format
+  FROM fact JOIN dim_well USING (well_key) JOIN dim_sensor USING (sensor_key) JOIN dim_time USING (time_key)
+  JOIN dim_data_source USING (source_key)),
 survey_event AS (
-  SELECT f.well_key, MIN(f.time_key) AS time_key, f.source_key, 'SURVEY-' || w.well_id AS survey_id,
-         'Seismic Survey' AS survey_type, MIN(f."timestamp") AS survey_start_date,
-         MAX(f."timestamp") AS survey_end_date, COUNT(*) AS total_readings, AVG(f.amplitude) AS avg_amplitude,
-         AVG(CASE WHEN f.quality_flag = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS data_quality_rate
-  FROM fact f JOIN dim_well w ON f.well_key = w.well_key
-  GROUP BY f.well_key, f.source_key, w.well_id)"""
+  SELECT well_key, well_id, well_name, source_key, source_format, 'SURVEY-' || well_id AS survey_id,
+         'Seismic Survey' AS survey_type, min(time_key) AS time_key, min("timestamp") AS survey_start_date,
+         max("timestamp") AS survey_end_date, count(*) AS total_readings, avg(amplitude) AS avg_amplitude,
+         count(*) FILTER (quality_flag = 1) / count(*)::DOUBLE AS data_quality_rate
+  FROM named GROUP BY ALL)"""
 
 MARTS = """
 well_mart AS (
-  SELECT w.well_id, w.well_name, w.latitude, w.longitude, ds.source_format, COUNT(f.reading_key) AS total_readings,
-         AVG(f.amplitude) AS avg_amplitude,
-         AVG(CASE WHEN f.quality_flag = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS data_quality_rate,
-         CAST(SUM(CASE WHEN f.is_anomaly = 1 THEN 1 ELSE 0 END) AS BIGINT) AS anomaly_count,
-         MIN(f."timestamp") AS first_reading, MAX(f."timestamp") AS last_reading
-  FROM fact f JOIN dim_well w ON f.well_key = w.well_key JOIN dim_data_source ds ON f.source_key = ds.source_key
-  WHERE w.is_current = 1
-  GROUP BY w.well_id, w.well_name, w.latitude, w.longitude, ds.source_format),
+  SELECT well_id, well_name, latitude, longitude, source_format, count(*) AS total_readings,
+         avg(amplitude) AS avg_amplitude, count(*) FILTER (quality_flag = 1) / count(*)::DOUBLE AS data_quality_rate,
+         count(*) FILTER (is_anomaly = 1) AS anomaly_count, min("timestamp") AS first_reading,
+         max("timestamp") AS last_reading
+  FROM named WHERE current_well = 1 GROUP BY ALL),
 sensor_mart AS (
-  SELECT s.sensor_id, s.sensor_type, s.manufacturer, COUNT(f.reading_key) AS total_readings,
-         AVG(CASE WHEN f.quality_flag = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS data_quality_rate,
-         AVG(f.amplitude) AS avg_amplitude, MIN(f."timestamp") AS first_reading, MAX(f."timestamp") AS last_reading
-  FROM fact f JOIN dim_sensor s ON f.sensor_key = s.sensor_key
-  WHERE s.is_current = 1
-  GROUP BY s.sensor_id, s.sensor_type, s.manufacturer)"""
+  SELECT sensor_id, sensor_type, manufacturer, count(*) AS total_readings, avg(amplitude) AS avg_amplitude,
+         count(*) FILTER (quality_flag = 1) / count(*)::DOUBLE AS data_quality_rate,
+         min("timestamp") AS first_reading, max("timestamp") AS last_reading
+  FROM named WHERE current_sensor = 1 GROUP BY ALL)"""
 
 HISTORY = """
 history AS (
@@ -131,7 +132,7 @@ def readings_sql(body: str) -> str:
 
 
 def star_sql(body: str) -> str:
-    return f"WITH {EVENT_READINGS},{DIMENSIONS},{FACT},{SURVEY_EVENT},{MARTS},{HISTORY}\n{body}"
+    return f"WITH {EVENT_READINGS},{DIMENSIONS},{FACT},{NAMED},{MARTS},{HISTORY}\n{body}"
 
 
 # --- vault -----------------------------------------------------------------

@@ -271,12 +271,11 @@ def mart_sensor_analysis(spark, sf):
 @query(
     "mart_survey_summary",
     star_sql(
-        f"""SELECT se.survey_type, ds.source_format, COUNT(DISTINCT se.well_key) AS wells_surveyed,
-        CAST(SUM(se.total_readings) AS BIGINT) AS total_readings, {r6('AVG(se.avg_amplitude)')} AS avg_amplitude,
-        {r6('AVG(se.data_quality_rate)')} AS avg_data_quality_rate, MIN(se.survey_start_date) AS earliest_survey,
-        MAX(se.survey_end_date) AS latest_survey
-        FROM survey_event se JOIN dim_data_source ds ON se.source_key = ds.source_key
-        GROUP BY se.survey_type, ds.source_format"""
+        f"""SELECT survey_type, source_format, count(DISTINCT well_key) AS wells_surveyed,
+        CAST(sum(total_readings) AS BIGINT) AS total_readings, {r6('avg(avg_amplitude)')} AS avg_amplitude,
+        {r6('avg(data_quality_rate)')} AS avg_data_quality_rate, min(survey_start_date) AS earliest_survey,
+        max(survey_end_date) AS latest_survey
+        FROM survey_event GROUP BY ALL"""
     ),
 )
 def mart_survey_summary(spark, sf):
@@ -286,13 +285,11 @@ def mart_survey_summary(spark, sf):
 @query(
     "mart_well_performance_wide",
     star_sql(
-        f"""SELECT w.well_id, w.well_name, w.latitude, w.longitude, w.basin, w.field, w.operator, s.source_format,
-        COUNT(f.reading_key) AS total_readings, {r6('AVG(f.amplitude)')} AS avg_amplitude,
-        {r6('STDDEV(f.amplitude)')} AS std_amplitude, {r6('AVG(f.data_quality_score)')} AS data_quality_rate,
-        CAST(SUM(f.is_anomaly) AS BIGINT) AS anomaly_count, MIN(f.depth) AS min_depth, MAX(f.depth) AS max_depth
-        FROM fact f JOIN dim_well w ON f.well_key = w.well_key JOIN dim_data_source s ON f.source_key = s.source_key
-        WHERE w.is_current = 1
-        GROUP BY w.well_id, w.well_name, w.latitude, w.longitude, w.basin, w.field, w.operator, s.source_format"""
+        f"""SELECT well_id, well_name, latitude, longitude, basin, field, operator, source_format,
+        count(*) AS total_readings, {r6('avg(amplitude)')} AS avg_amplitude,
+        {r6('stddev_samp(amplitude)')} AS std_amplitude, {r6('avg(data_quality_score)')} AS data_quality_rate,
+        count(*) FILTER (is_anomaly = 1) AS anomaly_count, min(depth) AS min_depth, max(depth) AS max_depth
+        FROM named WHERE current_well = 1 GROUP BY ALL"""
     ),
 )
 def mart_well_performance_wide(spark, sf):
@@ -302,11 +299,10 @@ def mart_well_performance_wide(spark, sf):
 
 
 _SENSOR_WIDE = """, wide AS (
-    SELECT s.sensor_id, s.sensor_type, s.manufacturer, s.model, COUNT(f.reading_key) AS total_measurements,
-    AVG(f.amplitude) AS avg_amplitude, AVG(f.frequency) AS avg_frequency, AVG(f.data_quality_score) AS avg_quality,
-    CAST(SUM(f.is_anomaly) AS BIGINT) AS anomaly_count
-    FROM fact f JOIN dim_sensor s ON f.sensor_key = s.sensor_key WHERE s.is_current = 1
-    GROUP BY s.sensor_id, s.sensor_type, s.manufacturer, s.model)"""
+    SELECT sensor_id, sensor_type, manufacturer, model, count(*) AS total_measurements,
+    avg(amplitude) AS avg_amplitude, avg(frequency) AS avg_frequency, avg(data_quality_score) AS avg_quality,
+    count(*) FILTER (is_anomaly = 1) AS anomaly_count
+    FROM named WHERE current_sensor = 1 GROUP BY ALL)"""
 
 
 @query(
@@ -342,10 +338,8 @@ def sensor_reliability(spark, sf):
 @query(
     "survey_listing",
     star_sql(
-        f"""SELECT se.survey_id, se.survey_type, w.well_name, se.survey_start_date, se.survey_end_date,
-        se.total_readings, {r6('se.avg_amplitude')} AS avg_amplitude,
-        {r6('se.data_quality_rate')} AS data_quality_rate
-        FROM survey_event se JOIN dim_well w ON se.well_key = w.well_key WHERE w.is_current = 1"""
+        f"""SELECT survey_id, survey_type, well_name, survey_start_date, survey_end_date, total_readings,
+        {r6('avg_amplitude')} AS avg_amplitude, {r6('data_quality_rate')} AS data_quality_rate FROM survey_event"""
     ),
 )
 def survey_listing(spark, sf):
@@ -356,8 +350,8 @@ def survey_listing(spark, sf):
 @query(
     "monthly_readings",
     star_sql(
-        f"""SELECT t.year, t.month, COUNT(f.reading_key) AS monthly_readings, {r6('AVG(f.amplitude)')} AS avg_amplitude
-        FROM fact f JOIN dim_time t ON f.time_key = t.time_key GROUP BY t.year, t.month ORDER BY t.year, t.month"""
+        f"""SELECT year, month, count(*) AS monthly_readings, {r6('avg(amplitude)')} AS avg_amplitude
+        FROM named GROUP BY ALL ORDER BY ALL"""
     ),
 )
 def monthly_readings(spark, sf):
@@ -851,13 +845,11 @@ def snapshot_diff(spark, sf):
 @query(
     "dq_star",
     star_sql(
-        """SELECT 'fact_sensor_reading' AS table_name, COUNT(*) AS total_rows,
-        COUNT(*) - COUNT(depth) AS null_depth, COUNT(*) - COUNT(amplitude) AS null_amplitude,
-        (SELECT COUNT(*) FROM fact f LEFT JOIN dim_well w ON f.well_key = w.well_key AND w.longitude >= 0
-         WHERE w.well_key IS NULL) AS orphaned_facts,
-        (SELECT COUNT(*) FROM (SELECT well_id FROM dim_well WHERE is_current = 1 GROUP BY well_id
-         HAVING COUNT(*) > 1)) AS duplicate_wells
-        FROM fact"""
+        """SELECT 'fact_sensor_reading' AS table_name, count(*) AS total_rows,
+        count(*) FILTER (depth IS NULL) AS null_depth, count(*) FILTER (amplitude IS NULL) AS null_amplitude,
+        count(*) FILTER (longitude < 0) AS orphaned_facts,
+        (SELECT count(*) - count(DISTINCT well_id) FROM dim_well) AS duplicate_wells
+        FROM named"""
     ),
 )
 def dq_star(spark, sf):

@@ -532,7 +532,7 @@ def dq_report(spark, sf):
     "dq_failed",
     vault_sql(
         f"""SELECT 'reference' AS check_name, '{LINK}' AS table_name, 'well_hash_key' AS column_name,
-        'Found ' || COUNT(*) || ' rows without a match in hub_well' AS message
+        COUNT(*) || ' rows without a match in hub_well' AS message
         FROM link WHERE well_hash_key NOT IN (SELECT well_hash_key FROM good_hub_well) HAVING COUNT(*) > 0"""
     ),
 )

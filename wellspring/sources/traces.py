@@ -99,14 +99,14 @@ def read_header(handle, length: int, record_size: int) -> Header:
     """Check magic and size; the error text says what is wrong, and how many records are whole."""
     raw = handle.read_at(HEADER.itemsize, 0) if length >= HEADER.itemsize else b""
     if len(raw) < HEADER.itemsize:
-        return Header(0, 0, f"File too small for a header: {length} bytes", 0)
+        return Header(0, 0, f"{length} bytes hold no header", 0)
     head = np.frombuffer(raw, HEADER)[0]
     if raw[:8] != MAGIC:
-        return Header(0, 0, f"Invalid magic signature: {raw[:8]!r}", 0)
+        return Header(0, 0, f"not a trace file, it starts with {raw[:8]!r}", 0)
     count = int(head["trace_count"])
     expected = HEADER.itemsize + count * record_size
     whole = min(count, (length - HEADER.itemsize) // record_size)
-    error = f"File too small. Expected {expected}, got {length}" if length < expected else None
+    error = f"{length} bytes where the header announces {expected}" if length < expected else None
     return Header(int(head["survey_type_id"]), count, error, whole)
 
 
@@ -151,7 +151,7 @@ class TraceReader(DataSourceReader):
     def partitions(self):
         files = list_files(self.path, self.glob)
         if not files:
-            raise FileNotFoundError(f"No {self.glob} files found in {self.path}")
+            raise FileNotFoundError(f"nothing matches {self.glob} in {self.path}")
         return plan_slices(files, record_dtype(self.layout).itemsize, self.task_bytes)
 
     def read(self, partition: TraceSlices) -> Iterator[pa.RecordBatch]:
@@ -191,7 +191,7 @@ class HeaderReader(TraceReader):
     def partitions(self):
         files = list_files(self.path, self.glob)
         if not files:
-            raise FileNotFoundError(f"No {self.glob} files found in {self.path}")
+            raise FileNotFoundError(f"nothing matches {self.glob} in {self.path}")
         return [TraceSlices(files[i : i + 500]) for i in range(0, len(files), 500)]
 
     def read(self, partition: TraceSlices):
