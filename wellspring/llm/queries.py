@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wellspring.llm.best_fit_packing import best_fit_packing
 from wellspring.llm.jaccard_join import near_duplicates
 from wellspring.llm.quality_rules import quality_rules
+from wellspring.llm.source_mix import mix_sources
+from wellspring.llm.topk_search import topk_search
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,3 +21,15 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_documents(spark, sf_dir))
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_documents(spark, sf_dir))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(_documents(spark, sf_dir))
+
+
+def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

@@ -33,3 +33,18 @@ SELECT sets.doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles,
   CASE WHEN len(sets.s) = 0 THEN sets.doc_id ELSE least.component_id END AS component_id
 FROM sets LEFT JOIN items ON list_sort(sets.s) = items.s AND len(sets.s) > 0 LEFT JOIN least ON least.a = items.r
 """
+
+OP10 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores
+) WHERE rank <= 5
+"""
