@@ -8,6 +8,7 @@ from wellspring.llm.best_fit_packing import best_fit_packing
 from wellspring.llm.jaccard_join import near_duplicates
 from wellspring.llm.quality_rules import quality_rules
 from wellspring.llm.source_mix import mix_sources
+from wellspring.llm.suffix_tree_lm import suffix_tree_scores
 from wellspring.llm.topk_search import topk_search
 
 
@@ -33,3 +34,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op7_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_scores(_documents(spark, sf_dir))
