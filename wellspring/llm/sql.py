@@ -48,3 +48,5 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores
 ) WHERE rank <= 5
 """
+
+ORACLES = {"op5_ngram_jaccard_join": OP5, "op10_topk_search": OP10}
