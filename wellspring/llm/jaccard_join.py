@@ -35,7 +35,7 @@ from wellspring.llm.tokens import SHINGLE, digest, distinct, lower, shingle_hash
 
 COUNTER_BITS = 18  # counters of the n-gram order: a fixed 2 MB, whatever the corpus
 LIST_ENTRIES = 20_000  # a longer list is salted into parts of about this size, each with a pivot of its own
-TURNS = 2  # rounds of comparing with one other member a list, before all that is left is compared
+TURNS = 1  # rounds of comparing with one other member a list, before all that is left is compared
 OUT_ROWS = 100_000
 CELLS = [f"cell{i}" for i in range(8)]  # 64 parities each
 
