@@ -219,6 +219,8 @@ def test_marts_export_reports_errors_and_goes_on(spark, tmp_path):
 
 def test_documents_are_limited_in_order(spark, tmp_path):
     df = spark.range(100).withColumn("x", F.lit(float("nan")))
+    sinks.to_documents(df, str(tmp_path / "all"))
+    assert spark.read.json(str(tmp_path / "all")).count() == 100
     sinks.to_documents(df, str(tmp_path / "d"), ["id"], limit=10)
     back = spark.read.json(str(tmp_path / "d"))
     assert sorted(r.id for r in back.collect()) == list(range(10)) and {r.x for r in back.collect()} == {None}

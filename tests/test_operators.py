@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wellspring.operators import history, joins, numbering, quality
+from wellspring.functions.keys import hash_diff
+from wellspring.operators import anomaly, history, joins, numbering, quality
 from wellspring.operators.anomaly import detect_anomalies, iqr_outliers, sigma_flag, z_score
 from wellspring.operators.quantiles import group_quantiles
 
@@ -19,9 +20,9 @@ def test_surrogate_key_is_dense_in_key_order(spark, n):
     assert sorted(found) == [(10 + i, v, str(v)) for i, v in enumerate(sorted(ids), 1)]
 
 
-def test_surrogate_key_survives_poor_cut_points(spark):
+def test_surrogate_key_is_dense_for_any_number_of_ranges(spark):
     df = spark.range(500)
-    found = numbering.surrogate_key(df, "id", "k", cuts_from=spark.range(3)).collect()
+    found = numbering.surrogate_key(df, "id", "k", ranges=3).collect()
     assert sorted((r.k, r.id) for r in found) == [(i + 1, i) for i in range(500)]
 
 
@@ -45,11 +46,27 @@ def test_spread_blocks_leaves_the_remainder_alone(spark, rows, groups):
         assert sorted(r["count"] for r in sizes) == [216] * 49 + [236]
 
 
-def test_slices_by_topk_and_by_numbering_agree(spark):
+def test_slices(spark):
     df = spark.range(1000).repartition(4)
-    near = [r.id for r in numbering.slice_rows(df, ["id"], 100, 20).collect()]
-    far = sorted(r.id for r in numbering.slice_rows(df, ["id"], 100, 20, driver_limit=10).collect())
-    assert near == far == list(range(100, 120))
+    assert sorted(r.id for r in numbering.slice_rows(df, ["id"], 100, 20).collect()) == list(range(100, 120))
+    assert numbering.slice_rows(df, ["id"], 995, 20).count() == 5
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1, 1.0), (1, 2.0), (1, float("nan")), (None, 3.0)], "g long, x double")
+    for flagged in (
+        anomaly.threshold_flag(df, "x", 100.0, "o"),
+        anomaly.sigma_flag(df, "x", 2.0, "o"),
+        iqr_outliers(df, ["g"], "x", name="o"),
+        anomaly.detect_anomalies(df, ["g"], "x").withColumnRenamed("is_anomaly", "o"),
+    ):
+        assert [r.o for r in flagged.filter(F.isnan("x")).collect()] == [0]
+
+
+def test_small_doubles_have_their_own_text(spark):
+    df = spark.createDataFrame([(1e-11,), (2e-11,), (0.0,), (-0.0,), (12345678.5,)], "x double")
+    found = [r[0] for r in df.select(hash_diff(df, ["x"])).collect()]
+    assert len(set(found)) == 4 and found[2] == found[3]
 
 
 def _groups(seed=0):

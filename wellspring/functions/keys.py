@@ -39,11 +39,13 @@ def _trimmed(text: Column) -> Column:
 
 
 def _double_text(col: Column) -> Column:
-    # Between 0.001 and ten million a double's own text is plain digits. Others go
-    # through a decimal, or keep their text where no decimal holds them (NaN, 1e30).
+    # Between 0.001 and ten million a double's own text is plain digits. Others take
+    # a decimal's digits where that is the same number, else their own text, so that
+    # no two doubles share a text (1e-11, 2e-11 and 0 differ).
     size = F.abs(col)
     plain = (size < 1e7) & ((size >= 1e-3) | (size == 0))
-    fixed = _trimmed(col.try_cast(T.DecimalType(38, 10)).cast("string"))
+    decimal = col.try_cast(T.DecimalType(38, 10))
+    fixed = F.when(decimal.cast("double") == col, _trimmed(decimal.cast("string")))
     return F.when(plain, _trimmed((col + 0.0).cast("string"))).otherwise(F.coalesce(fixed, col.cast("string")))
 
 

@@ -11,33 +11,39 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wellspring.operators.joins import left_join
 from wellspring.operators.quantiles import GROUP_LIMIT, group_quantiles
 
 # Default thresholds of the rules.
 SIGMA, Z_LIMIT, FENCE, DEGRADE_SHARE = 2.0, 2.5, 1.5, 0.1
 
 
+def known(column: str) -> Column:
+    """The value, or null for NaN, which Spark holds larger than any number."""
+    return F.when(~F.isnan(column), F.col(column))
+
+
 def _mean_std(df: DataFrame, column: str) -> Column:
-    clean = F.when(~F.isnan(column), F.col(column))
+    clean = known(column)
     return df.agg(F.struct(F.avg(clean).alias("mean"), F.stddev_samp(clean).alias("std"))).scalar()
 
 
 def threshold_flag(df: DataFrame, column: str, limit: float, name: str = "is_anomaly") -> DataFrame:
-    """1 where abs(value) > limit."""
-    return df.withColumn(name, _flag(F.abs(column) > limit))
+    """1 where abs(value) > limit; NaN is a missing value, as everywhere here."""
+    return df.withColumn(name, _flag(F.abs(known(column)) > limit))
 
 
 def sigma_flag(df: DataFrame, column: str, sigmas: float = SIGMA, name: str = "is_anomaly") -> DataFrame:
     """1 outside mean +- sigmas * sample standard deviation of the whole table."""
     stats = _mean_std(df, column)
     low, high = stats["mean"] - sigmas * stats["std"], stats["mean"] + sigmas * stats["std"]
-    return df.withColumn(name, _flag((F.col(column) < low) | (F.col(column) > high)))
+    return df.withColumn(name, _flag((known(column) < low) | (known(column) > high)))
 
 
 def z_score(df: DataFrame, column: str, name: str = "z_score") -> DataFrame:
     """abs((value - mean) / sample std); null where the standard deviation is 0 or unknown."""
     stats = _mean_std(df, column)
-    return df.withColumn(name, F.abs(F.try_divide(F.col(column) - stats["mean"], stats["std"])))
+    return df.withColumn(name, F.abs(F.try_divide(known(column) - stats["mean"], stats["std"])))
 
 
 def fences(
@@ -62,10 +68,10 @@ def iqr_outliers(
     bounds = fences(df, list(group or []), column, k, group_limit)
     if not group:
         whole = bounds.select(F.struct("lower_bound", "upper_bound")).scalar()
-        outside = (F.col(column) < whole["lower_bound"]) | (F.col(column) > whole["upper_bound"])
+        outside = (known(column) < whole["lower_bound"]) | (known(column) > whole["upper_bound"])
         return df.withColumn(name, _flag(outside))
-    outside = (F.col(column) < F.col("lower_bound")) | (F.col(column) > F.col("upper_bound"))
-    joined = df.join(bounds.select(*group, "lower_bound", "upper_bound"), list(group), "left")
+    outside = (known(column) < F.col("lower_bound")) | (known(column) > F.col("upper_bound"))
+    joined = left_join(df, bounds.select(*group, "lower_bound", "upper_bound"), list(group))
     return joined.withColumn(name, _flag(outside)).select(*df.columns, name)
 
 

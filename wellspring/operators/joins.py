@@ -117,7 +117,7 @@ def upsert(target: DataFrame, incoming: DataFrame, key: str | Sequence[str], ord
 def flag_where_in(df: DataFrame, keys: DataFrame, on: str | Sequence[str], changes: dict[str, Any]) -> DataFrame:
     """Set columns on the rows whose key is in ``keys``; other rows keep their values."""
     on = _keys(on)
-    marked = df.join(keys.select(*on).distinct().withColumn("_in", F.lit(True)), on, "left")
+    marked = left_join(df, keys.select(*on).distinct().withColumn("_in", F.lit(True)), on)
     set_to = {
         name: F.when(F.col("_in"), F.lit(value)).otherwise(F.col(name)) if name in df.columns
         else F.when(F.col("_in"), F.lit(value))

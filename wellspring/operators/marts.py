@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.functions.scalars import entity_label, fill_defaults, good_share, run_time
+from wellspring.functions.scalars import entity_label, fill_defaults, good_share, nan_to_null, run_time
 from wellspring.operators.anomaly import SIGMA, sigma_flag
 from wellspring.operators.quantiles import group_quantiles
 
@@ -39,7 +39,7 @@ def well_analytics(
     Readings without a well are left out; wells are the left side's concern
     only, so readings of wells no hub knows stay.
     """
-    flagged = sigma_flag(measurements, "amplitude", sigmas)
+    flagged = sigma_flag(nan_to_null(measurements), "amplitude", sigmas)
     per_well = (
         flagged.filter(F.col("well_id").isNotNull())
         .groupBy("well_id")
@@ -62,7 +62,7 @@ def well_analytics(
 
 def _per_key(facts: DataFrame, keys: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
     """Mergeable measures per fact key."""
-    return facts.groupBy(*keys).agg(
+    return nan_to_null(facts).groupBy(*keys).agg(
         F.count("reading_key").alias("_readings"),
         F.sum("amplitude").alias("_sum"),
         F.count("amplitude").alias("_n"),
@@ -286,7 +286,7 @@ def top_wells(well_mart: DataFrame, k: int = 10) -> DataFrame:
 
 def reading_statistics(readings: DataFrame) -> DataFrame:
     """One row: rows, wells, sorted survey types, depth and amplitude ranges."""
-    return readings.agg(
+    return nan_to_null(readings).agg(
         F.count(F.lit(1)).alias("total_traces"),
         F.count_distinct("well_id").alias("unique_wells"),
         F.sort_array(F.collect_set("survey_type_id")).alias("survey_types"),
@@ -300,6 +300,7 @@ def reading_statistics(readings: DataFrame) -> DataFrame:
 def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, exact quartiles and max, one row per column."""
     parts = []
+    df = nan_to_null(df)
     for name in columns:
         quartiles = group_quantiles(df, [], name, [0.25, 0.5, 0.75]).select("q").scalar()
         parts.append(

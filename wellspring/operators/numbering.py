@@ -24,18 +24,18 @@ def surrogate_key(
     key: str,
     name: str,
     start: Column | int = 0,
-    ranges: int = 64,
-    cuts_from: DataFrame | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1, 2, ... in order of a unique numeric ``key``, above ``start``.
 
     The cut points only decide how rows are spread; offsets come from exact
-    counts, so the numbers are right whatever the approximation returns. At most
-    ``ranges`` + 1 rows reach the offset window and the broadcast. The cut
-    points may come from a cheaper table with similar keys (``cuts_from``).
+    counts, so the numbers are right whatever the approximation returns. There
+    are as many ranges as shuffle partitions, and at most one more row reaches
+    the offset window and the broadcast.
     """
+    ranges = ranges or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     shares = [i / ranges for i in range(1, ranges)]
-    cuts = (df if cuts_from is None else cuts_from).agg(F.percentile_approx(key, shares, ranges * 50)).scalar()
+    cuts = df.agg(F.percentile_approx(key, shares, ranges * 50)).scalar()
     spread = df.withColumn("_cuts", cuts).withColumn("_range", F.expr(_cuts_below(f"`{key}`", 0, ranges - 1))).drop("_cuts")
     sizes = spread.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
@@ -112,15 +112,13 @@ def spread_blocks(
     )
 
 
-def slice_rows(df: DataFrame, order: Sequence[str], offset: int, limit: int, driver_limit: int = 100_000) -> DataFrame:
-    """Rows ``offset`` + 1 to ``offset`` + ``limit`` in ``order``.
+def slice_rows(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFrame:
+    """Rows ``offset`` + 1 to ``offset`` + ``limit`` in ``order``, cut out of the numbered table.
 
-    Short slices use Spark's top-k; one that reaches deep into the table is cut
-    out of the numbered table instead, so no task holds offset + limit rows.
+    No task holds offset + limit rows, however deep the slice is. Rows that tie
+    in ``order`` follow each other in no promised order, so it should be unique.
     """
     if offset < 0 or limit < 0:
         raise ValueError("offset and limit must not be negative")
-    if offset + limit <= driver_limit:
-        return df.orderBy(*order).offset(offset).limit(limit)
     numbered = number_rows(df, order, "_row_no")
     return numbered.filter(F.col("_row_no").between(offset + 1, offset + limit)).drop("_row_no")

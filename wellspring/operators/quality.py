@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.functions.scalars import run_time
+from wellspring.functions.scalars import nan_to_null, run_time
 from wellspring.operators.joins import reference_counts
 from wellspring.operators.vault import AUDIT_COLUMNS
 from wellspring.schemas import missing_columns
@@ -265,7 +265,7 @@ def duplicate_counts(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 
 def completeness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row per column: total rows, nulls and the completeness percentage, in one pass."""
-    total = F.count(F.lit(1))
+    df, total = nan_to_null(df), F.count(F.lit(1))
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspring.functions.scalars import entity_label, good_share, quality_score
+from wellspring.functions.scalars import entity_label, good_share, nan_to_null, quality_score
 from wellspring.operators.history import dedup_first
 from wellspring.operators.joins import insert_ignore, lookup_key, rejects, upsert
 from wellspring.operators.numbering import surrogate_key
@@ -69,7 +69,7 @@ def dim_well(masters: DataFrame, vault_ids: DataFrame | None, effective: str) ->
         rows = insert_ignore(
             rows, conform(only_id, DIM_WELL, {"effective_date": effective, "is_current": 1}), "well_id"
         )
-    return surrogate_key(rows, "well_id", "well_key", cuts_from=masters)
+    return surrogate_key(rows, "well_id", "well_key")
 
 
 def dim_sensor(masters: DataFrame, vault_ids: DataFrame | None, effective: str) -> DataFrame:
@@ -85,7 +85,7 @@ def dim_sensor(masters: DataFrame, vault_ids: DataFrame | None, effective: str)
             {"sensor_type": UNKNOWN, "effective_date": effective, "is_current": 1},
         )
         rows = insert_ignore(rows, only_id, "sensor_id")
-    return surrogate_key(rows, "sensor_id", "sensor_key", cuts_from=masters)
+    return surrogate_key(rows, "sensor_id", "sensor_key")
 
 
 def _no_duplicates(rows: DataFrame, key: str) -> DataFrame:
@@ -151,7 +151,7 @@ def fact_sensor_reading(
         optional("frequency").alias("frequency"),
         optional("phase").alias("phase"),
         "quality_flag",
-        (F.abs("amplitude") > threshold).cast("int").alias("is_anomaly"),
+        F.coalesce(F.abs(F.nanvl("amplitude", F.lit(None).cast("double"))) > threshold, F.lit(False)).cast("int").alias("is_anomaly"),
         quality_score().alias("data_quality_score"),
     )
 
@@ -163,7 +163,7 @@ def fact_rejects(readings: DataFrame, wells: DataFrame) -> DataFrame:
 
 def fact_survey_event(facts: DataFrame, wells: DataFrame) -> DataFrame:
     """One survey per well and source. Facts are aggregated on their keys before the well is joined."""
-    per_key = facts.groupBy("well_key", "source_key").agg(
+    per_key = nan_to_null(facts).groupBy("well_key", "source_key").agg(
         F.min("time_key").alias("time_key"),
         F.min("timestamp").alias("survey_start_date"),
         F.max("timestamp").alias("survey_end_date"),

@@ -134,7 +134,7 @@ def sink_json(spark, sf):
         SELECT 'run-1' AS pipeline_run, (SELECT COUNT(*) FROM readings) AS extract_measurements,
         (SELECT COUNT(*) FROM customer) AS extract_wells, COUNT(DISTINCT well_id) AS transform_wells_processed,
         COUNT(*) FILTER (WHERE amplitude < m - 2 * s OR amplitude > m + 2 * s) AS transform_anomalies_found,
-        COUNT(DISTINCT well_id) AS load_postgresql, (SELECT LEAST(10000, COUNT(*)) FROM readings) AS load_mongodb
+        COUNT(DISTINCT well_id) AS load_postgresql, (SELECT COUNT(*) FROM readings) AS load_mongodb
         FROM readings, stats"""
     ),
 )

@@ -564,7 +564,7 @@ def load_check(spark, sf):
         + """SELECT 'run-1' AS pipeline_run, TIMESTAMP '2025-01-01 00:00:00' AS execution_time,
         (SELECT COUNT(*) FROM readings) AS extract_measurements, (SELECT COUNT(*) FROM customer) AS extract_wells,
         COUNT(*) AS transform_wells_processed, CAST(SUM(anomaly_count) AS BIGINT) AS transform_anomalies_found,
-        COUNT(*) AS load_postgresql, (SELECT LEAST(10000, COUNT(*)) FROM readings) AS load_mongodb,
+        COUNT(*) AS load_postgresql, (SELECT COUNT(*) FROM readings) AS load_mongodb,
         'exports/well_analytics_20250101' AS load_json FROM analytics"""
     ),
 )
@@ -574,7 +574,7 @@ def run_report(spark, sf):
     counted = readings.agg(F.count(F.lit(1)).alias("measurements")).withColumn(
         "wells", wells.agg(F.count(F.lit(1))).scalar()
     )
-    written = readings.agg(F.least(F.lit(sinks.DOCUMENT_LIMIT), F.count(F.lit(1)))).scalar()
+    written = readings.agg(F.count(F.lit(1))).scalar()
     exported = sinks.dated_path("exports", "well_analytics", b.LOADED_AT[:10])
     return sinks.flat(
         sinks.run_report(_analytics(spark, sf), counted, written, "run-1", b.LOADED_AT, exported)
@@ -586,7 +586,7 @@ def run_report(spark, sf):
     readings_sql(
         """SELECT reading_key, well_id, sensor_id, survey_type_id,
         strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f') AS "timestamp", depth_ft, amplitude, quality_flag, source_format
-        FROM readings ORDER BY reading_key LIMIT 10000"""
+        FROM readings"""
     ),
 )
 def documents_export(spark, sf):

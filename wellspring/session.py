@@ -32,10 +32,12 @@ def build_session(app_name: str = "wellspring", master: str | None = None, **set
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a laptop) is a temporary folder made.
+    Only where that setting is absent in local mode (tests, a laptop) is a temporary folder made; a cluster must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="wellspring-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -13,8 +13,6 @@ from wellspring.functions.scalars import as_documents, iso_text, nan_to_null, ru
 from wellspring.operators.joins import new_rows
 from wellspring.sources.files import CSV_TIMES
 
-DOCUMENT_LIMIT = 10_000  # fixed value: most documents the store takes per run
-
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace a Parquet table; with partitions, replace only those in ``df``."""
@@ -76,12 +74,12 @@ def to_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str] |
     df.write.option("truncate", True).jdbc(url, table, mode="overwrite", properties=dict(properties or {}))
 
 
-def documents(df: DataFrame, order: Sequence[str], limit: int = DOCUMENT_LIMIT) -> DataFrame:
-    """The first ``limit`` rows in ``order``, with ISO text for times and null for NaN."""
-    return as_documents(df.orderBy(*order).limit(limit))
+def documents(df: DataFrame, order: Sequence[str] = (), limit: int | None = None) -> DataFrame:
+    """All rows, or the first ``limit`` in ``order``, with ISO text for times and null for NaN."""
+    return as_documents(df if limit is None else df.orderBy(*order).limit(limit))
 
 
-def to_documents(df: DataFrame, path: str, order: Sequence[str], limit: int = DOCUMENT_LIMIT) -> None:
+def to_documents(df: DataFrame, path: str, order: Sequence[str] = (), limit: int | None = None) -> None:
     """Replace the document target by JSON lines, one document per row."""
     documents(df, order, limit).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
