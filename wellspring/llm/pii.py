@@ -26,7 +26,7 @@ WINDOW, STRIDE = 64, 32
 SAMPLE_ROWS, ROW_WINDOWS = 1_500, 6  # labelled rows, and windows a row, that the model is fitted on
 STEPS, BATCH, RATE = 260, 64, 0.02
 EMBED, HIDDEN = 10, 14
-MARGIN = 4.0  # mean advantage a character over "outside" for a span to be added
+MARGIN = 0.5  # mean advantage a character over "outside" for a span to be added
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
