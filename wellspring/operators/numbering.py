@@ -30,10 +30,11 @@ def surrogate_key(
 
     The cut points only decide how rows are spread; offsets come from exact
     counts, so the numbers are right whatever the approximation returns. There
-    are as many ranges as shuffle partitions, and at most one more row reaches
-    the offset window and the broadcast.
+    are as many ranges as shuffle partitions, up to the 1024 that one generated
+    expression tells apart, and at most one more row reaches the offset window
+    and the broadcast.
     """
-    ranges = ranges or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = ranges or min(1024, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     shares = [i / ranges for i in range(1, ranges)]
     cuts = df.agg(F.percentile_approx(key, shares, ranges * 50)).scalar()
     spread = df.withColumn("_cuts", cuts).withColumn("_range", F.expr(_cuts_below(f"`{key}`", 0, ranges - 1))).drop("_cuts")
