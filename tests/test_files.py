@@ -172,6 +172,16 @@ def test_custom_step_before_repair(spark, folder, tmp_path_factory):
         repair.repair_parquet(spark, path, f"{out}/b")
 
 
+def test_repaired_files_of_an_earlier_run_stay_out(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for name in ("first", "second"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"{name} a+b%.parquet").write_bytes(parquet_bytes() + b"tail")
+        rows, _ = repair.repair_parquet(spark, str(tmp_path / name), out)
+        assert rows.count() == 50
+    assert sum(n.endswith(".parquet") for n in os.listdir(out)) == 2
+
+
 def test_patterns_in_files_have_byte_offsets(spark, folder):
     folder("a.parquet", "é".encode() + b"\x00\xffFLAG{ABC_1}FLAG{SECOND}")
     path = folder("b.parquet", b"nothing")

@@ -213,7 +213,11 @@ def repair_parquet(
     manifest = spark.read.parquet(manifest_path)
     if manifest.filter("status = 'repaired'").isEmpty():
         raise RepairError(f"no file in {path} could be repaired")
-    return spark.read.parquet(output), manifest
+    # by name, so that files of an earlier run in the same folder stay out
+    written = manifest.filter("status = 'repaired'").select(F.element_at(F.split("output", "/"), -1).alias("_file"))
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))  # Spark gives it URI-encoded
+    rows = spark.read.parquet(output).withColumn("_file", name)
+    return rows.join(written, "_file", "semi").drop("_file"), manifest
 
 
 def scan_files_for_patterns(
