@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from wellspring.llm import pii, secret_scan, sql, substring_dedup, tokens
+from wellspring.llm import jaccard_join, pii, secret_scan, sql, substring_dedup, tokens
 from wellspring.llm import queries as llm
 from wellspring.llm.best_fit_packing import best_fit_packing, pack
 from wellspring.llm.jaccard_join import near_duplicates
@@ -86,6 +86,25 @@ def test_jaccard_join_against_brute_force(corpus):
     assert sorted(map(tuple, near_duplicates(df).collect()), key=key) == sorted(want, key=key)
 
 
+def test_parts_of_salted_lists_keep_their_links(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LIST_ENTRIES", 2)
+    rng = random.Random(8)
+    rows, want, copies = [], [], [12, 12, 1, 1, 1, 1]
+    for g in range(20):
+        w = [f"g{g}w{i}" for i in range(80)]
+        for n, times in enumerate(copies if g < 10 else [1] * 5):
+            near = [*w[:-1], f"end{n}"]  # 75 of 77 n-grams are those of every other one of the group
+            rows += [" ".join(near)] * times
+            want += [g] * times
+    order = rng.sample(range(len(rows)), len(rows))
+    df = spark.createDataFrame([(i, rows[k]) for i, k in enumerate(order)], "doc_id long, text string").repartition(5)
+    least = {}
+    for i, k in enumerate(order):
+        least.setdefault(want[k], i)
+    got = {r.doc_id: r.component_id for r in near_duplicates(df).collect()}
+    assert got == {i: least[want[k]] for i, k in enumerate(order)}
+
+
 def test_quality_base_against_brute_force(corpus):
     rows, df = corpus
     got = {r.doc_id: r for r in quality_rules(df).collect()}

@@ -63,6 +63,7 @@ _SIGNED = ["id", "n", "item", "check", "counter", "hits", *CELLS]
 def _signature_pass(k: int):
     def run(batches):
         hits = np.zeros(1 << COUNTER_BITS, np.int64)
+        seen: set[int] = set()
         for batch in batches:
             n = batch.num_rows
             size, a, b = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -72,7 +73,9 @@ def _signature_pass(k: int):
                 if len(s):
                     a[i], b[i] = digest(s)
                     cells[:, i] = _parities(s)
-                    np.add.at(hits, _counter(s), 1)
+                    if a[i] not in seen:  # as the lists, which hold an item once a task
+                        seen.add(int(a[i]))
+                        np.add.at(hits, _counter(s), 1)
             yield pa.record_batch(
                 [
                     batch.column(0),
@@ -104,7 +107,7 @@ def _signature_pass(k: int):
 
 
 def _prefix_pass(k: int, percent: int, counters):
-    """(token, salt, item, n, place, weight) for the first n - ceil(n * percent / 100) + 1 n-grams of every set."""
+    """(token, salt, salts, item, n, place, weight) for the first n - ceil(n * percent / 100) + 1 n-grams of every set."""
 
     def run(batches):
         hits = counters.value
@@ -115,7 +118,7 @@ def _prefix_pass(k: int, percent: int, counters):
 
         def out():
             columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-            return pa.record_batch([pa.array(c) for c in columns], ["token", "salt", "item", "n", "place", "weight"])
+            return pa.record_batch([pa.array(c) for c in columns], ["token", "salt", "salts", "item", "n", "place", "weight"])
 
         for batch in batches:
             for _, s in _sets(batch.column(1), k):
@@ -135,6 +138,7 @@ def _prefix_pass(k: int, percent: int, counters):
                     (
                         token,
                         (abs(item) % salts).astype(np.int32),
+                        salts.astype(np.int32),
                         np.full(m, item, np.int64),
                         np.full(m, len(s), np.int32),
                         np.arange(m, dtype=np.int32),
@@ -236,16 +240,17 @@ class JaccardJoin:
         return (both - apart) * (100 + self.percent) >= both * (2 * self.percent)
 
     def index(self) -> DataFrame:
-        """The lists with two or more items: entries with their list's pivot."""
+        """Entries with their list's pivot: lists of two or more items, and of a salted list every part, also one with one item."""
         entries = self.docs.mapInArrow(
             _prefix_pass(self.k, self.percent, self.counters),
-            "token long, salt int, item long, n int, place int, weight long",
+            "token long, salt int, salts int, item long, n int, place int, weight long",
         )
         by = Window.partitionBy("token", "salt").orderBy(F.desc("weight"), "item")
         to_here = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         entries = entries.select(
             "token",
             "salt",
+            "salts",
             "item",
             "n",
             "place",
@@ -255,7 +260,8 @@ class JaccardJoin:
             F.first("place").over(to_here).alias("p_place"),
             F.lead("item").over(by).alias("next"),
         )
-        return staged(entries.filter("item != p or item != next").drop("next"), "index")
+        # a part with one item has its last row left, since the other parts may hold items like it
+        return staged(entries.filter("item != p or item != next or (salts > 1 and next is null)").drop("next", "salts"), "index")
 
     def star_pairs(self, index: DataFrame) -> DataFrame:
         """(p, x): every member with its list's pivot, and the pivots of a salted list's parts with the first part's."""
