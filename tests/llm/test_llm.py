@@ -226,6 +226,38 @@ def test_the_tagger_learns_other_forms_and_windows_agree(spark):
     assert {text[a:b] for a, _, b in found} == {"(212) 555-0199"}
 
 
+def test_the_tagger_reads_forms_without_digit_or_sign_and_adds_every_kind(spark):
+    name = "a" * 50
+    spelled = f"{name} at {'b' * 50} dot example dot com"
+    text = f"{prose(random.Random(5), 90)} ".translate({ord(c): "x" for c in "0123456789"})
+    whole = text + spelled + " " + text
+    ranges = pii.stretches(pii.classes_of(whole))
+    assert any(a <= len(text) and b >= len(text) + len(spelled) for a, b in ranges)
+
+    rng = random.Random(6)
+
+    def card():
+        digits = "".join(rng.choice("0123456789") for _ in range(15))
+        return next(c for c in (f"{digits}{x}" for x in range(10)) if pii.luhn(c))
+
+    rows = []
+    for i in range(400):
+        ip = ".".join(str(rng.randrange(1, 255)) for _ in range(4))
+        c = card()
+        shown = " ".join(c[k : k + 4] for k in range(0, 16, 4))
+        name = "".join(rng.choice("abcdefgimnorst") for _ in range(rng.randrange(2, 8)))
+        mail = f"{f'{name}.{name[::-1]}' if i % 2 else name}@{rng.choice(['host.example', 'mail', 'site'])}.{rng.choice(['com', 'org', 'net'])}"
+        rows.append((i, f"{prose(rng, 12)} look at that {rng.choice(['write', 'the', 'from'])} {[mail, ip, shown][i % 3]} {prose(rng, 12)}"))
+    model = pii.train(spark.createDataFrame(rows, "doc_id long, text string"))
+    cards = card()
+    dotted = ".".join(cards[k : k + 4] for k in range(0, 16, 4))
+    for given in ("jane dot doe at mail dot example dot com", "ann[at]host.com", "10 dot 20 dot 130 dot 14", dotted):
+        text = f"the of and look at that {given} in the of and"
+        assert {text[a:b] for a, _, b in pii.added_spans(model, text, pii.base_spans(text))} == {given}
+    text = "the of and look at that in the of and"
+    assert not pii.added_spans(model, text, pii.base_spans(text))
+
+
 def test_toxic_words_and_misspellings(spark):
     rng = random.Random(4)
     rows = [(i, prose(rng, 40) + (" nastyword uglyword" * 2 if i % 3 == 0 else "")) for i in range(400)]

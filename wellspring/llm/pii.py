@@ -2,12 +2,14 @@
 
 The model is trained in NumPy from labelled spans: those of the base patterns in
 a bounded sample of rows, and the same spans written otherwise (telephone numbers
-without a plus or with dots, addresses with " at " and " dot "). It reads
-overlapping windows of characters around every digit and at-sign, since no kind
-does without one; windows' scores are averaged where they overlap, and one
+without a plus or with dots, addresses with " at " and " dot ", IP addresses with
+" dot " or "[.]", card numbers with dots or spaced hyphens). It reads overlapping
+windows of characters around every digit, at-sign and word "at" or "dot", and on
+to the end of the address characters there: each of these forms has one of them
+within reach of all its parts. Windows' scores are averaged where they overlap, and one
 Viterbi path is decoded over each connected stretch, so a span is decided once,
 however windows cut it. Decoded spans that touch no base span and pass their
-kind's form are added.
+kind's form are added, IP addresses and card numbers under the base's checks.
 """
 
 from __future__ import annotations
@@ -34,7 +36,22 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANCHOR = re.compile(r"[0-9@]")
-_LOOSE = {0: re.compile(r".*\S\s?(?:\[?at\]?|@)\s?\S.*", re.S), 3: re.compile(r"[(0-9][0-9().\x20-]+[0-9]")}
+_WORDED = re.compile(r"(?<![A-Za-z0-9])(?:at|dot)(?![A-Za-z0-9])", re.I)
+_SPELLED = r"\S\s?(?:\[at\]|\(at\)|(?<![A-Za-z0-9])at(?![A-Za-z0-9]))\s?\S+?(?:\sdot\s|\.)\S"  # an address without its at-sign
+_ADDRESS = re.compile(_SPELLED, re.I)
+_HOST = r"[A-Za-z0-9-]+"
+_FORM = {  # of data written otherwise; a decoded span grows to the end of the form that it touches
+    0: re.compile(rf"[A-Za-z0-9._%+-]+(?:\sdot\s[A-Za-z0-9._%+-]+)*(?:\s?\[at\]\s?|\s?\(at\)\s?|\sat\s){_HOST}(?:(?:\sdot\s|\.){_HOST})+", re.I),
+    1: re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?:\s?\[(?:\.|dot)\]\s?|\s?\((?:\.|dot)\)\s?|\sdot\s|\.)[0-9]{1,3}){3}(?![0-9])", re.I),
+    2: re.compile(r"(?<![0-9])[0-9](?:(?:\x20?[._/-]\x20?|\x20)?[0-9])+"),
+}
+FORM_REACH = 256  # an address has at most 254 characters
+_LOOSE = {
+    0: re.compile(rf".*\S\s?@\s?\S.*|.*{_SPELLED}.*", re.S | re.I),
+    1: re.compile(r"[0-9]+(?:\s?[\[(]?(?:\.|dot)[\])]?\s?[0-9]+){3}", re.I),
+    2: re.compile(r"[0-9](?:[\x20._/-]{0,3}[0-9])+"),
+    3: re.compile(r"[(0-9][0-9().\x20-]+[0-9]"),
+}
 
 
 def _digits(s: str) -> str:
@@ -49,6 +66,11 @@ def luhn(number: str) -> bool:
     return total % 10 == 0
 
 
+def in_range(parts: list[str]) -> bool:
+    parts = [p.lstrip("0") for p in parts]
+    return all(len(p) <= 3 and int(p or 0) <= 255 for p in parts)
+
+
 def base_spans(text: str) -> list[Span]:
     """Leftmost non-overlapping matches of each kind, failing ones dropped."""
     if not _ANCHOR.search(text):
@@ -65,8 +87,7 @@ def base_spans(text: str) -> list[Span]:
             found.append((start, 0, done))
         at = text.find("@", max(at + 1, done))
     for m in _IP.finditer(text):
-        parts = [p.lstrip("0") for p in m[0].split(".")]
-        if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
+        if in_range(m[0].split(".")):
             found.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() < 40 and 12 <= len(d := _digits(m[0])) <= 19 and luhn(d):
@@ -80,7 +101,9 @@ def base_spans(text: str) -> list[Span]:
 # ---- the model ----
 
 _SIGNS = "@.-_%+() \n:=\"',/#[]"  # signs with a class of their own
-CLASSES = 6 + len(_SIGNS)
+AT, DOT = 6 + len(_SIGNS), 7 + len(_SIGNS)  # letters of the words "at" and "dot"
+CLASSES = 8 + len(_SIGNS)
+_LOCAL_CLASS = np.isin(np.arange(CLASSES), [1, 2, 3, AT, DOT, *[6 + _SIGNS.index(c) for c in "@.-_%+"]])
 
 
 def classes_of(text: str) -> np.ndarray:
@@ -93,6 +116,8 @@ def classes_of(text: str) -> np.ndarray:
     out[code >= 0xC0] = 4
     for i, sign in enumerate(_SIGNS):
         out[code == ord(sign)] = 6 + i
+    for m in _WORDED.finditer(text):
+        out[m.start() : m.end()] = AT if m.end() - m.start() == 2 else DOT
     return out
 
 
@@ -217,18 +242,33 @@ def _logsum(x, axis):
 
 
 def stretches(ids: np.ndarray) -> list[tuple[int, int]]:
-    """Stretches of a text within STRIDE characters of a digit or at-sign."""
-    near = np.flatnonzero((ids == 3) | (ids == 6))
+    """Stretches of a text within STRIDE characters of a digit, an at-sign, or a word "at" or "dot".
+
+    An edge inside a run of address characters moves to the end of the run.
+    """
+    near = np.flatnonzero((ids == 3) | (ids == 6) | (ids == AT) | (ids == DOT))
     if not len(near):
         return []
     cut = np.flatnonzero(np.diff(near) > 2 * STRIDE) + 1
-    return [(max(0, int(g[0]) - STRIDE), min(len(ids), int(g[-1]) + STRIDE + 1)) for g in np.split(near, cut)]
+    stops = np.flatnonzero(~_LOCAL_CLASS[ids])
+    edges = np.concatenate([[-1], stops, [len(ids)]])
+    out: list[tuple[int, int]] = []
+    for g in np.split(near, cut):
+        a, b = max(0, int(g[0]) - STRIDE), min(len(ids), int(g[-1]) + STRIDE + 1)
+        a, b = int(edges[np.searchsorted(edges, a) - 1]) + 1, int(edges[np.searchsorted(edges, b)])
+        if out and a <= out[-1][1]:
+            a = out.pop()[0]
+        out.append((a, b))
+    return out
 
 
-def decode(model: BiLstmCrf, ids: np.ndarray) -> list[tuple[int, int, int, float]]:
+def decode(model: BiLstmCrf, text: str) -> list[tuple[int, int, int, float]]:
     """(start, kind, end, margin) of the model's spans in a whole text."""
     found = []
+    ids = classes_of(text)
     for a, b in stretches(ids):
+        if not _ANCHOR.search(text, a, b) and not _ADDRESS.search(text, max(0, a - FORM_REACH), b + FORM_REACH):
+            continue  # without digit or at-sign only a spelled address passes its form
         places = list(range(a, max(a + 1, b - WINDOW + STRIDE), STRIDE))
         total, weight = np.zeros((b - a, len(KINDS) + 1)), np.zeros(b - a)
         for at in range(0, len(places), 256):
@@ -260,13 +300,20 @@ def _otherwise(text: str, kind: int) -> list[str]:
         return [f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}"]
     if kind == 0:
         return [text.replace("@", " at ").replace(".", " dot "), text.replace("@", "[at]")]
-    return []
+    if kind == 1:
+        return [text.replace(".", " dot "), text.replace(".", "[.]")]
+    d = _digits(text)
+    fours = [d[i : i + 4] for i in range(0, len(d), 4)]
+    return [".".join(fours), " - ".join(fours)]
 
 
 def labelled_windows(text: str) -> list[tuple[str, list[Span]]]:
-    """Windows around base spans and other numbers, and the same with the spans written otherwise."""
+    """Windows around base spans, other numbers and words "at" or "dot", and the same with the spans written otherwise."""
     spans, out = base_spans(text), []
     places = [a for a, _, _ in spans] + [m.start() for m in re.finditer(r"[0-9@]", text) if clear_of(m.start(), m.start() + 1, spans)][:: 1 + STRIDE // 4]
+    for m in _WORDED.finditer(text):  # of no address, so far as the form tells
+        if clear_of(m.start(), m.end(), spans) and not _ADDRESS.search(text, max(0, m.start() - WINDOW), m.end() + WINDOW):
+            places.append(m.start())
     for n, place in enumerate(sorted(places)):
         a = max(0, place - (place * 7 + n * 13) % 40)
         window = text[a : a + WINDOW]
@@ -310,17 +357,31 @@ def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> BiLstmCrf | None:
     return BiLstmCrf(len(KINDS) + 1).fit(ids_, tags)
 
 
+def grown(text: str, a: int, kind: int, b: int) -> tuple[int, int]:
+    """The form of the kind that overlaps the span most, or the span where none does."""
+    found = _FORM[kind].finditer(text, max(0, a - FORM_REACH), b + FORM_REACH) if kind in _FORM else ()
+    shared = [(min(m.end(), b) - max(m.start(), a), m.start(), m.end()) for m in found]
+    most = max(shared, default=(0, a, b))
+    return most[1:] if most[0] > 0 else (a, b)
+
+
 def added_spans(model: BiLstmCrf | None, text: str, base: list[Span]) -> list[Span]:
-    if model is None or not _ANCHOR.search(text):
+    if model is None or not (_ANCHOR.search(text) or _WORDED.search(text)):
         return []
     out: list[Span] = []
-    for a, kind, b, margin in decode(model, classes_of(text)):
+    for a, kind, b, margin in decode(model, text):
         while a < b and text[a] in " \n.,;:)-":
             a += 1
         while b > a and text[b - 1] in " \n.,;:(-":
             b -= 1
+        if margin >= MARGIN and a < b:
+            a, b = grown(text, a, kind, b)
         piece = text[a:b]
-        if margin < MARGIN or kind not in _LOOSE or not _LOOSE[kind].fullmatch(piece) or not clear_of(a, b, base):
+        if margin < MARGIN or not _LOOSE[kind].fullmatch(piece) or not clear_of(a, b, base + out):
+            continue
+        if kind == 1 and not in_range(re.findall("[0-9]+", piece)):
+            continue
+        if kind == 2 and not (12 <= len(d := _digits(piece)) <= 19 and luhn(d)):
             continue
         if kind == 3 and not 9 <= len(_digits(piece)) <= 15:
             continue
