@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wellspring.llm.best_fit_packing import best_fit_packing
 from wellspring.llm.jaccard_join import near_duplicates
+from wellspring.llm.lsh_forest import forest_near_duplicates
 from wellspring.llm.pii import find_personal_data
+from wellspring.llm.prefix_trie import conversation_trie
 from wellspring.llm.quality_rules import quality_rules
 from wellspring.llm.secret_scan import find_secrets
 from wellspring.llm.source_mix import mix_sources
@@ -14,6 +16,7 @@ from wellspring.llm.substring_dedup import repeated_passages
 from wellspring.llm.suffix_tree_lm import suffix_tree_scores
 from wellspring.llm.topk_search import topk_search
 from wellspring.llm.toxicity import toxicity_scores
+from wellspring.llm.whitening import whiten
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +63,18 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest_near_duplicates(_documents(spark, sf_dir))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_secret_scan": op2_secret_scan,
@@ -71,4 +86,7 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_topk_search": op10_topk_search,
+    "op11_whitening": op11_whitening,
+    "op12_lsh_forest": op12_lsh_forest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
