@@ -74,6 +74,21 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no", parti
     placed = checkpointed(
         ranged.sortWithinPartitions(*columns).withColumn("_place", F.monotonically_increasing_id())
     )
+    return _from_places(placed, name, df.columns, 0)
+
+
+def hand_out_keys(df: DataFrame, name: str, above: int = 0) -> DataFrame:
+    """Add ``name`` = above + 1, above + 2, ... in no promised order, without a shuffle.
+
+    Every task numbers its own rows and gets a range of keys of just their
+    count. The rows are written to the checkpoint folder with their places, so a
+    lost executor cannot change a key. ``above`` is the high-water mark of
+    earlier runs.
+    """
+    return _from_places(checkpointed(df.withColumn("_place", F.monotonically_increasing_id())), name, df.columns, above)
+
+
+def _from_places(placed: DataFrame, name: str, columns: Sequence[str], above: int) -> DataFrame:
     part = F.shiftright("_place", _LOCAL_BITS)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
@@ -82,8 +97,8 @@ def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_no", parti
     return (
         placed.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_before") + local + 1)
-        .select(name, *df.columns)
+        .withColumn(name, F.col("_before") + local + 1 + above)
+        .select(name, *columns)
     )
 
 

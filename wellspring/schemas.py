@@ -42,6 +42,11 @@ TRACE = _schema(
        quality_flag INT, source_file STRING"""
 )
 
+VAULT_READING = _schema(
+    """well_id LONG, survey_type_id LONG, sensor_id LONG, timestamp TIMESTAMP_NTZ, trace_num LONG, depth_ft DOUBLE,
+       amplitude DOUBLE, quality_flag LONG, record_source STRING"""
+)
+
 DIM_WELL = _schema(
     """well_id LONG, well_name STRING, latitude DOUBLE, longitude DOUBLE, basin STRING, field STRING,
        operator STRING, spud_date DATE, completion_date DATE, well_status STRING, total_depth DOUBLE,

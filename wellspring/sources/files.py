@@ -47,3 +47,8 @@ def read_bytes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return (
         spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     )
+
+
+def list_sources(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """(path, length, modified) of the files below ``path``, from Spark's own file index; no content is read."""
+    return read_bytes(spark, path, glob).select("path", "length", F.col("modificationTime").alias("modified"))

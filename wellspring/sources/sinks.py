@@ -60,6 +60,35 @@ def append_table(
     gathered(fresh, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
 
 
+def append_counted(df: DataFrame, path: str, partition_by: str, aside: Sequence[str] = ()) -> None:
+    """Append as many rows of each content as ``df`` has more of than the table: a union of multisets.
+
+    Rows are equal when all columns but those in ``aside`` are; of these the
+    least value of the batch is kept. Equal rows are counted before they meet
+    the table, so a content repeated by a third of all rows costs one row, and
+    only the partitions that ``df`` touches are read. Running a batch again
+    appends nothing.
+    """
+    content = [c for c in df.columns if c not in aside]
+    counted = df.groupBy(*content).agg(F.count(F.lit(1)).alias("_here"), *[F.min(c).alias(c) for c in aside])
+    existing = read_if_present(df, path)
+    if existing is not None:
+        touched = df.select(F.col(partition_by).alias("_touched")).distinct()
+        held = existing.join(touched, F.col(partition_by).eqNullSafe(F.col("_touched")), "left_semi")
+        held = held.groupBy(*content).agg(F.count(F.lit(1)).alias("_there"))
+        none = [F.lit(None).cast(df.schema[c].dataType).alias(c) for c in aside]
+        both = counted.select(*content, *aside, "_here", F.lit(0).cast("long").alias("_there")).union(
+            held.select(*content, *none, F.lit(0).cast("long").alias("_here"), "_there")
+        )
+        # a grouping, not a join: nulls are equal here
+        counted = both.groupBy(*content).agg(
+            *[F.min(c).alias(c) for c in aside], (F.sum("_here") - F.sum("_there")).alias("_here")
+        )
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_here"))).alias("_copy")
+    fresh = counted.filter(F.col("_here") > 0).select("*", copies).select(*df.columns)
+    gathered(fresh, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
+
+
 def gathered(df: DataFrame, *partition_by: str) -> DataFrame:
     """Rows of a partition brought together before a partitioned write, so that it gets few files.
 

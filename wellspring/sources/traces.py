@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
@@ -138,6 +139,39 @@ def plan_slices(files: list[tuple[str, int]], record_size: int, task_bytes: int)
     return tasks
 
 
+def slice_batches(
+    system: fs.FileSystem, path: str, length: int, first: int, n: int, layout: str, mode: str
+) -> Iterator[pa.RecordBatch]:
+    """Records ``first`` to ``first + n - 1`` of one file, after a look at its header."""
+    dtype = record_dtype(layout)
+    with system.open_input_file(path) as handle:
+        head = read_header(handle, length, dtype.itemsize)
+        if head.error and mode == "strict":
+            raise TraceFileError(f"{path}: {head.error}")
+        if head.error and mode == "skip":
+            return
+        last = min(first + n, head.whole_traces)  # bytes after the announced traces are ignored
+        step = max(1, READ_BYTES // dtype.itemsize)
+        for start in range(first, last, step):
+            count = min(step, last - start)
+            raw = handle.read_at(count * dtype.itemsize, HEADER.itemsize + start * dtype.itemsize)
+            yield _record_batch(np.frombuffer(raw, dtype), start, head, posixpath.basename(path), layout)
+
+
+def _record_batch(records: np.ndarray, start: int, head: Header, name: str, layout: str) -> pa.RecordBatch:
+    n = len(records)
+    columns = {"trace_num": np.arange(start + 1, start + n + 1, dtype=np.int64)}
+    for column, kind in parse_layout(layout):
+        columns[column] = records[column].astype(_NUMPY_TYPES[_SQL_TYPES[kind]])
+        if column == "well_id":
+            columns["survey_type_id"] = np.full(n, head.survey_type_id, dtype=np.int64)
+    if "survey_type_id" not in columns:
+        columns = {"trace_num": columns.pop("trace_num"),
+                   "survey_type_id": np.full(n, head.survey_type_id, dtype=np.int64), **columns}
+    arrays = [pa.array(v) for v in columns.values()] + [pa.array([name] * n, pa.string())]
+    return pa.RecordBatch.from_arrays(arrays, names=[*columns, "source_file"])
+
+
 class TraceReader(DataSourceReader):
     def __init__(self, options: Mapping[str, str]):
         self.path = options["path"]
@@ -155,34 +189,9 @@ class TraceReader(DataSourceReader):
         return plan_slices(files, record_dtype(self.layout).itemsize, self.task_bytes)
 
     def read(self, partition: TraceSlices) -> Iterator[pa.RecordBatch]:
-        dtype = record_dtype(self.layout)
         system, _ = open_filesystem(self.path)
         for path, length, first, n in partition.slices:
-            with system.open_input_file(path) as handle:
-                head = read_header(handle, length, dtype.itemsize)
-                if head.error and self.mode == "strict":
-                    raise TraceFileError(f"{path}: {head.error}")
-                if head.error and self.mode == "skip":
-                    continue
-                last = min(first + n, head.whole_traces)  # bytes after the announced traces are ignored
-                step = max(1, READ_BYTES // dtype.itemsize)
-                for start in range(first, last, step):
-                    count = min(step, last - start)
-                    raw = handle.read_at(count * dtype.itemsize, HEADER.itemsize + start * dtype.itemsize)
-                    yield self._batch(np.frombuffer(raw, dtype), start, head, posixpath.basename(path))
-
-    def _batch(self, records: np.ndarray, start: int, head: Header, name: str) -> pa.RecordBatch:
-        n = len(records)
-        columns = {"trace_num": np.arange(start + 1, start + n + 1, dtype=np.int64)}
-        for column, kind in parse_layout(self.layout):
-            columns[column] = records[column].astype(_NUMPY_TYPES[_SQL_TYPES[kind]])
-            if column == "well_id":
-                columns["survey_type_id"] = np.full(n, head.survey_type_id, dtype=np.int64)
-        if "survey_type_id" not in columns:
-            columns = {"trace_num": columns.pop("trace_num"),
-                       "survey_type_id": np.full(n, head.survey_type_id, dtype=np.int64), **columns}
-        arrays = [pa.array(v) for v in columns.values()] + [pa.array([name] * n, pa.string())]
-        return pa.RecordBatch.from_arrays(arrays, names=[*columns, "source_file"])
+            yield from slice_batches(system, path, length, first, n, self.layout, self.mode)
 
 
 class HeaderReader(TraceReader):
@@ -259,6 +268,52 @@ def sgx_errors(spark: SparkSession, path: str, glob: str = "*.sgx", layout: str
     return sgx_headers(spark, path, glob, layout).filter("status <> 'ok'").select("path", "error")
 
 
+def read_trace_files(
+    files: DataFrame, layout: str = LAYOUT, on_error: str = "strict", range_bytes: int = TASK_BYTES
+) -> DataFrame:
+    """Traces of the files that ``files`` (path, length) lists; a batch, a stream's micro-batch or a joined listing.
+
+    Files are cut into record ranges, and the ranges are dealt to as many tasks
+    as there are shuffle partitions, so one very large file is read by all of
+    them. No path comes to the driver. ``on_error`` is as in ``read_sgx``.
+    """
+    if on_error not in ("strict", "skip", "salvage"):
+        raise ValueError("on_error must be strict, skip or salvage")
+    record = record_dtype(layout).itemsize
+    step = max(1, range_bytes // record)
+    records = F.greatest(F.lit(1).cast("long"), F.floor((F.col("length") - HEADER.itemsize) / record))  # a bad file still gets its check
+    first = F.explode(F.sequence(F.lit(0).cast("long"), records - 1, F.lit(step).cast("long")))
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = files.select("path", "length", first.alias("first")).repartition(tasks, "path", "first")
+
+    def run(batches):
+        for batch in batches:
+            for path, length, start in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                system, inner = open_filesystem(path)
+                yield from slice_batches(system, inner, length, start, step, layout, on_error)
+
+    return ranges.mapInArrow(run, trace_schema(layout))
+
+
+def check_trace_files(files: DataFrame, layout: str = LAYOUT) -> DataFrame:
+    """(path, traces, error): the header's verdict on every listed file; error is null where the file is sound."""
+    size = record_dtype(layout).itemsize
+
+    def run(batches):
+        for batch in batches:
+            heads = []
+            for path, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                system, inner = open_filesystem(path)
+                with system.open_input_file(inner) as handle:
+                    heads.append(read_header(handle, length, size))
+            yield pa.record_batch(
+                [batch.column(0), pa.array([h.trace_count for h in heads], pa.int64()), pa.array([h.error for h in heads], pa.string())],
+                ["path", "traces", "error"],
+            )
+
+    return files.select("path", "length").mapInArrow(run, "path STRING, traces BIGINT, error STRING")
+
+
 def pack_traces(survey_type_id: int, records: np.ndarray) -> bytes:
     """Bytes of one trace file; for tests and for exporting readings to the legacy format."""
     head = np.array([(MAGIC, survey_type_id, len(records))], HEADER)
@@ -268,10 +323,11 @@ def pack_traces(survey_type_id: int, records: np.ndarray) -> bytes:
 def write_sgx(df: DataFrame, path: str, layout: str = LAYOUT, file_traces: int = 1_000_000) -> DataFrame:
     """Write readings as trace files, each task its own; returns (path, survey_type_id, traces) rows.
 
-    A file holds one survey type; rows stay in the task they are in, so nothing
-    is shuffled and no survey type is gathered anywhere. Names follow from the
-    task's position, so a task that runs again rewrites its own files. Run the
-    returned DataFrame once to write.
+    A file holds one survey type and, but for each task's last, ``file_traces``
+    traces; rows stay in the task they are in, in their order, so nothing is
+    shuffled and no survey type is gathered anywhere. Names follow from the
+    task's position, so a task that runs again rewrites its own files; ``path``
+    should be empty before. Run the returned DataFrame once to write.
     """
     dtype = record_dtype(layout)
     names = [n for n, _ in parse_layout(layout)]
@@ -282,21 +338,34 @@ def write_sgx(df: DataFrame, path: str, layout: str = LAYOUT, file_traces: int =
         task = TaskContext.get().partitionId()
         system, inner = open_filesystem(path)
         system.create_dir(inner, recursive=True)
-        for batch_no, batch in enumerate(batches):
+        waiting: dict[int, list[np.ndarray]] = {}
+        files: dict[int, int] = {}
+
+        def out(survey: int, records: np.ndarray) -> pa.RecordBatch:
+            files[survey] = files.get(survey, 0) + 1
+            target = f"{inner}/survey{survey}-{task:05d}-{files[survey]:05d}.sgx"
+            with system.open_output_stream(target) as stream:
+                stream.write(pack_traces(survey, records))
+            return pa.RecordBatch.from_pydict({"path": [target], "survey_type_id": [survey], "traces": [len(records)]})
+
+        for batch in batches:
             surveys = batch.column("survey_type_id").to_numpy(zero_copy_only=False)
             columns = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in names}
             for survey in np.unique(surveys):
                 where = np.flatnonzero(surveys == survey)
-                for at in range(0, len(where), file_traces):
-                    part = where[at : at + file_traces]
-                    records = np.empty(len(part), dtype)
-                    for n in names:
-                        records[n] = columns[n][part]
-                    target = f"{inner}/survey{int(survey)}-{task:05d}-{batch_no:05d}-{at // file_traces:03d}.sgx"
-                    with system.open_output_stream(target) as out:
-                        out.write(pack_traces(int(survey), records))
-                    yield pa.RecordBatch.from_pydict(
-                        {"path": [target], "survey_type_id": [int(survey)], "traces": [len(part)]}
-                    )
+                records = np.empty(len(where), dtype)
+                for n in names:
+                    records[n] = columns[n][where]
+                held = waiting.setdefault(int(survey), [])
+                held.append(records)
+                if sum(map(len, held)) >= file_traces:
+                    whole = np.concatenate(held)
+                    cut = len(whole) // file_traces * file_traces
+                    waiting[int(survey)] = [whole[cut:]]
+                    for at in range(0, cut, file_traces):
+                        yield out(int(survey), whole[at : at + file_traces])
+        for survey, held in sorted(waiting.items()):
+            if sum(map(len, held)):
+                yield out(survey, np.concatenate(held))
 
     return df.select("survey_type_id", *names).mapInArrow(write, "path STRING, survey_type_id BIGINT, traces BIGINT")
