@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.operators.joins import left_join
-from wellspring.operators.quantiles import GROUP_LIMIT, group_quantiles
+from wellspring.operators.quantiles import group_quantiles
 
 # Default thresholds of the rules.
 SIGMA, Z_LIMIT, FENCE, DEGRADE_SHARE = 2.0, 2.5, 1.5, 0.1
@@ -47,10 +47,10 @@ def z_score(df: DataFrame, column: str, name: str = "z_score") -> DataFrame:
 
 
 def fences(
-    df: DataFrame, group: Sequence[str], column: str, k: float = FENCE, group_limit: int = GROUP_LIMIT
+    df: DataFrame, group: Sequence[str], column: str, k: float = FENCE
 ) -> DataFrame:
     """Q1, Q3 and the fence of every group, one row each."""
-    q = group_quantiles(df, group, column, [0.25, 0.75], group_limit)
+    q = group_quantiles(df, group, column, [0.25, 0.75])
     q = q.select(*group, F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"))
     reach = k * (F.col("q3") - F.col("q1"))
     return q.withColumns({"lower_bound": F.col("q1") - reach, "upper_bound": F.col("q3") + reach})
@@ -62,10 +62,9 @@ def iqr_outliers(
     column: str,
     k: float = FENCE,
     name: str = "is_anomaly",
-    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """1 outside the group's interquartile fence; without a group, outside the table's."""
-    bounds = fences(df, list(group or []), column, k, group_limit)
+    bounds = fences(df, list(group or []), column, k)
     if not group:
         whole = bounds.select(F.struct("lower_bound", "upper_bound")).scalar()
         outside = (known(column) < whole["lower_bound"]) | (known(column) > whole["upper_bound"])
@@ -85,13 +84,12 @@ def detect_anomalies(
     column: str = "amplitude",
     z_limit: float = Z_LIMIT,
     k: float = FENCE,
-    group_limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Reset and set is_anomaly: z-score over the limit, or outside the group's fence.
 
     The union of the two key sets is an OR of two flags on the row.
     """
-    marked = iqr_outliers(z_score(facts, column, "_z"), group, column, k, "_outside", group_limit)
+    marked = iqr_outliers(z_score(facts, column, "_z"), group, column, k, "_outside")
     flag = _flag((F.col("_z") > z_limit) | (F.col("_outside") == 1))
     return marked.withColumn("is_anomaly", flag).drop("_z", "_outside")
 

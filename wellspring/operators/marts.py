@@ -138,7 +138,7 @@ def mart_survey_summary(surveys: DataFrame, sources: DataFrame) -> DataFrame:
 
 def mart_well_performance_wide(facts: DataFrame, wells: DataFrame, sources: DataFrame) -> DataFrame:
     """The documented wider well mart: deviation, score-based quality, depth range. One row per well key."""
-    per_key = facts.groupBy("well_key", "source_key").agg(
+    per_key = nan_to_null(facts).groupBy("well_key", "source_key").agg(
         F.count("reading_key").alias("total_readings"),
         F.avg("amplitude").alias("avg_amplitude"),
         F.stddev_samp("amplitude").alias("std_amplitude"),
@@ -157,7 +157,7 @@ def mart_well_performance_wide(facts: DataFrame, wells: DataFrame, sources: Data
 
 def mart_sensor_analysis_wide(facts: DataFrame, sensors: DataFrame) -> DataFrame:
     """The documented wider sensor mart: model, frequency, score-based quality. One row per sensor key."""
-    per_key = facts.groupBy("sensor_key").agg(
+    per_key = nan_to_null(facts).groupBy("sensor_key").agg(
         F.count("reading_key").alias("total_measurements"),
         F.avg("amplitude").alias("avg_amplitude"),
         F.avg("frequency").alias("avg_frequency"),
@@ -195,7 +195,7 @@ def sensor_reliability(wide_mart: DataFrame) -> DataFrame:
 
 def monthly_readings(facts: DataFrame, calendar: DataFrame) -> DataFrame:
     """Readings and mean amplitude per month; facts are counted per day key before the calendar is joined."""
-    per_day = facts.groupBy("time_key").agg(
+    per_day = nan_to_null(facts).groupBy("time_key").agg(
         F.count("reading_key").alias("_readings"), F.sum("amplitude").alias("_sum"), F.count("amplitude").alias("_n")
     )
     return (
@@ -298,31 +298,28 @@ def reading_statistics(readings: DataFrame) -> DataFrame:
 
 
 def column_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, exact quartiles and max, one row per column."""
-    parts = []
+    """count, mean, std, min, exact quartiles and max, one row per column; all columns in one pass."""
     df = nan_to_null(df)
-    for name in columns:
-        quartiles = group_quantiles(df, [], name, [0.25, 0.5, 0.75]).select("q").scalar()
-        parts.append(
-            df.agg(
-                F.count(name).alias("count"),
-                F.avg(name).alias("mean"),
-                F.stddev_samp(name).alias("std"),
-                F.min(name).cast("double").alias("min"),
-                F.max(name).cast("double").alias("max"),
-            ).select(
-                F.lit(name).alias("column_name"),
-                "count",
-                "mean",
-                "std",
-                "min",
-                quartiles[0].alias("q1"),
-                quartiles[1].alias("median"),
-                quartiles[2].alias("q3"),
-                "max",
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("value")) for c in columns])
+    long = df.select(F.inline(cells))
+    found = long.groupBy("column_name").agg(
+        F.count("value").alias("count"),
+        F.avg("value").alias("mean"),
+        F.stddev_samp("value").alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    quartiles = group_quantiles(long, ["column_name"], "value", [0.25, 0.5, 0.75])
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name STRING")
+    return names.join(found, "column_name", "left").join(quartiles, "column_name", "left").select(
+        "column_name",
+        F.coalesce("count", F.lit(0)).alias("count"),
+        "mean",
+        "std",
+        "min",
+        *[F.col("q")[i].alias(n) for i, n in enumerate(("q1", "median", "q3"))],
+        "max",
+    )
 
 
 def load_check(analytics: DataFrame) -> DataFrame:

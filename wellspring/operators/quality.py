@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wellspring.functions.scalars import nan_to_null, run_time
 from wellspring.operators.joins import reference_counts
@@ -141,6 +142,12 @@ def _found(count: Column, what: str) -> Column:
     return F.concat(count.cast("string"), F.lit(f" {what}"))
 
 
+def _missing(df: DataFrame, column: str) -> Column:
+    """Null, or NaN where the column can hold it."""
+    col = F.col(column)
+    return col.isNull() | F.isnan(col) if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)) else col.isNull()
+
+
 def _table_rows(name: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     measures = {"rows": F.count(F.lit(1))}
     results = []
@@ -155,7 +162,7 @@ def _table_rows(name: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                         {"total_records": total, "unique_keys": F.col(m), "duplicates": repeats})
             )
         elif isinstance(rule, Complete):
-            measures[m] = F.count_if(F.col(rule.column).isNull())
+            measures[m] = F.count_if(_missing(df, rule.column))
             share = F.coalesce(F.try_divide(total - F.col(m), total), F.lit(1.0))
             results.append(
                 _result("completeness", name, rule.column, share >= rule.minimum, _found(F.col(m), "nulls"),

@@ -1,129 +1,93 @@
-"""Exact, linearly interpolated quantiles per group, for groups of any size.
-
-Groups of ordinary size use Spark's ``percentile``, whose buffer holds one
-entry per distinct value. Where one group is too large for that, the wanted
-positions are narrowed down: approximate quantiles propose cut points inside
-the group, exact counts between them decide which stretch holds the position,
-and only that stretch is looked at again. The cut points steer the speed, never
-the result.
+"""Exact, linearly interpolated quantiles per group, for groups of any size, as one lazy plan.
+
+A radix selection. Equal values are folded to (group, value, count) first, with
+the value in the shuffle key, so a hot group is spread over all tasks. Then the
+wanted positions are found from the leading digits on: a histogram over values
+rounded to 18 significant bits tells which cell holds a position, one over 36
+bits does so inside that cell only, and the exact values are looked at inside
+the cell that is left. Rounding keeps the order, so the counts below a cell are
+exact at every step, and no step sorts more than a cell's 2**18 parts in a task
+(the first: 2**17 for every power of two that the group's values span).
+
+No group is measured beforehand and nothing runs while the plan is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wellspring.session import checkpointed
-
-GROUP_LIMIT = 200_000
-_CUTS = 64
-
-
-def group_quantiles(
-    df: DataFrame, group: Sequence[str], column: str, shares: Sequence[float], group_limit: int = GROUP_LIMIT
-) -> DataFrame:
-    """One row per group with ``q``: array of the exact quantiles of ``column``.
-
-    Null and NaN values are left out. The size of the largest group is measured
-    first (one number comes back), and picks the way.
-    """
-    group = list(group)
-    rows = df.select(*group, F.col(column).cast("double").alias("_x")).filter(
-        F.col("_x").isNotNull() & ~F.isnan("_x")
-    )
-    if not group:
-        rows, group = rows.withColumn("_all", F.lit(1)), ["_all"]
-    sizes = rows.groupBy(*group).count()
-    largest = sizes.agg(F.max("count")).first()[0] or 0
-    if largest <= group_limit:
-        return _by_percentile(rows, group, shares).drop("_all")
-
-    # Only the large groups take the longer way.
-    large = checkpointed(sizes.filter(F.col("count") > group_limit).select(*group))
-    ordinary = _by_percentile(rows.join(large, group, "left_anti"), group, shares)
-    narrowed = _by_narrowing(rows.join(large, group, "left_semi"), group, shares, group_limit)
-    return ordinary.unionByName(narrowed).drop("_all")
-
-
-def _by_percentile(rows: DataFrame, group: list[str], shares: Sequence[float]) -> DataFrame:
-    return rows.groupBy(*group).agg(F.percentile("_x", F.array(*[F.lit(float(s)) for s in shares])).alias("q"))
-
-
-def _by_narrowing(rows: DataFrame, group: list[str], shares: Sequence[float], limit: int) -> DataFrame:
-    # One row per distinct value with its count: repeated values are folded before
-    # anything is compared, and the shuffle key includes the value, so a hot group
-    # is spread over all tasks.
-    values = checkpointed(rows.groupBy(*group, "_x").agg(F.count(F.lit(1)).alias("_n")))
-    parts = [
-        _one_quantile(values, group, float(share), limit).withColumnRenamed("_q", f"_q{i}")
-        for i, share in enumerate(shares)
-    ]
-    joined = reduce(lambda a, b: a.join(b, group), parts)
-    return joined.select(*group, F.array(*[f"_q{i}" for i in range(len(parts))]).alias("q"))
-
-
-def _one_quantile(values: DataFrame, group: list[str], share: float, limit: int) -> DataFrame:
-    """The quantile at ``share`` per group, from distinct values ``_x`` with counts ``_n``."""
-    limit = max(limit, 4)  # two neighbouring positions can hold two cells apart
-    place = (F.sum("_n") - 1) * F.lit(share)
-    # _k: 0-based position wanted, _f: weight of the next one, _skip: rows below the stretch _lo.._hi
-    stretch = values.groupBy(*group).agg(
-        F.floor(place).alias("_k"),
-        (place - F.floor(place)).alias("_f"),
-        F.min("_x").alias("_lo"),
-        F.max("_x").alias("_hi"),
-        F.lit(0).cast("long").alias("_skip"),
-        F.count(F.lit(1)).alias("_distinct"),
-    )
-    stretch = checkpointed(stretch)
-    while (stretch.agg(F.max("_distinct")).first()[0] or 0) > limit:
-        stretch = checkpointed(_narrow(values, stretch, group))
-
-    inside = values.join(stretch, group).filter(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-    w = Window.partitionBy(*group).orderBy("_x")
-    upto = F.col("_skip") + F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ranked = inside.select(*group, "_x", "_k", "_f", upto.alias("_upto"))
-    at = F.min(F.when(F.col("_upto") > F.col("_k"), F.col("_x")))
-    after = F.min(F.when(F.col("_upto") > F.col("_k") + 1, F.col("_x")))
-    return ranked.groupBy(*group).agg(
-        (at + (F.coalesce(after, at) - at) * F.first("_f")).alias("_q")
-    )
-
-
-def _narrow(values: DataFrame, stretch: DataFrame, group: list[str]) -> DataFrame:
-    """The shortest run of cells, between fresh cut points, that holds positions _k and _k + 1."""
-    inside = values.join(stretch.select(*group, "_lo", "_hi"), group).filter(
-        F.col("_x").between(F.col("_lo"), F.col("_hi"))
-    )
-    shares = [i / _CUTS for i in range(1, _CUTS)]
-    cuts = inside.groupBy(*group).agg(F.percentile_approx("_x", shares, _CUTS * 100).alias("_cuts"))
-    cells = (
-        inside.join(cuts, group)
-        .withColumn("_cell", F.size(F.filter("_cuts", lambda c: c < F.col("_x"))))
-        .groupBy(*group, "_cell")
-        .agg(
-            F.sum("_n").alias("_n"),
-            F.count(F.lit(1)).alias("_d"),
-            F.min("_x").alias("_from"),
-            F.max("_x").alias("_to"),
-        )
-    )
-    # At most _CUTS rows per group from here on.
-    w = Window.partitionBy(*group).orderBy("_cell")
-    below = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = cells.withColumn("_below", below).join(
-        stretch.select(*group, "_k", "_f", "_skip"), group
-    )
-    first, last = F.col("_skip") + F.col("_below"), F.col("_skip") + F.col("_below") + F.col("_n") - 1
-    held = placed.filter((first <= F.col("_k") + 1) & (last >= F.col("_k")))
-    return held.groupBy(*group).agg(
-        F.first("_k").alias("_k"),
-        F.first("_f").alias("_f"),
-        F.min("_from").alias("_lo"),
-        F.max("_to").alias("_hi"),
-        F.min(F.col("_skip") + F.col("_below")).alias("_skip"),
-        F.sum("_d").alias("_distinct"),
+STEPS = (18, 36)  # significant bits of the first two histograms
+_LARGE = 2.0**900
+
+
+def rounded_to(x: Column, bits: int) -> Column:
+    """``x`` rounded to ``bits`` significant bits, by arithmetic that a task's generated code holds; keeps the order."""
+    factor = F.lit(float(2 ** (53 - bits) + 1))
+
+    def split(v: Column) -> Column:
+        wide = v * factor
+        return wide - (wide - v)
+
+    small = F.lit(2.0**-200)
+    scaled = split(x * small) / small  # where the product would overflow
+    return F.when(F.abs(x) == float("inf"), x).when(F.abs(x) >= _LARGE, scaled).otherwise(split(x))
+
+
+def group_quantiles(df: DataFrame, group: Sequence[str], column: str, shares: Sequence[float]) -> DataFrame:
+    """One row per group with ``q``: array of the exact quantiles of ``column``. Null and NaN values are left out."""
+    names = list(group)
+    shares = [float(s) for s in shares]
+    keys = [f"_k{i}" for i in range(len(names))] or ["_k0"]
+    held = [F.col(c).alias(k) for c, k in zip(names, keys, strict=False)] if names else [F.lit(1).alias("_k0")]
+    rows = df.select(*held, F.col(column).cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    values = rows.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n"))
+    fine = rounded_to(F.col("_x"), STEPS[1])
+    values = values.withColumn("_fine", fine).withColumn("_coarse", rounded_to(F.col("_fine"), STEPS[0]))
+
+    coarse = _with_below(values.groupBy(*keys, "_coarse").agg(F.sum("_n").alias("_n")), keys, "_coarse")
+    total = F.sum("_n").over(Window.partitionBy(*keys))
+    coarse = coarse.withColumn("_total", total)
+    # positions 2 * i and 2 * i + 1: the two values between which share i lies
+    wanted = []
+    for i, share in enumerate(shares):
+        place = (F.col("_total") - 1) * F.lit(share)
+        low = F.floor(place).cast("long")
+        part = (place - low).cast("double")
+        wanted.append(F.struct(F.lit(2 * i).alias("j"), low.alias("at"), part.alias("part")))
+        wanted.append(F.struct(F.lit(2 * i + 1).alias("j"), F.least(low + 1, F.col("_total") - 1).alias("at"), part.alias("part")))
+    inside = F.filter(F.array(*wanted), lambda w: (w["at"] >= F.col("_below")) & (w["at"] < F.col("_below") + F.col("_n")))
+    found = coarse.withColumn("_w", F.explode(inside)).select(
+        *keys, F.col("_coarse").alias("_cell"), F.col("_w.j").alias("_j"), (F.col("_w.at") - F.col("_below")).alias("_at"), F.col("_w.part").alias("_part")
     )
+    found = _step(values.groupBy(*keys, "_coarse", "_fine").agg(F.sum("_n").alias("_n")), found, keys, "_coarse", "_fine")
+    found = _step(values.select(*keys, "_fine", "_x", "_n"), found, keys, "_fine", "_x")
+    lows = [F.max(F.when(F.col("_j") == 2 * i, F.col("_cell"))) for i in range(len(shares))]
+    highs = [F.max(F.when(F.col("_j") == 2 * i + 1, F.col("_cell"))) for i in range(len(shares))]
+    parts = [F.max(F.when(F.col("_j") == 2 * i, F.col("_part"))) for i in range(len(shares))]
+    between = [F.when((low == high) | (part == 0), low).otherwise(low + (high - low) * part) for low, high, part in zip(lows, highs, parts, strict=True)]
+    result = found.groupBy(*keys).agg(F.array(*between).alias("q"))
+    return result.select(*[F.col(k).alias(c) for c, k in zip(names, keys, strict=False)], "q")
+
+
+def _with_below(cells: DataFrame, by: Sequence[str], order: str) -> DataFrame:
+    """Add the number of values below each cell."""
+    before = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return cells.withColumn("_below", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")))
+
+
+def _step(cells: DataFrame, found: DataFrame, keys: Sequence[str], outer: str, inner: str) -> DataFrame:
+    """The ``inner`` cell, inside the ``outer`` one known so far, of every wanted position."""
+    same = [F.col(f"_w{k}").eqNullSafe(F.col(k)) for k in keys]
+
+    def of(df: DataFrame) -> DataFrame:
+        return df.withColumnsRenamed({k: f"_w{k}" for k in keys})
+
+    open_ = of(found.select(*keys, "_cell").distinct())
+    near = cells.join(open_, [*same, F.col("_cell") == F.col(outer)], "left_semi")
+    placed = _with_below(near, [*keys, outer], inner)
+    met = placed.join(of(found), [*same, F.col("_cell") == F.col(outer)])
+    hit = (F.col("_at") >= F.col("_below")) & (F.col("_at") < F.col("_below") + F.col("_n"))
+    return met.filter(hit).select(*keys, F.col(inner).alias("_cell"), "_j", (F.col("_at") - F.col("_below")).alias("_at"), "_part")

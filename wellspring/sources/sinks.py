@@ -44,8 +44,8 @@ def append_table(
     """Append rows whose key the table lacks, partitioned by ``partition_by``.
 
     When the partition column is part of the key, only the partitions that
-    ``df`` touches are searched: their values (as many as the table has folders)
-    are looked up first, and the scan prunes to them.
+    ``df`` touches are compared: Spark prunes the scan to them at run time. A key
+    with a null part is new always, as nulls are equal to nothing.
     """
     existing = read_if_present(df, path)
     if existing is None:
@@ -54,8 +54,8 @@ def append_table(
         fresh = dedup_first(df, list(key), order or [c for c in df.columns if c not in key])
     else:
         if partition_by in key:
-            touched = [r[0] for r in df.select(partition_by).distinct().collect()]
-            existing = existing.filter(F.col(partition_by).isin(touched) | F.col(partition_by).isNull())
+            touched = df.select(partition_by).filter(F.col(partition_by).isNotNull()).distinct()
+            existing = existing.join(touched, partition_by, "left_semi")
         fresh = new_rows(existing, df, list(key), order)
     gathered(fresh, partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
 
