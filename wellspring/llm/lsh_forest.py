@@ -37,8 +37,9 @@ from wellspring.llm.tokens import SHINGLE, digest, distinct, lower, shingle_hash
 
 TREES, DEPTH = 12, 8
 LEAST = 3  # values that a candidate pair shares in some tree
-STEPS = ([0], [1, 2], list(range(3, TREES)))  # trees whose neighbours are compared before components are drawn again
-PARTNERS = 32  # a region with more open pairs an item than this is looked at one value deeper
+STEPS = ([0, 1], list(range(2, TREES)))  # trees whose neighbours are compared before components are drawn again
+DEPTHS = (LEAST, 5, DEPTH)  # at which regions are looked at
+PARTNERS = 32  # a region with more open pairs an item than this is looked at deeper
 PART = 4096  # items of a region's part
 FILTER_BITS = 24  # of the filter that finds the texts to compare: a fixed 2 MB; misses nothing
 SEEN = 1_000_000  # contents a task remembers
@@ -216,6 +217,7 @@ class LshForest:
         columns = ["item", "n", "signature", *CELLS]
         self.items = staged(signed.filter("signature is not null").select(*columns).dropDuplicates(["item"]), "items")
         self.sets: DataFrame | None = None
+        self.roots = self.spark.createDataFrame([], "node long, root long")
 
     def _may(self, a: str, b: str) -> F.Column:
         """The sizes allow the similarity."""
@@ -291,11 +293,11 @@ class LshForest:
         return pairs.filter(F.coalesce("p_root", "p") != F.coalesce("x_root", "x")).drop("p_root", "x_root")
 
     def region_pairs(self, forest: DataFrame, roots: DataFrame, known: DataFrame) -> DataFrame:
-        """(p, x): all pairs across components in the open regions, each region at a depth of its own."""
+        """(p, x, p_n, x_n): all possible pairs across components in the open regions, each region at a depth of its own."""
         entries = forest.select("tree", "path", "item", "n").join(roots, F.col("item") == F.col("node"), "left")
         entries = entries.select("tree", "path", "item", "n", F.coalesce("root", "item").alias("root"))
         found = []
-        for depth in range(LEAST, DEPTH + 1):
+        for depth in DEPTHS:
             entries = entries.withColumn("region", F.substring("path", 1, 4 * depth))
             of_root = entries.groupBy("tree", "region", "root").agg(F.count(F.lit(1)).alias("m"))
             regions = of_root.groupBy("tree", "region").agg(
@@ -316,50 +318,60 @@ class LshForest:
             entries = met.filter("not here").select("tree", "path", "item", "n", "root")
             if depth == DEPTH or entries.isEmpty():
                 break
-        pairs = reduce(DataFrame.union, found).distinct()
+        pairs = staged(reduce(DataFrame.union, found).distinct(), "cross")
         return pairs.join(known.select("p", "x"), ["p", "x"], "anti")
 
     def _cross_pairs(self, entries: DataFrame) -> DataFrame:
         """Pairs across components below one prefix: entries outside the region's main component, with all of its parts.
 
-        The main component's own pairs never arise, and the pairs that do are counted beforehand.
+        The main component's own pairs never arise, the pairs that do are counted
+        beforehand, and sizes and parities are compared inside the join.
         """
+        entries = entries.join(self.items.select("item", *CELLS), "item")
         salt = F.pmod(F.xxhash64("item"), F.col("parts")).cast("int")
-        whole = entries.select("tree", "region", salt.alias("part"), *[F.col(c).alias(f"b_{c}") for c in ("item", "n", "root")])
+        columns = ["item", "n", "root", *CELLS]
+        whole = entries.select("tree", "region", salt.alias("part"), *[F.col(c).alias(f"b_{c}") for c in columns])
+        parts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("a_part")
         rest = entries.filter("root != main").select(
-            "tree",
-            "region",
-            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-            *[F.col(c).alias(f"a_{c}") for c in ("item", "n", "root")],
+            F.col("tree").alias("a_tree"), F.col("region").alias("a_region"), parts, *[F.col(c).alias(f"a_{c}") for c in columns]
+        )
+        same = (F.col("tree") == F.col("a_tree")) & (F.col("region") == F.col("a_region")) & (F.col("part") == F.col("a_part"))
+        possible = (F.col("a_root") != F.col("b_root")) & self._may("a_n", "b_n") & self._cells_allow("a_", "b_")
+        pairs = rest.join(whole, same & possible)
+        return pairs.groupBy(F.least("a_item", "b_item").alias("p"), F.greatest("a_item", "b_item").alias("x")).agg(
+            F.max(F.when(F.col("a_item") < F.col("b_item"), F.col("a_n")).otherwise(F.col("b_n"))).alias("p_n"),
+            F.max(F.when(F.col("a_item") < F.col("b_item"), F.col("b_n")).otherwise(F.col("a_n"))).alias("x_n"),
         )
-        pairs = rest.join(whole, ["tree", "region", "part"]).filter((F.col("a_root") != F.col("b_root")) & self._may("a_n", "b_n"))
-        return pairs.select(F.least("a_item", "b_item").alias("p"), F.greatest("a_item", "b_item").alias("x")).distinct()
 
-    def links(self) -> DataFrame:
-        """(p, x): links that hold every component together."""
+    def links(self) -> DataFrame | None:
+        """(p, x): links that hold every component together; sets ``roots``."""
         forest = self.forest()
         known = staged(self._possible(self.neighbours(forest)), "neighbours")
         self._gather(known)
-        links, roots = None, None
+        if self.sets is None:
+            return None
+        links = None
         for trees in STEPS:
             pairs = known.filter(F.col("tree").isin(trees))
-            if self.sets is None or roots is not None and (pairs := staged(self._across(pairs, roots), "across")).isEmpty():
+            if links is not None and (pairs := staged(self._across(pairs, self.roots), "across")).isEmpty():
                 continue
             more = self.linked(pairs)
             links = more if links is None else links.union(more)
-            roots = components(links, "p", "x")
-        if links is None:
-            return self.spark.createDataFrame([], "p long, x long")
-        pairs = staged(self._possible(self.region_pairs(forest, roots, known)), "pairs")
+            self.roots = components(links, "p", "x")
+        pairs = staged(self.region_pairs(forest, self.roots, known), "pairs")
         if pairs.isEmpty():
             return links
         self._gather(pairs)
-        return links.union(self.linked(pairs))
+        more = self.linked(pairs)
+        if not more.isEmpty():
+            links = links.union(more)
+            self.roots = components(links, "p", "x")
+        return links
 
     def result(self) -> DataFrame:
         """Per document: id, n (set size), component (the smallest id)."""
-        roots = components(self.links(), "p", "x")
-        met = self.ids.join(roots, F.col("item") == F.col("node"), "left").withColumn("root", F.coalesce("root", "item"))
+        self.links()
+        met = self.ids.join(self.roots, F.col("item") == F.col("node"), "left").withColumn("root", F.coalesce("root", "item"))
         least = met.groupBy("root").agg(F.min("id").alias("component"))
         of_item = met.join(least, "root").select("item", "check", "component")
         filled = self.rows.filter("n > 0").join(of_item, ["item", "check"])
