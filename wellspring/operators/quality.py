@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wellspring.functions.scalars import nan_to_null, run_time
-from wellspring.operators.joins import reference_counts
 from wellspring.operators.vault import AUDIT_COLUMNS
 from wellspring.schemas import missing_columns
 
@@ -112,18 +111,96 @@ def domain_rules() -> list[Rule]:
 def run_checks(tables: Mapping[str, DataFrame], rules: Sequence[Rule]) -> DataFrame:
     """All rules as rows: check_name, table_name, column_name, passed, message, details.
 
-    Every rule about one table's own rows goes into a single aggregation over
-    it; references are counted per key and then joined.
+    The rules are compiled to one job that scans every table once. A row of a
+    table becomes a row of counters for the table's own rules and one (family,
+    key) row for every key that a rule compares; a family holds a parent's key
+    and all that refer to it, with a counter per side. One grouping by family
+    and key, shared by all tables and combined before the shuffle, answers
+    uniqueness and references together; a hot key is one row a task.
     """
-    own: dict[str, list[Rule]] = defaultdict(list)
-    parts = []
-    for rule in rules:
-        if isinstance(rule, References):
-            parts.append(_reference_row(tables, rule))
-        else:
-            own[rule.table].append(rule)
-    parts += [_table_rows(name, tables[name], table_rules) for name, table_rules in own.items()]
-    return reduce(DataFrame.unionByName, parts)
+    wanted = _Counters()
+    results = [_compiled(wanted, tables, rule) for rule in rules]
+    return wanted.row(tables).select(F.inline(F.array(*results)))
+
+
+class _Counters:
+    """What the rules need counted, per table, and the names under which the counts come back."""
+
+    def __init__(self):
+        self.measures: dict[str, list[Column]] = defaultdict(list)  # table -> row conditions; the first is "any row"
+        self.families: dict[tuple[str, str], list[tuple[str, str]]] = {}  # (parent, column) -> sides (table, column)
+
+    def rows(self, table: str) -> Column:
+        if not self.measures[table]:
+            self.measures[table].append(F.lit(True))
+        return _named(f"{table}.0")
+
+    def count(self, table: str, condition: Column) -> Column:
+        self.rows(table)
+        self.measures[table].append(condition)
+        return _named(f"{table}.{len(self.measures[table]) - 1}")
+
+    def side(self, parent: str, column: str, table: str) -> str:
+        """Prefix of the counts of ``table``'s rows by their key among those of ``parent``."""
+        sides = self.families.setdefault((parent, column), [(parent, column)])
+        if (table, column) not in sides:
+            sides.append((table, column))
+        return f"{parent}.{column}.{sides.index((table, column))}"
+
+    def row(self, tables: Mapping[str, DataFrame]) -> DataFrame:
+        """One row with all counts."""
+        names = sorted({t for sides in self.families.values() for t, _ in sides} | set(self.measures))
+        families = list(self.families)
+        width = max([len(m) for m in self.measures.values()], default=0)
+        sides = max([len(s) for s in self.families.values()], default=0)
+        parts = [self._emitted(tables[name], name, names.index(name), families, width) for name in names]
+        rows = reduce(DataFrame.union, parts)
+        by_key = rows.groupBy("family", "key").agg(
+            *[F.count_if(F.col("side") == j).alias(f"s{j}") for j in range(sides)],
+            *[F.sum(f"m{i}").alias(f"m{i}") for i in range(width)],
+        )
+        known, held = F.col("key").isNotNull(), F.col("s0") > 0 if sides else F.lit(False)
+        totals = []
+        for j in range(sides):
+            totals += [
+                F.sum(f"s{j}").alias(f"rows{j}"),
+                F.sum(F.when(known & held, F.col(f"s{j}"))).alias(f"valid{j}"),
+                F.sum(F.when(~known, F.col(f"s{j}"))).alias(f"null{j}"),
+            ]
+        of_family = by_key.groupBy("family").agg(
+            F.count_if(known & held).alias("keys"), *totals, *[F.sum(f"m{i}").alias(f"m{i}") for i in range(width)]
+        )
+
+        def at(family: int, column: str) -> Column:
+            return F.coalesce(F.max(F.when(F.col("family") == family, F.col(column))), F.lit(0))
+
+        out = []
+        for f, key in enumerate(families):
+            name = ".".join(key)
+            out.append(at(f, "keys").alias(f"{name}.keys"))
+            for j in range(len(self.families[key])):
+                out += [at(f, f"{what}{j}").alias(f"{name}.{j}.{what}") for what in ("rows", "valid", "null")]
+        for name, conditions in self.measures.items():
+            out += [at(-1 - names.index(name), f"m{i}").alias(f"{name}.{i}") for i in range(len(conditions))]
+        row = of_family.agg(*out)
+        return row.toDF(*[c.replace(".", "/") for c in row.columns])
+
+    def _emitted(self, df: DataFrame, name: str, number: int, families: list, width: int) -> DataFrame:
+        none = F.lit(None).cast("long")
+        rows = []
+        own = self.measures.get(name, [])
+        if own:
+            counts = [F.coalesce(c.cast("long"), F.lit(0)) for c in own] + [none] * (width - len(own))
+            rows.append((F.lit(-1 - number), F.lit(None).cast("string"), F.lit(None).cast("int"), counts))
+        for f, key in enumerate(families):
+            for j, (table, column) in enumerate(self.families[key]):
+                if table == name:
+                    rows.append((F.lit(f), F.col(column).cast("string"), F.lit(j), [none] * width))
+        structs = [
+            F.struct(f.alias("family"), k.alias("key"), s.alias("side"), *[c.alias(f"m{i}") for i, c in enumerate(m)])
+            for f, k, s, m in rows
+        ]
+        return df.select(F.inline(F.array(*structs)))
 
 
 def _result(check: str, table: str, column: str, passed: Column, message: Column, details: dict[str, Column]) -> Column:
@@ -148,66 +225,54 @@ def _missing(df: DataFrame, column: str) -> Column:
     return col.isNull() | F.isnan(col) if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)) else col.isNull()
 
 
-def _table_rows(name: str, df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    measures = {"rows": F.count(F.lit(1))}
-    results = []
-    total = F.col("rows")
-    for i, rule in enumerate(rules):
-        m = f"m{i}"
-        if isinstance(rule, Unique):
-            measures[m] = F.count_distinct(rule.column)
-            repeats = total - F.col(m)
-            results.append(
-                _result("uniqueness", name, rule.column, repeats == 0, _found(repeats, "duplicate values"),
-                        {"total_records": total, "unique_keys": F.col(m), "duplicates": repeats})
-            )
-        elif isinstance(rule, Complete):
-            measures[m] = F.count_if(_missing(df, rule.column))
-            share = F.coalesce(F.try_divide(total - F.col(m), total), F.lit(1.0))
-            results.append(
-                _result("completeness", name, rule.column, share >= rule.minimum, _found(F.col(m), "nulls"),
-                        {"total_records": total, "null_count": F.col(m),
-                         "completeness_pct": F.round(share * 100, 2)})
-            )
-        elif isinstance(rule, (Matches, OneOf, Valid)):
-            if isinstance(rule, Matches):
-                check, good = "format", F.col(rule.column).rlike(rule.pattern)
-            elif isinstance(rule, OneOf):
-                check, good = "domain", F.col(rule.column).isin(*rule.allowed)
-            else:
-                check, good = "condition", F.expr(rule.condition)
-            measures[m] = F.count_if(~F.coalesce(good, F.lit(False)))
-            results.append(
-                _result(check, name, rule.column, F.col(m) == 0, _found(F.col(m), "invalid values"),
-                        {"total_records": total, "valid": total - F.col(m), "invalid": F.col(m)})
-            )
-        elif isinstance(rule, MinRows):
-            message = F.concat(total.cast("string"), F.lit(f" rows, at least {rule.minimum} wanted"))
-            results.append(
-                _result("row_count", name, "", total >= rule.minimum, message,
-                        {"expected_minimum": F.lit(rule.minimum), "actual_count": total})
-            )
-        elif isinstance(rule, HasColumns):
-            lacking = missing_columns(df, list(rule.columns))
-            text = F.lit(f"{len(lacking)} required columns missing")
-            results.append(
-                _result("columns", name, "", F.lit(not lacking), text,
-                        {"required_columns": F.lit(",".join(rule.columns)), "missing_columns": F.lit(",".join(lacking))})
-            )
-        else:
-            raise TypeError(f"unknown rule {rule!r}")
-    return df.agg(*[v.alias(k) for k, v in measures.items()]).select(F.inline(F.array(*results)))
+def _named(path: str) -> Column:
+    return F.col("`" + path.replace(".", "/") + "`")
 
 
-def _reference_row(tables: Mapping[str, DataFrame], rule: References) -> DataFrame:
-    counts = reference_counts(tables[rule.table], tables[rule.parent], rule.column)
-    bad = F.col("orphaned_references") + (F.lit(0) if rule.nullable else F.col("null_references"))
-    row = _result(
-        "reference", rule.table, rule.column, bad == 0, _found(bad, f"rows without a match in {rule.parent}"),
-        {"records": F.col("child_rows"), "valid_references": F.col("valid_references"),
-         "orphaned_references": F.col("orphaned_references"), "null_references": F.col("null_references")},
-    )
-    return counts.select(F.inline(F.array(row)))
+def _compiled(wanted: _Counters, tables: Mapping[str, DataFrame], rule: Rule) -> Column:
+    """The rule's result as an expression over the row of counts."""
+    df, name = tables[rule.table], rule.table
+
+    total = wanted.rows(name)
+    if isinstance(rule, References):
+        side = wanted.side(rule.parent, rule.column, name)
+        rows, valid, null = (_named(f"{side}.{what}") for what in ("rows", "valid", "null"))
+        orphaned = rows - valid - null
+        bad = orphaned + (F.lit(0) if rule.nullable else null)
+        return _result(
+            "reference", name, rule.column, bad == 0, _found(bad, f"rows without a match in {rule.parent}"),
+            {"records": rows, "valid_references": valid, "orphaned_references": orphaned, "null_references": null},
+        )
+    if isinstance(rule, Unique):
+        wanted.side(name, rule.column, name)
+        keys = _named(f"{name}.{rule.column}.keys")
+        repeats = total - keys
+        return _result("uniqueness", name, rule.column, repeats == 0, _found(repeats, "duplicate values"),
+                       {"total_records": total, "unique_keys": keys, "duplicates": repeats})
+    if isinstance(rule, Complete):
+        nulls = wanted.count(name, _missing(df, rule.column))
+        share = F.coalesce(F.try_divide(total - nulls, total), F.lit(1.0))
+        return _result("completeness", name, rule.column, share >= rule.minimum, _found(nulls, "nulls"),
+                       {"total_records": total, "null_count": nulls, "completeness_pct": F.round(share * 100, 2)})
+    if isinstance(rule, (Matches, OneOf, Valid)):
+        if isinstance(rule, Matches):
+            check, good = "format", F.col(rule.column).rlike(rule.pattern)
+        elif isinstance(rule, OneOf):
+            check, good = "domain", F.col(rule.column).isin(*rule.allowed)
+        else:
+            check, good = "condition", F.expr(rule.condition)
+        bad = wanted.count(name, ~F.coalesce(good, F.lit(False)))
+        return _result(check, name, rule.column, bad == 0, _found(bad, "invalid values"),
+                       {"total_records": total, "valid": total - bad, "invalid": bad})
+    if isinstance(rule, MinRows):
+        message = F.concat(total.cast("string"), F.lit(f" rows, at least {rule.minimum} wanted"))
+        return _result("row_count", name, "", total >= rule.minimum, message,
+                       {"expected_minimum": F.lit(rule.minimum), "actual_count": total})
+    if isinstance(rule, HasColumns):
+        lacking = missing_columns(df, list(rule.columns))
+        return _result("columns", name, "", F.lit(not lacking), F.lit(f"{len(lacking)} required columns missing"),
+                       {"required_columns": F.lit(",".join(rule.columns)), "missing_columns": F.lit(",".join(lacking))})
+    raise TypeError(f"unknown rule {rule!r}")
 
 
 def failed_checks(report: DataFrame) -> DataFrame:
