@@ -90,3 +90,40 @@ def test_only_bounded_tables_are_hinted_for_broadcast(spark, name):
             spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", adaptive)
     assert re.search(r"SortMergeJoin \[well_id", text)
     assert re.search(r"BroadcastHashJoin \[full_date", text) and re.search(r"BroadcastHashJoin \[source_format", text)
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark):
+    """Also after an append, where a bucket has several files, and for tables registered anew over the files."""
+    from wellspring.operators import vault
+    from wellspring.registry.load_queries import _bucketed
+    from wellspring.sources.buckets import open_bucketed
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        link, measures = _bucketed(spark, SF, 4).values()
+        joined = vault.link_with_measurements(link, measures)
+        text = plan(joined, "simple")
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        files = {f.rsplit("/", 2)[-2] for f in link.inputFiles()}
+        place = link.inputFiles()[0].rsplit("/", 1)[0]
+        assert len(files) == 1 and len(link.inputFiles()) > 4
+        again = open_bucketed(spark, "opened_link", place, link.schema, "link_hash_key", 4)
+        text = plan(vault.link_with_measurements(again, measures), "simple")
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert again.count() == link.count() == link.select("link_hash_key").distinct().count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql("DROP TABLE IF EXISTS opened_link")
+
+
+def test_the_suite_scans_every_table_once(spark, tmp_path):
+    from wellspring.operators import quality
+    from wellspring.plans.jobs import write_vault
+
+    places = write_vault(Vault(spark, SF).tables, str(tmp_path))
+    stored = {n: spark.read.parquet(p) for n, p in places.items()}
+    text = plan(quality.run_checks(stored, quality.vault_rules()), "simple")
+    scans = [line for line in text.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == len(stored)
+    assert "Join" not in text

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The published default pattern list.
 DEFAULT_PATTERNS = [
@@ -54,20 +53,97 @@ def extract_patterns(
     return searched.select(*keep, F.inline(placed))
 
 
+def extract_all(
+    df: DataFrame, text: str | Column, patterns: Sequence[str] = DEFAULT_PATTERNS, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Every match of every pattern: ``keep`` columns, pattern_no, match, 0-based offset.
+
+    A place that two patterns match with the same text is reported once, for the
+    first of them. A pattern must not match the empty string. All of it runs in
+    the JVM: a text is split at its matches, and running lengths of the pieces
+    give the offsets.
+    """
+    for p in patterns:
+        if re.search(p, ""):
+            raise ValueError(f"{p!r} matches the empty string")
+    text = F.col(text) if isinstance(text, str) else text
+    count = range(len(patterns))
+    searched = df.select(*keep, text.alias("_text"))
+    found = [F.regexp_extract_all("_text", F.lit(p), F.lit(0)).alias(f"_m{i}") for i, p in enumerate(patterns)]
+    searched = searched.select(*keep, "_text", *found).filter(reduce(lambda a, b: a | b, [F.size(f"_m{i}") > 0 for i in count]))
+    hits = [_placed(p, i) for i, p in enumerate(patterns)]
+    placed = searched.select(*keep, F.array_sort(F.concat(*hits)).alias("_hits"))
+
+    def first(h: Column, i: Column) -> Column:
+        before = F.get("_hits", i - 1)
+        return (i == 0) | (before["offset"] != h["offset"]) | (before["match"] != h["match"])
+
+    return placed.select(*keep, F.inline(F.filter("_hits", first))).select(*keep, "pattern_no", "match", "offset")
+
+
+def _placed(pattern: str, number: int) -> Column:
+    """(offset, match, pattern_no) of all matches, which stand in ``_m<number>``."""
+    matched, pieces = F.col(f"_m{number}"), F.split("_text", pattern, -1)
+    # ends of the matches
+    steps = F.zip_with(F.slice(pieces, 1, F.size(matched)), matched, lambda a, m: F.char_length(a) + F.char_length(m))
+    ends = F.when(F.size(matched) > 0, running_sums(steps)).otherwise(F.array().cast("array<bigint>"))
+    return F.zip_with(
+        matched,
+        ends,
+        lambda m, e: F.struct((e - F.char_length(m)).alias("offset"), m.alias("match"), F.lit(number).alias("pattern_no")),
+    )
+
+
+_BLOCK = 256  # elements a fold copies at most
+
+
+def running_sums(values: Column) -> Column:
+    """Running sums of an array of numbers, as longs. In blocks, since every step of a fold copies what it has built."""
+    return _once(values, _sums_of)
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _sums_of(values: Column) -> Column:
+    nothing = F.array().cast("array<bigint>")
+
+    def inside(block: Column) -> Column:
+        start = F.struct(F.lit(0).cast("long").alias("at"), nothing.alias("out"))
+
+        def step(s: Column, x: Column) -> Column:
+            at = s["at"] + x
+            return F.struct(at.alias("at"), F.concat(s["out"], F.array(at)).alias("out"))
+
+        return F.aggregate(block, start, step, lambda s: s["out"])
+
+    starts = F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)), F.lit(_BLOCK))
+    blocks = F.transform(starts, lambda b: inside(F.slice(values, b + 1, _BLOCK)))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<array<bigint>>").alias("out"))
+
+    def join(s: Column, block: Column) -> Column:
+        end = s["at"] + F.coalesce(F.try_element_at(block, F.lit(-1)), F.lit(0))
+        return F.struct(end.alias("at"), F.concat(s["out"], F.array(F.transform(block, lambda x: x + s["at"]))).alias("out"))
+
+    return F.aggregate(blocks, start, join, lambda s: F.flatten(s["out"]))
+
+
 def marker_positions(text: str | Column, marker: str) -> Column:
-    """All 0-based positions of a marker, overlapping ones too, in one pass over the whole text."""
+    """All 0-based positions of a marker, overlapping ones too; the text is split where a marker begins."""
     if not marker:
         raise ValueError("marker must not be empty")
+    text = F.col(text) if isinstance(text, str) else text
+    none = F.array().cast("array<bigint>")
 
-    # a lookahead consumes nothing, so the next match may start inside this one
-    ahead = f"(?={re.escape(marker)})"
-
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def positions(texts: pd.Series) -> pd.Series:
-        find = re.compile(ahead).finditer
-        return texts.map(lambda value: None if value is None else [m.start() for m in find(value)])
+    def starts(pieces: Column) -> Column:
+        lengths = F.transform(F.slice(pieces, 1, F.size(pieces) - 1), lambda p: F.char_length(p))
+        later = F.when(F.size(pieces) > 1, running_sums(lengths)).otherwise(none)
+        return F.concat(F.when(text.startswith(marker), F.array(F.lit(0).cast("long"))).otherwise(none), later)
 
-    return positions(F.col(text) if isinstance(text, str) else text)
+    # a lookahead consumes nothing, so the next match may start inside this one
+    return F.when(text.isNotNull(), _once(F.split(text, f"(?={re.escape(marker)})", -1), starts))
 
 
 def hex_share(text: str | Column, sample: int | None = None) -> Column:

@@ -13,7 +13,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from wellspring.operators.quantiles import STEPS, rounded_to
 from wellspring.session import checkpointed
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, row position below
@@ -129,12 +131,58 @@ def spread_blocks(
 
 
 def slice_rows(df: DataFrame, order: Sequence[str], offset: int, limit: int) -> DataFrame:
-    """Rows ``offset`` + 1 to ``offset`` + ``limit`` in ``order``, cut out of the numbered table.
-
-    No task holds offset + limit rows, however deep the slice is. Rows that tie
-    in ``order`` follow each other in no promised order, so it should be unique.
+    """Rows ``offset`` + 1 to ``offset`` + ``limit`` in ``order``, without sorting the rest.
+
+    Two scans count rows by the first column, rounded to 18 and then, inside
+    the cells that hold the slice's ends, to 36 significant bits; counts are
+    combined before they leave a task. Only rows between these ends are numbered
+    in order: the slice itself and what ties with its ends in the first column's
+    leading digits (of texts: 6 bytes). No task holds offset + limit rows, however deep the
+    slice is. Rows that tie in ``order`` follow each other in no promised order, so it should be unique.
     """
     if offset < 0 or limit < 0:
         raise ValueError("offset and limit must not be negative")
-    numbered = number_rows(df, order, "_row_no")
-    return numbered.filter(F.col("_row_no").between(offset + 1, offset + limit)).drop("_row_no")
+    if limit == 0:
+        return df.limit(0)
+    code = F.coalesce(_order_code(df, order[0]), F.lit(float("-inf")))
+    coarse, fine = rounded_to(rounded_to(code, STEPS[1]), STEPS[0]), rounded_to(code, STEPS[1])
+    ends = [F.lit(offset), F.lit(offset + limit - 1)]
+    first = _cells_at(df.select(coarse.alias("_cell")), F.lit(0).cast("long"), ends)
+    low, high = (
+        _cells_at(df.filter(coarse == first[end]["cell"]).select(fine.alias("_cell")), first[end]["below"], [ends[end]])[0]
+        for end in (0, 1)
+    )
+    band = df.filter((fine >= low["cell"]) & (fine <= high["cell"]))
+    # numbering is above the rows below the band; the scalar is the same one that cut it
+    numbered = number_rows(band.withColumn("_below", low["below"]), order, "_row_no")
+    place = F.col("_row_no") + F.col("_below")
+    return numbered.filter(place.between(offset + 1, offset + limit)).select(*df.columns)
+
+
+def _order_code(df: DataFrame, name: str) -> Column:
+    """A double that never falls along the column's order; what has none ties."""
+    kind, col = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return (col.cast("int") if isinstance(kind, T.BooleanType) else col).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(col.cast("timestamp")).cast("double")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        lead = F.rpad(F.hex(F.substring(col.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(lead, 16, 10).cast("double")
+    return F.lit(0.0)
+
+
+def _cells_at(cells: DataFrame, below: Column, places: Sequence[Column]) -> Column:
+    """For each 0-based place: (cell, below), the cell that holds it and the number of rows before that cell."""
+    before = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    counted = cells.groupBy("_cell").agg(F.count(F.lit(1)).alias("_rows")).withColumn(
+        "_before", below + F.coalesce(F.sum("_rows").over(before), F.lit(0).cast("long"))
+    )
+    # the last cell that begins at or before the place; a place beyond the end falls in the last one
+    found = [
+        F.max(F.when(F.col("_before") <= place, F.struct(F.col("_before").alias("below"), F.col("_cell").alias("cell"))))
+        for place in places
+    ]
+    return counted.agg(F.array(*found).alias("ends")).scalar()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wellspring.functions.scalars import pct_change, run_time
+from wellspring.sources.sinks import read_if_present, write_table
 
 
 def stamp_snapshot(df: DataFrame, snapshot_id: str, taken_at: str) -> DataFrame:
@@ -23,12 +25,7 @@ def write_snapshot(df: DataFrame, path: str, snapshot_id: str, taken_at: str) ->
 
 def write_snapshots(df: DataFrame, path: str) -> None:
     """Write rows that already carry snapshot_id and snapshot_timestamp."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_id")
-        .parquet(path)
-    )
+    write_table(df, path, ["snapshot_id"])
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
@@ -147,3 +144,74 @@ def snapshot_diff(
             *[F.col("_now")[v].alias(f"{v}_after") for v in values],
         )
     )
+
+
+class SnapshotStore:
+    """Snapshots below a path, each a folder of its own, known through a manifest.
+
+    A snapshot's rows are written first; then one manifest row (id, time, rows,
+    files, place) commits it. Listing, as-of and reading go by the manifest, so
+    they never scan the history, and an interrupted write is invisible. Writing
+    an id again commits a new folder in place of the old one; readers that
+    started before keep theirs.
+    """
+
+    SCHEMA = (
+        "snapshot_id STRING, snapshot_timestamp TIMESTAMP_NTZ, records_count LONG, files LONG, place STRING, serial LONG"
+    )
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def write(self, df: DataFrame, snapshot_id: str, taken_at: str) -> None:
+        if not snapshot_id:
+            raise ValueError("snapshot id required")
+        place = f"data/{uuid.uuid4().hex}"
+        stamp_snapshot(df, snapshot_id, taken_at).write.parquet(f"{self.path}/{place}")
+        written = self.spark.read.parquet(f"{self.path}/{place}").select(F.col("_metadata.file_path").alias("_file"))
+        serial = self._commits().agg(F.coalesce(F.max("serial"), F.lit(0)) + 1).scalar()
+        counted = written.agg(F.count(F.lit(1)).alias("records_count"), F.count_distinct("_file").alias("files"))
+        row = counted.select(
+            F.lit(snapshot_id).alias("snapshot_id"),
+            run_time(taken_at).alias("snapshot_timestamp"),
+            "records_count",
+            "files",
+            F.lit(place).alias("place"),
+            serial.cast("long").alias("serial"),
+        )
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
+
+    def _commits(self) -> DataFrame:
+        empty = self.spark.createDataFrame([], self.SCHEMA)
+        found = read_if_present(empty, f"{self.path}/manifest")
+        return empty if found is None else found
+
+    def list(self) -> DataFrame:
+        """Committed snapshots: id, time, rows, files. One row per snapshot is all it reads."""
+        return self._newest().select("snapshot_id", "snapshot_timestamp", "records_count", "files")
+
+    def _newest(self) -> DataFrame:
+        columns = [c for c in self._commits().columns if c not in ("snapshot_id", "serial")]
+        return self._commits().groupBy("snapshot_id").agg(F.max(F.struct("serial", *columns)).alias("c")).select("snapshot_id", "c.*")
+
+    def _at(self, chosen: DataFrame, otherwise: str) -> DataFrame:
+        row = chosen.orderBy(F.desc("snapshot_timestamp"), F.desc("snapshot_id")).first()
+        if row is None:
+            raise ValueError(otherwise)
+        return self.spark.read.parquet(f"{self.path}/{row['place']}")
+
+    def read(self, snapshot_id: str) -> DataFrame:
+        if not snapshot_id:
+            raise ValueError("snapshot id required")
+        return self._at(self._newest().filter(F.col("snapshot_id") == snapshot_id), f"there is no snapshot {snapshot_id!r}")
+
+    def as_of(self, moment: str | datetime) -> DataFrame:
+        """Rows of the newest snapshot at or before ``moment``; only its own files are read."""
+        if not moment:
+            raise ValueError("timestamp required")
+        at = F.lit(str(moment)).cast("timestamp_ntz")
+        return self._at(self._newest().filter(F.col("snapshot_timestamp") <= at), f"there is no snapshot at or before {moment}")
+
+    def compare(self, first: str, second: str) -> DataFrame:
+        """One row with both versions' totals and the change between them, from these two folders alone."""
+        return compare_snapshots(self.read(first).unionByName(self.read(second)), first, second)

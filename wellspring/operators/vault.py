@@ -178,14 +178,12 @@ def traverse(link: DataFrame, satellite: DataFrame, wells: DataFrame) -> DataFra
 
 def denormalise(link: DataFrame, hub_well: DataFrame, hub_sensor: DataFrame, satellite: DataFrame) -> DataFrame:
     """Readings with business keys; readings without a sensor keep a null sensor."""
-    named = link.select("well_hash_key", "sensor_hash_key", "link_hash_key").join(
-        hub_well.select("well_hash_key", "well_id"), "well_hash_key"
-    )
-    sensors = hub_sensor.select("sensor_hash_key", "sensor_id")
-    return (
-        left_join(named, sensors, "sensor_hash_key")
-        .join(satellite.select("link_hash_key", "depth_ft", "amplitude", "quality_flag"), "link_hash_key")
+    # the two large tables first: stored in buckets of their key they meet without a shuffle, and hubs are looked up after
+    rows = link.select("well_hash_key", "sensor_hash_key", "link_hash_key").join(
+        satellite.select("link_hash_key", "depth_ft", "amplitude", "quality_flag"), "link_hash_key"
     )
+    named = rows.join(hub_well.select("well_hash_key", "well_id"), "well_hash_key")
+    return left_join(named, hub_sensor.select("sensor_hash_key", "sensor_id"), "sensor_hash_key")
 
 
 def lineage(table: DataFrame) -> DataFrame:

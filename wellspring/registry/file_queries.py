@@ -275,6 +275,26 @@ def pattern_scan(spark, sf):
     return text.extract_patterns(b.table(spark, sf, "documents"), "text", DOCUMENT_PATTERNS, keep=["doc_id"])
 
 
+def _matches_sql(i: int, pattern: str) -> str:
+    """All matches of one pattern: pieces between matches, their running lengths, and the matches themselves."""
+    return f"""SELECT doc_id, {i} AS pattern_no, m AS "match",
+        CAST(SUM(length(piece)) OVER w + coalesce(SUM(length(m)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+        FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{pattern}')) AS m,
+                     unnest(regexp_split_to_array(text, '{pattern}')[:-2]) AS piece,
+                     generate_subscripts(regexp_extract_all(text, '{pattern}'), 1) AS i FROM documents)
+        WINDOW w AS (PARTITION BY doc_id ORDER BY i)"""
+
+
+@query(
+    "pattern_scan_all",
+    f"""SELECT doc_id, MIN(pattern_no) AS pattern_no, "match", "offset"
+    FROM ({' UNION ALL '.join(_matches_sql(i, p) for i, p in enumerate(DOCUMENT_PATTERNS))}) GROUP BY doc_id, "match", "offset\"""",
+)
+def pattern_scan_all(spark, sf):
+    """Every match of every pattern in every document, with its place."""
+    return text.extract_all(b.table(spark, sf, "documents"), "text", DOCUMENT_PATTERNS, keep=["doc_id"])
+
+
 @query("pattern_scan_files")
 def pattern_scan_files(spark, sf):
     """The same patterns in raw files: the documents written out as text files."""

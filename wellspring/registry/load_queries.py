@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wellspring.operators import vault
 from wellspring.plans import file_vault, vault_star
 from wellspring.registry import bindings as b
 from wellspring.registry.checks import MEASURE_HASH, READING_KEY, key_sql, number_text, query, vault_sql
 from wellspring.session import scratch_path
 from wellspring.sources import sinks, traces
+from wellspring.sources.buckets import write_vault_buckets
 from wellspring.streaming.incremental import incremental_traces
 
 FILE_TRACES = 4000
@@ -187,7 +191,7 @@ def _vault_rows(tables: dict[str, DataFrame]) -> DataFrame:
                 (F.when(F.col("trace_num").isNull(), diff) if measures else diff).alias("hash_diff"),
             )
         )
-    return file_vault.vault.union_sources(found)
+    return vault.union_sources(found)
 
 
 @query("files_to_vault", loads_sql(FILES_TO_VAULT))
@@ -273,3 +277,34 @@ def incremental_trace_files(spark, sf):
     columns = ["table_name", "link_hash_key", "record_source", "trace_num", "depth_ft", "amplitude", "quality_flag"]
     satellite = read("satellite").withColumn("table_name", F.lit("satellite")).select(*columns)
     return link.union(satellite).groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- stored in buckets -----------------------------------------------------
+
+_KEYS = {file_vault.LINK: "link_hash_key", file_vault.MEASURES: "link_hash_key"}
+
+
+def _bucketed(spark: SparkSession, sf: str, buckets: int = 8) -> dict[str, DataFrame]:
+    """Link and measurements of two loads, the second appended to the first."""
+    prefix, path = f"t{uuid.uuid4().hex[:12]}_", scratch_path(spark, "buckets")
+    tables = vault.build_vault(
+        b.supplier_wells(spark, sf), b.survey_master(spark, sf), b.part_sensors(spark, sf), b.line_readings(spark, sf), b.LOADED_AT
+    )
+    early = F.col("link_hash_key") < "8"
+    buckets_of = {}
+    for part, append in ((early, False), (~early, True)):
+        buckets_of = write_vault_buckets({n: tables[n].filter(part) for n in _KEYS}, _KEYS, prefix, path, buckets, append)
+    return buckets_of
+
+
+@query(
+    "vault_bucketed",
+    vault_sql(
+        """SELECT l.*, s.well_id, s.survey_type_id, s.sensor_id, s."timestamp", s.depth_ft, s.amplitude,
+        s.quality_flag, s.hash_diff FROM link l LEFT JOIN sat s USING (link_hash_key)"""
+    ),
+)
+def vault_bucketed(spark, sf):
+    """Every link with its measurements, from tables stored in buckets of their key."""
+    stored = _bucketed(spark, sf)
+    return vault.link_with_measurements(stored[file_vault.LINK], stored[file_vault.MEASURES])

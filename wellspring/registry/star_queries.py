@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from wellspring.functions.scalars import fill_defaults, quality_band
 from wellspring.operators import anomaly, joins, marts, numbering, quality, snapshots, star
 from wellspring.registry import bindings as b
 from wellspring.registry.checks import day_text, query, r6, readings_sql, rounded, star_sql
+from wellspring.session import scratch_path
 from wellspring.sources import sinks
 
 
@@ -516,6 +518,15 @@ def page_slice(spark, sf):
     return numbering.slice_rows(b.event_readings(spark, sf), ["reading_key"], 50, 25)
 
 
+@query(
+    "page_slice_deep",
+    readings_sql('''SELECT * FROM readings ORDER BY "timestamp", reading_key LIMIT 40 OFFSET 700'''),
+)
+def page_slice_deep(spark, sf):
+    """A later page by time; only its neighbourhood is sorted."""
+    return numbering.slice_rows(b.event_readings(spark, sf), ["timestamp", "reading_key"], 700, 40)
+
+
 # --- daily analytics -------------------------------------------------------
 
 _ANALYTICS = """, stats AS (SELECT AVG(amplitude) AS m, STDDEV_SAMP(amplitude) AS s FROM readings),
@@ -746,8 +757,6 @@ _HISTORY_ROWS = f"""SELECT well_id, well_name, latitude, longitude, source_forma
 @query("snapshot_history", star_sql(_HISTORY_ROWS))
 def snapshot_history(spark, sf):
     """Five snapshots written as partitions and read back."""
-    from wellspring.session import scratch_path
-
     path = scratch_path(spark, "snapshots")
     snapshots.write_snapshots(Star(spark, sf).history, path)
     return rounded(snapshots.read_snapshots(spark, path), "avg_amplitude", "data_quality_rate")
@@ -868,3 +877,39 @@ def dq_star(spark, sf):
             "duplicate_wells": quality.duplicate_groups(current, "well_id").agg(F.count(F.lit(1))).scalar(),
         }
     )
+
+
+# --- snapshots in a store --------------------------------------------------
+
+def _store(spark, sf) -> snapshots.SnapshotStore:
+    """The five versions, each committed by itself, the third of them twice."""
+    store = snapshots.SnapshotStore(spark, scratch_path(spark, "snapshot-store"))
+    history = sinks.stage(Star(spark, sf).history, scratch_path(spark, "history"))
+    for i in (0, 1, 2, 3, 4, 2):
+        rows = history.filter(F.col("snapshot_id") == str(i)).drop("snapshot_id", "snapshot_timestamp")
+        store.write(rows, str(i), f"{date(2025, 1, 1) - timedelta(days=i)} 00:00:00")
+    return store
+
+
+@query(
+    "snapshot_store",
+    star_sql(
+        """SELECT snapshot_id, MIN(snapshot_timestamp) AS snapshot_timestamp, COUNT(*) AS records_count
+        FROM history GROUP BY snapshot_id"""
+    ),
+)
+def snapshot_store(spark, sf):
+    """What the manifest of written snapshots lists."""
+    return _store(spark, sf).list().drop("files")
+
+
+@query(
+    "snapshot_store_as_of",
+    star_sql(
+        f"""{_HISTORY_ROWS} WHERE snapshot_timestamp = (SELECT MAX(snapshot_timestamp) FROM history
+        WHERE snapshot_timestamp <= TIMESTAMP '2024-12-30 12:00:00')"""
+    ),
+)
+def snapshot_store_as_of(spark, sf):
+    """All rows of the written snapshot that was current at a moment."""
+    return rounded(_store(spark, sf).as_of("2024-12-30 12:00:00"), "avg_amplitude", "data_quality_rate")
