@@ -67,3 +67,18 @@ def damage_parquet(spark: SparkSession, path: str, output: str, every: bool = Fa
 def damage_traces(spark: SparkSession, path: str, output: str) -> DataFrame:
     """A copy of every file for every kind of damage."""
     return _copies(spark, path, output, "*.sgx", TRACE_DAMAGE, every=True)
+
+
+def write_files(rows: DataFrame, output: str) -> DataFrame:
+    """Every row of ``rows`` (name, content) as a file of its own. Run the result once to write."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out, folder = open_filesystem(output)
+        out.create_dir(folder, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch["name"], batch["content"], strict=True):
+                with out.open_output_stream(f"{folder}/{name}") as handle:
+                    handle.write(content)
+            yield batch[["name"]]
+
+    return rows.select("name", "content").mapInPandas(work, "name STRING")

@@ -19,7 +19,7 @@ from wellspring.registry import damage
 from wellspring.registry.checks import query, r6, readings_sql, rounded, vault_sql
 from wellspring.schemas import TRACE, conform
 from wellspring.session import scratch_path
-from wellspring.sources import files, repair, sinks, traces
+from wellspring.sources import files, ranges, repair, sinks, traces
 from wellspring.streaming.incremental import incremental_load
 
 # --- scans -----------------------------------------------------------------
@@ -252,6 +252,32 @@ def file_triage(spark, sf):
     )
 
 
+@query(
+    "triage_ranges",
+    """SELECT doc_id % 4 AS form, COUNT(*) AS files, SUM(CASE WHEN doc_id % 4 IN (1, 3) THEN 1 ELSE 0 END)::BIGINT AS hex_files,
+    SUM(2 + (length(text) - length(replace(text, 'PAR1', ''))) / 4 * CASE WHEN doc_id % 4 = 3 THEN 2 ELSE 1 END)::BIGINT AS markers,
+    SUM(CASE WHEN doc_id % 4 = 3 THEN 8 + 2 * strlen(text) ELSE 8 + strlen(text) END)::BIGINT AS cut_at
+    FROM documents WHERE text IS NOT NULL GROUP BY 1""",
+)
+def triage_ranges(spark, sf):
+    """Every document as a raw file between two markers: as it is, as hex, with a tail, and as hex of twice the text; read in ranges of 700 bytes."""
+    path = scratch_path(spark, "raw-files")
+    body = F.concat(F.lit("PAR1"), F.col("text"), F.when(F.col("doc_id") % 4 == 3, F.col("text")).otherwise(""), F.lit("PAR1")).cast("binary")
+    lined = F.regexp_replace(F.hex(body), "(.{64})", "$1\n").cast("binary")
+    form = F.col("doc_id") % 4
+    content = F.when(form.isin(1, 3), lined).when(form == 2, F.concat(body, F.lit("tail").cast("binary"))).otherwise(body)
+    rows = b.table(spark, sf, "documents").filter("text IS NOT NULL")
+    damage.write_files(rows.select(F.concat_ws("-", form, "doc_id").alias("name"), content.alias("content")), path).write.format("noop").mode("overwrite").save()
+    found = ranges.triage_files(spark, path, "*", 700)
+    form = F.regexp_extract("path", r"([0-3])-[0-9]+$", 1).cast("long").alias("form")
+    return found.groupBy(form).agg(
+        F.count(F.lit(1)).alias("files"),
+        F.count_if("was_hex").alias("hex_files"),
+        F.sum("n_markers").alias("markers"),
+        F.sum("cut_at").alias("cut_at"),
+    )
+
+
 # --- text ------------------------------------------------------------------
 
 # Patterns looked for in the documents, after the published flag patterns.
@@ -303,6 +329,22 @@ def pattern_scan_files(spark, sf):
     return repair.scan_files_for_patterns(spark, path, "*.txt", DOCUMENT_PATTERNS)
 
 
+@query(
+    "scan_ranges",
+    f"""SELECT doc_id, MIN(pattern_no) AS pattern_no, "match", octet_length(encode("before"))::BIGINT AS "offset"
+    FROM (SELECT h.*, substr(text, 1, "offset") AS "before"
+          FROM ({' UNION ALL '.join(_matches_sql(i, p) for i, p in enumerate(DOCUMENT_PATTERNS))}) h JOIN documents USING (doc_id))
+    GROUP BY doc_id, "match", "before\"""",
+)
+def scan_ranges(spark, sf):
+    """Every match in every document written as a file of its own, searched in ranges of 500 bytes."""
+    path = scratch_path(spark, "raw-files")
+    rows = b.table(spark, sf, "documents").filter("text IS NOT NULL").select(F.col("doc_id").cast("string").alias("name"), F.col("text").cast("binary").alias("content"))
+    damage.write_files(rows, path).write.format("noop").mode("overwrite").save()
+    found = ranges.scan_files(spark, path, "*", DOCUMENT_PATTERNS, 500)
+    return found.select(F.col("source_file").cast("long").alias("doc_id"), "pattern_no", "match", "offset")
+
+
 MARKER = "the"
 
 
