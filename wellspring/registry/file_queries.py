@@ -36,6 +36,24 @@ def scan_parquet(spark, sf):
     )
 
 
+@query(
+    "scan_table",
+    """SELECT event_type, COUNT(*) AS n, COUNT(DISTINCT user_id) AS wells, MIN(value) AS low, MAX(value) AS high, MIN(ts) AS first, MAX(ts) AS last
+    FROM events GROUP BY event_type""",
+)
+def scan_table(spark, sf):
+    """The whole table: every row, without a filter."""
+    rows = files.read_table(spark, f"{sf.rstrip('/')}/events.parquet")
+    return rows.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("user_id").alias("wells"),
+        F.min("value").alias("low"),
+        F.max("value").alias("high"),
+        F.min("ts").alias("first"),
+        F.max("ts").alias("last"),
+    )
+
+
 @query(
     "scan_csv",
     """SELECT c_custkey AS well_id, c_name AS well_name, CAST(c_nationkey AS DOUBLE) AS location_lat,
@@ -86,6 +104,14 @@ def sink_partitioned(spark, sf):
     return kept.groupBy("year").agg(F.count(F.lit(1)).alias("readings"), F.count("sensor_id").alias("with_sensor"))
 
 
+@query("sink_partitioned_table", vault_sql("""SELECT *, year("timestamp") AS year FROM readings"""))
+def sink_partitioned_table(spark, sf):
+    """All rows and columns of the readings, written by year and read back."""
+    path = scratch_path(spark, "by-year")
+    sinks.write_table(b.line_readings(spark, sf).withColumn("year", F.year("timestamp")), path, ["year"])
+    return spark.read.parquet(path)
+
+
 @query(
     "sink_append_idempotent",
     """SELECT event_id AS reading_key, strftime(ts, '%Y-%m-%d') AS load_date, value AS amplitude FROM events""",

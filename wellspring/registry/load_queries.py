@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from wellspring.operators import vault
 from wellspring.plans import file_vault, vault_star
 from wellspring.registry import bindings as b
+from wellspring.registry import damage
 from wellspring.registry.checks import MEASURE_HASH, READING_KEY, key_sql, number_text, query, vault_sql
 from wellspring.session import scratch_path
-from wellspring.sources import sinks, traces
+from wellspring.sources import repair, sinks, traces
 from wellspring.sources.buckets import write_vault_buckets
 from wellspring.streaming.incremental import incremental_traces
 
@@ -308,3 +309,64 @@ def vault_bucketed(spark, sf):
     """Every link with its measurements, from tables stored in buckets of their key."""
     stored = _bucketed(spark, sf)
     return vault.link_with_measurements(stored[file_vault.LINK], stored[file_vault.MEASURES])
+
+
+# --- damaged files ---------------------------------------------------------
+
+_RECORD = traces.record_dtype(traces.LAYOUT).itemsize
+_HALF = f"least(n, ({_RECORD} * n // 2) // {_RECORD})"  # whole records of a file cut in its middle
+
+
+@query(
+    "trace_errors",
+    loads_sql(
+        f""", files AS (SELECT record_source, load_id, count(*) AS n FROM taken WHERE trace_num IS NOT NULL GROUP BY ALL),
+        kinds AS (SELECT unnest(['none', 'magic', 'short', 'extra', 'header']) AS kind)
+        SELECT kind, record_source, CASE WHEN kind IN ('none', 'extra') THEN 'ok' ELSE 'bad' END AS status,
+          CASE WHEN kind IN ('magic', 'header') THEN 0 ELSE n END AS trace_count,
+          CASE kind WHEN 'magic' THEN 0 WHEN 'header' THEN 0 WHEN 'short' THEN {_HALF} ELSE n END AS whole_traces,
+          CASE kind WHEN 'magic' THEN 0 WHEN 'header' THEN 0 WHEN 'short' THEN {_HALF} ELSE n END AS salvaged,
+          CASE WHEN kind IN ('none', 'extra') THEN n ELSE 0 END AS kept
+        FROM files, kinds WHERE load_id = 1"""
+    ),
+)
+def trace_errors(spark, sf):
+    """Trace files with every kind of damage: the header's verdict, and what salvaging and skipping read keep."""
+    path, damaged = scratch_path(spark, "traces"), scratch_path(spark, "traces-damaged")
+    _write_traces(_lines(spark, sf).filter("delivery = 1"), path)
+    damage.damage_traces(spark, path, damaged).write.format("noop").mode("overwrite").save()
+    counts = [
+        traces.read_sgx(spark, damaged, on_error=mode).groupBy("source_file").agg(F.count(F.lit(1)).alias(name))
+        for mode, name in (("salvage", "salvaged"), ("skip", "kept"))
+    ]
+    found = traces.sgx_headers(spark, damaged)
+    for count in counts:
+        found = found.join(count, "source_file", "left")
+    return found.withColumn("record_source", F.regexp_extract("source_file", "^[a-z]+-(.*)$", 1)).select(
+        F.regexp_extract("source_file", "^([a-z]+)-", 1).alias("kind"),
+        _plain_source().alias("record_source"),
+        "status",
+        "trace_count",
+        "whole_traces",
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("salvaged", "kept")],
+    )
+
+
+@query(
+    "repair_kinds",
+    """SELECT kind, kind IN ('hex', 'hex_and_trailing') AS was_hex, 'repaired' AS status, 8 AS files, count(*) AS rows,
+    CASE WHEN kind IN ('trailing', 'hex_and_trailing') THEN 8 ELSE 0 END AS cut_files
+    FROM lineitem, (SELECT unnest(['none', 'hex', 'trailing', 'hex_and_trailing']) AS kind) GROUP BY kind""",
+)
+def repair_kinds(spark, sf):
+    """The repair log over all readings, each file with every kind of damage."""
+    whole, damaged = scratch_path(spark, "whole"), scratch_path(spark, "damaged")
+    b.line_readings(spark, sf).repartition(8).write.parquet(whole)
+    damage.damage_parquet(spark, whole, damaged, every=True).write.format("noop").mode("overwrite").save()
+    log = repair.repair_dir(spark, damaged, scratch_path(spark, "repaired"))
+    kind = F.regexp_extract("path", "([a-z_]+)-part-[^/]*$", 1).alias("kind")
+    return log.groupBy(kind, "was_hex", "status").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("rows").alias("rows"),
+        F.count_if(F.col("cut_at") < F.col("decoded_size")).alias("cut_files"),
+    )
