@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wellspring.functions.keys import hash_diff
-from wellspring.operators import anomaly, history, joins, numbering, quality
+from wellspring.operators import anomaly, history, joins, numbering, quality, snapshots
 from wellspring.operators.anomaly import detect_anomalies, iqr_outliers, sigma_flag, z_score
 from wellspring.operators.quantiles import group_quantiles, rounded_to
 
@@ -278,3 +278,65 @@ def test_duplicates(spark, rows):
     assert rows(quality.duplicated_rows(df, "id"), "v") == [("a",), ("b",)]
     assert tuple(quality.duplicate_counts(df, "id").first()) == (3, 2, 1, 2)
     assert tuple(quality.duplicate_counts(df.limit(0), "id").first()) == (0, 0, 0, 0)
+
+
+def test_slices_equal_a_whole_sort(spark):
+    rng = random.Random(1)
+    odd = [float("inf"), -float("inf"), float("nan"), 0.0, 1e-300]
+    rows = [
+        (None if rng.random() < 0.05 else rng.choice([*odd, rng.gauss(0, 1e5)]), None if rng.random() < 0.1 else "".join(rng.choice("aéZ") for _ in range(rng.randrange(9))), i)
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "x DOUBLE, s STRING, i INT").withColumn("d", F.expr("date_add('2024-01-01', i % 40)"))
+    for order, cuts in ((["x", "i"], [(0, 5), (150, 30), (390, 50)]), (["s", "i"], [(100, 30), (0, 400)]), (["d", "i"], [(77, 3), (5, 0)])):
+        whole = [r.i for r in df.orderBy(*order).collect()]
+        for offset, limit in cuts:
+            got = [r.i for r in numbering.slice_rows(df, order, offset, limit).orderBy(*order).collect()]
+            assert got == whole[offset : offset + limit], (order, offset)
+    assert numbering.slice_rows(df.limit(0), ["x"], 0, 3).count() == 0
+    assert numbering.slice_rows(df, ["i"], 1000, 3).count() == 0
+
+
+def test_completeness_rule_counts_nan_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (2.0,)], "x DOUBLE")
+    row = quality.run_checks({"t": df}, [quality.Complete("t", "x"), quality.Unique("t", "x")]).filter("check_name = 'completeness'").first()
+    assert row.details["null_count"] == "2" and not row.passed
+    assert quality.completeness(df, ["x"]).first().null_count == 2
+
+
+def test_compiled_rules_on_empty_and_unmatched_tables(spark):
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, "c")], "k INT, v STRING")
+    child = spark.createDataFrame([(1,), (1,), (3,), (None,)], "k INT")
+    rules = [quality.Unique("parent", "k"), quality.References("child", "k", "parent"), quality.MinRows("none", 1), quality.OneOf("parent", "v", ("a", "b"))]
+    found = {r.check_name: r for r in quality.run_checks({"parent": parent, "child": child, "none": child.limit(0)}, rules).collect()}
+    assert found["uniqueness"].details == {"total_records": "4", "unique_keys": "2", "duplicates": "2"}
+    assert found["reference"].details == {"records": "4", "valid_references": "2", "orphaned_references": "1", "null_references": "1"}
+    assert found["row_count"].details["actual_count"] == "0" and not found["row_count"].passed
+    assert found["domain"].details["invalid"] == "1"
+
+
+def test_snapshot_store_goes_by_its_manifest(spark, tmp_path, monkeypatch):
+    store = snapshots.SnapshotStore(spark, str(tmp_path / "store"))
+    assert store.list().count() == 0
+    with pytest.raises(ValueError):
+        store.as_of("2024-01-01")
+    df = spark.range(10).withColumnRenamed("id", "x")
+    store.write(df, "a", "2024-01-01 00:00:00")
+    store.write(df.limit(4), "b", "2024-02-01 00:00:00")
+    assert {(r.snapshot_id, r.records_count) for r in store.list().collect()} == {("a", 10), ("b", 4)}
+    before = store.read("a")
+    store.write(df.limit(7), "a", "2024-01-01 00:00:00")  # replaced; who reads the former folder still can
+    assert store.read("a").count() == 7 and before.count() == 10
+    assert store.as_of("2024-01-15").count() == 7 and store.as_of("2024-02-01 00:00:00").count() == 4
+    assert len(store.as_of("2024-02-02").inputFiles()) == store.list().filter("snapshot_id = 'b'").first().files
+
+    def broken(*_, **__):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(snapshots, "run_time", broken)
+        with pytest.raises(OSError):
+            store.write(df, "c", "2024-03-01 00:00:00")
+    assert {r.snapshot_id for r in store.list().collect()} == {"a", "b"}
+    with pytest.raises(ValueError):
+        store.read("c")

@@ -68,10 +68,11 @@ from wellspring.operators.marts import (  # noqa: E402
     well_analytics,
     wells_map,
 )
-from wellspring.operators.numbering import number_rows, slice_rows, spread_blocks, surrogate_key  # noqa: E402
+from wellspring.operators.numbering import hand_out_keys, number_rows, slice_rows, spread_blocks, surrogate_key  # noqa: E402
 from wellspring.operators.quality import gate, run_checks, success_rate, vault_rules  # noqa: E402
 from wellspring.operators.quantiles import group_quantiles  # noqa: E402
 from wellspring.operators.snapshots import (  # noqa: E402
+    SnapshotStore,
     as_of,
     compare_snapshots,
     list_snapshots,
@@ -104,10 +105,14 @@ from wellspring.operators.vault import (  # noqa: E402
     traverse,
     union_sources,
 )
+from wellspring.plans.file_vault import Landing, load_files, read_file_vault  # noqa: E402
 from wellspring.plans.jobs import WarehouseInputs, run_daily, run_warehouse, write_vault  # noqa: E402
+from wellspring.plans.vault_star import load_star, read_star  # noqa: E402
 from wellspring.schemas import conform  # noqa: E402
 from wellspring.session import build_session  # noqa: E402
-from wellspring.sources.files import read_bytes, read_dir, read_master, read_table, read_vault, static_rows  # noqa: E402
+from wellspring.sources.buckets import open_bucketed, write_bucketed  # noqa: E402
+from wellspring.sources.files import list_sources, read_bytes, read_dir, read_master, read_table, read_vault, static_rows  # noqa: E402
+from wellspring.sources.ranges import scan_files, triage_files  # noqa: E402
 from wellspring.sources.repair import (  # noqa: E402
     classify_files,
     repair_dir,
@@ -116,6 +121,7 @@ from wellspring.sources.repair import (  # noqa: E402
     scan_files_for_patterns,
 )
 from wellspring.sources.sinks import (  # noqa: E402
+    append_counted,
     append_table,
     export_marts,
     run_report,
@@ -126,7 +132,7 @@ from wellspring.sources.sinks import (  # noqa: E402
     to_json,
     write_table,
 )
-from wellspring.sources.traces import read_sgx, sgx_errors, sgx_headers, write_sgx  # noqa: E402
-from wellspring.streaming.incremental import incremental_load  # noqa: E402
+from wellspring.sources.traces import read_sgx, read_trace_files, sgx_errors, sgx_headers, write_sgx  # noqa: E402
+from wellspring.streaming.incremental import incremental_load, incremental_traces  # noqa: E402
 
 __all__ = sorted(name for name in globals() if not name.startswith("_"))

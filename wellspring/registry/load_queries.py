@@ -13,7 +13,7 @@ from wellspring.registry import bindings as b
 from wellspring.registry import damage
 from wellspring.registry.checks import MEASURE_HASH, READING_KEY, key_sql, number_text, query, vault_sql
 from wellspring.session import scratch_path
-from wellspring.sources import repair, sinks, traces
+from wellspring.sources import files, repair, sinks, traces
 from wellspring.sources.buckets import write_vault_buckets
 from wellspring.streaming.incremental import incremental_traces
 
@@ -352,6 +352,22 @@ def trace_errors(spark, sf):
     )
 
 
+@query(
+    "traces_of_surveys",
+    loads_sql(
+        """SELECT trace_num, well_id, survey_type_id, depth_ft, amplitude, quality_flag, record_source FROM taken
+        WHERE trace_num IS NOT NULL AND survey_type_id IN (2, 5) AND load_id = 1"""
+    ),
+)
+def traces_of_surveys(spark, sf):
+    """Two surveys out of a folder of trace files, listed by Spark; of the other files only headers are read."""
+    path = scratch_path(spark, "traces")
+    _write_traces(_lines(spark, sf).filter("delivery = 1"), path)
+    rows = traces.read_trace_files(files.list_sources(spark, path, "*.sgx"), range_bytes=1 << 14, surveys=[2, 5])
+    rows = rows.withColumnRenamed("source_file", "record_source").withColumn("record_source", _plain_source())
+    return rows.select("trace_num", "well_id", "survey_type_id", "depth_ft", "amplitude", "quality_flag", "record_source")
+
+
 @query(
     "repair_kinds",
     """SELECT kind, kind IN ('hex', 'hex_and_trailing') AS was_hex, 'repaired' AS status, 8 AS files, count(*) AS rows,

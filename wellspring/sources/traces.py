@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import fnmatch
 import posixpath
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -140,9 +140,16 @@ def plan_slices(files: list[tuple[str, int]], record_size: int, task_bytes: int)
 
 
 def slice_batches(
-    system: fs.FileSystem, path: str, length: int, first: int, n: int, layout: str, mode: str
+    system: fs.FileSystem,
+    path: str,
+    length: int,
+    first: int,
+    n: int,
+    layout: str,
+    mode: str,
+    surveys: frozenset[int] | None = None,
 ) -> Iterator[pa.RecordBatch]:
-    """Records ``first`` to ``first + n - 1`` of one file, after a look at its header."""
+    """Records ``first`` to ``first + n - 1`` of one file, after a look at its header; of another survey, the header is all that is read."""
     dtype = record_dtype(layout)
     with system.open_input_file(path) as handle:
         head = read_header(handle, length, dtype.itemsize)
@@ -150,6 +157,8 @@ def slice_batches(
             raise TraceFileError(f"{path}: {head.error}")
         if head.error and mode == "skip":
             return
+        if surveys is not None and head.survey_type_id not in surveys:
+            return
         last = min(first + n, head.whole_traces)  # bytes after the announced traces are ignored
         step = max(1, READ_BYTES // dtype.itemsize)
         for start in range(first, last, step):
@@ -269,16 +278,22 @@ def sgx_errors(spark: SparkSession, path: str, glob: str = "*.sgx", layout: str
 
 
 def read_trace_files(
-    files: DataFrame, layout: str = LAYOUT, on_error: str = "strict", range_bytes: int = TASK_BYTES
+    files: DataFrame,
+    layout: str = LAYOUT,
+    on_error: str = "strict",
+    range_bytes: int = TASK_BYTES,
+    surveys: Iterable[int] | None = None,
 ) -> DataFrame:
     """Traces of the files that ``files`` (path, length) lists; a batch, a stream's micro-batch or a joined listing.
 
     Files are cut into record ranges, and the ranges are dealt to as many tasks
     as there are shuffle partitions, so one very large file is read by all of
-    them. No path comes to the driver. ``on_error`` is as in ``read_sgx``.
+    them. No path comes to the driver. ``on_error`` is as in ``read_sgx``. Files are
+    chosen by a filter on ``files``, or with ``surveys`` by their headers.
     """
     if on_error not in ("strict", "skip", "salvage"):
         raise ValueError("on_error must be strict, skip or salvage")
+    wanted = None if surveys is None else frozenset(surveys)
     record = record_dtype(layout).itemsize
     step = max(1, range_bytes // record)
     records = F.greatest(F.lit(1).cast("long"), F.floor((F.col("length") - HEADER.itemsize) / record))  # a bad file still gets its check
@@ -290,7 +305,7 @@ def read_trace_files(
         for batch in batches:
             for path, length, start in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
                 system, inner = open_filesystem(path)
-                yield from slice_batches(system, inner, length, start, step, layout, on_error)
+                yield from slice_batches(system, inner, length, start, step, layout, on_error, wanted)
 
     return ranges.mapInArrow(run, trace_schema(layout))
 
