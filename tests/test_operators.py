@@ -119,7 +119,7 @@ def test_quantiles_of_odd_groups_in_one_lazy_plan(spark):
             assert got == pytest.approx(want, rel=1e-12, nan_ok=True), (g, share)
 
 
-@pytest.mark.parametrize("bits", [18, 36])
+@pytest.mark.parametrize("bits", [18, 22, 36])
 def test_rounding_keeps_the_order(spark, bits):
     rng = random.Random(bits)
     values = sorted({rng.uniform(-1, 1) * 2.0 ** rng.randint(-1070, 1020) for _ in range(3000)} | {float("inf"), -float("inf"), 0.0})

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wellspring.operators.quantiles import STEPS, rounded_to
+from wellspring.operators.quantiles import rounded_to
 from wellspring.session import checkpointed
 
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition above, row position below
@@ -145,7 +145,7 @@ def slice_rows(df: DataFrame, order: Sequence[str], offset: int, limit: int) ->
     if limit == 0:
         return df.limit(0)
     code = F.coalesce(_order_code(df, order[0]), F.lit(float("-inf")))
-    coarse, fine = rounded_to(rounded_to(code, STEPS[1]), STEPS[0]), rounded_to(code, STEPS[1])
+    coarse, fine = rounded_to(rounded_to(code, 36), 18), rounded_to(code, 36)
     ends = [F.lit(offset), F.lit(offset + limit - 1)]
     first = _cells_at(df.select(coarse.alias("_cell")), F.lit(0).cast("long"), ends)
     low, high = (

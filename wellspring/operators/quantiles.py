@@ -3,11 +3,11 @@
 A radix selection. Equal values are folded to (group, value, count) first, with
 the value in the shuffle key, so a hot group is spread over all tasks. Then the
 wanted positions are found from the leading digits on: a histogram over values
-rounded to 18 significant bits tells which cell holds a position, one over 36
-bits does so inside that cell only, and the exact values are looked at inside
-the cell that is left. Rounding keeps the order, so the counts below a cell are
-exact at every step, and no step sorts more than a cell's 2**18 parts in a task
-(the first: 2**17 for every power of two that the group's values span).
+rounded to 22 significant bits tells which cell holds a position, and only that
+cell's values are looked at one by one. Rounding keeps the order, so the counts
+below a cell are exact. A task sorts the cells of a group, at most 2**21 for
+every power of two that its values span, and then the different values inside
+a cell, which agree in their first six digits; both sorts can spill.
 
 No group is measured beforehand and nothing runs while the plan is built.
 """
@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STEPS = (18, 36)  # significant bits of the first two histograms
+LEADING_BITS = 22  # significant bits of the histogram
 _LARGE = 2.0**900
 
 
@@ -44,8 +44,7 @@ def group_quantiles(df: DataFrame, group: Sequence[str], column: str, shares: Se
     held = [F.col(c).alias(k) for c, k in zip(names, keys, strict=False)] if names else [F.lit(1).alias("_k0")]
     rows = df.select(*held, F.col(column).cast("double").alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
     values = rows.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n"))
-    fine = rounded_to(F.col("_x"), STEPS[1])
-    values = values.withColumn("_fine", fine).withColumn("_coarse", rounded_to(F.col("_fine"), STEPS[0]))
+    values = values.withColumn("_coarse", rounded_to(F.col("_x"), LEADING_BITS))
 
     coarse = _with_below(values.groupBy(*keys, "_coarse").agg(F.sum("_n").alias("_n")), keys, "_coarse")
     total = F.sum("_n").over(Window.partitionBy(*keys))
@@ -62,8 +61,7 @@ def group_quantiles(df: DataFrame, group: Sequence[str], column: str, shares: Se
     found = coarse.withColumn("_w", F.explode(inside)).select(
         *keys, F.col("_coarse").alias("_cell"), F.col("_w.j").alias("_j"), (F.col("_w.at") - F.col("_below")).alias("_at"), F.col("_w.part").alias("_part")
     )
-    found = _step(values.groupBy(*keys, "_coarse", "_fine").agg(F.sum("_n").alias("_n")), found, keys, "_coarse", "_fine")
-    found = _step(values.select(*keys, "_fine", "_x", "_n"), found, keys, "_fine", "_x")
+    found = _inside(values, found, keys)
     lows = [F.max(F.when(F.col("_j") == 2 * i, F.col("_cell"))) for i in range(len(shares))]
     highs = [F.max(F.when(F.col("_j") == 2 * i + 1, F.col("_cell"))) for i in range(len(shares))]
     parts = [F.max(F.when(F.col("_j") == 2 * i, F.col("_part"))) for i in range(len(shares))]
@@ -78,16 +76,14 @@ def _with_below(cells: DataFrame, by: Sequence[str], order: str) -> DataFrame:
     return cells.withColumn("_below", F.coalesce(F.sum("_n").over(before), F.lit(0).cast("long")))
 
 
-def _step(cells: DataFrame, found: DataFrame, keys: Sequence[str], outer: str, inner: str) -> DataFrame:
-    """The ``inner`` cell, inside the ``outer`` one known so far, of every wanted position."""
+def _inside(values: DataFrame, found: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The value at every wanted position, among the values of the cell that holds it."""
+    # one row per cell: few, whatever the table, so Spark can broadcast them to the values
+    cells = found.groupBy(*[F.col(k).alias(f"_w{k}") for k in keys], "_cell").agg(
+        F.collect_list(F.struct("_j", "_at", "_part")).alias("_wanted")
+    )
     same = [F.col(f"_w{k}").eqNullSafe(F.col(k)) for k in keys]
-
-    def of(df: DataFrame) -> DataFrame:
-        return df.withColumnsRenamed({k: f"_w{k}" for k in keys})
-
-    open_ = of(found.select(*keys, "_cell").distinct())
-    near = cells.join(open_, [*same, F.col("_cell") == F.col(outer)], "left_semi")
-    placed = _with_below(near, [*keys, outer], inner)
-    met = placed.join(of(found), [*same, F.col("_cell") == F.col(outer)])
-    hit = (F.col("_at") >= F.col("_below")) & (F.col("_at") < F.col("_below") + F.col("_n"))
-    return met.filter(hit).select(*keys, F.col(inner).alias("_cell"), "_j", (F.col("_at") - F.col("_below")).alias("_at"), "_part")
+    near = values.join(cells, [*same, F.col("_cell") == F.col("_coarse")])
+    placed = _with_below(near, [*keys, "_coarse"], "_x")
+    hit = F.filter("_wanted", lambda w: (w["_at"] >= F.col("_below")) & (w["_at"] < F.col("_below") + F.col("_n")))
+    return placed.select(*keys, F.col("_x").alias("_cell"), F.explode(hit).alias("_w")).select(*keys, "_cell", "_w._j", "_w._part")
