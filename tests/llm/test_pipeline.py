@@ -109,6 +109,28 @@ def test_quality_distances_against_plain_counting(spark, rows):
     assert len(got) == len(rows)
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_languages_of_any_size_have_references(spark, rows, parts, monkeypatch):
+    monkeypatch.setattr(quality_rules, "LANGUAGE_SHARE", 0.2)
+    rng = random.Random(12)
+    soup = "#$%&|<>*" * 60 + prose(rng, 60)
+    small = [(1000 + i, prose(rng, 70), f"l{i % 9}", None, 1) for i in range(45)]
+    small += [(2000, soup, "l1", None, 1), (2001, " ".join(f"zq{i}" for i in range(90)), "l2", None, 1), (2002, "", "l3", None, 1)]
+    small += [(2003, " \n " * 80, "blank", None, 1), (2004, None, "none", None, 1), (2005, prose(rng, 80), None, None, 1)]
+    # every word once in 600: no common word at all
+    small += [(2006, " ".join(f"u{i}" for i in range(600)), "rare", None, 1)]
+    docs = [*rows[:-1], *small]
+    by_id = {r[0]: v for r, v in zip(docs, verdicts(docs), strict=True)}
+    got = quality_rules.quality_rules(spark.createDataFrame(docs, SCHEMA).repartition(parts)).collect()
+    assert len(got) == len(docs)
+    for r in got:
+        far, odd, kept = by_id[r.doc_id]
+        assert r.kept == kept, r
+        for mine, plain in ((r.char_distance, far), (r.word_distance, odd)):
+            assert (mine is None) == (plain is None) and (plain is None or abs(mine - plain) < 1e-6)
+    assert not by_id[2000][2] and not by_id[2001][2] and by_id[1003][2]
+
+
 def test_quality_stage_keeps_what_the_rules_keep(stages, rows):
     before, after = stages[0][0], stages[0][1]
     want = [r for r, (_, _, kept) in zip(before, verdicts(before), strict=True) if kept]

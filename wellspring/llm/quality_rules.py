@@ -4,17 +4,18 @@ Two histograms of a document are compared with references of its language by
 Jensen-Shannon distance: characters by class, and words by the language's common
 words (those with at least ``COMMON_SHARE`` of its words, so at most
 1 / COMMON_SHARE of them) with all others as one. References are sums over the
-whole corpus, one for each language that holds at least ``LANGUAGE_SHARE`` of all
-words, so the broadcast list of common words has a fixed bound. A document is
-rejected when a distance passes its limit and it is long enough for the
-histogram to mean something.
+whole corpus, one for every language. Those of languages with at least
+``LANGUAGE_SHARE`` of all words are broadcast, which bounds their number; any
+other reference is a row that goes to the language's documents in a shuffle and
+is sorted before them. A document is rejected when a distance passes its limit
+and it is long enough for the histogram to mean something.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wellspring.llm.store import staged
@@ -22,7 +23,7 @@ from wellspring.llm.tokens import runs, text_chunks, word_hashes, words_of
 
 WINDOW = 5
 COMMON_SHARE = 0.002  # of a language's words
-LANGUAGE_SHARE = 0.01  # of all words
+LANGUAGE_SHARE = 0.01  # of all words, for a broadcast reference
 CLASSES = ["lower", "upper", "digit", "blank", "stop", "mark", "symbol", "other"]
 LEAST_CHARS, LEAST_WORDS = 200, 50
 CHAR_LIMIT, WORD_LIMIT = 0.32, 0.46
@@ -37,18 +38,23 @@ _CLASS[0x80:0xC0] = len(CLASSES)
 _SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 
 
-def common_words(docs: DataFrame) -> DataFrame:
-    """(lang, word, share, in_lang): each language's common words, and its number of words."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(lang, word, n)."""
     words = docs.select("lang", F.explode(F.split(F.coalesce("text", F.lit("")), _SEPARATORS)).alias("word")).filter("word != ''")
-    counts = words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
-    counts = staged(counts, "words")
-    sizes = counts.groupBy("lang").agg(F.sum("n").alias("in_lang"))
-    total = sizes.agg(F.sum("in_lang")).scalar()
-    sizes = sizes.filter(F.col("in_lang") >= total * LANGUAGE_SHARE)
-    found = counts.join(F.broadcast(sizes), counts["lang"].eqNullSafe(sizes["lang"])).drop(sizes["lang"])
+    return staged(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "words")
+
+
+def common_words(counts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(lang, word, share): the common words of the languages in ``sizes`` (lang, in_lang)."""
+    found = counts.join(sizes, counts["lang"].eqNullSafe(sizes["lang"])).drop(sizes["lang"])
     return found.filter(F.col("n") >= F.col("in_lang") * COMMON_SHARE).select("lang", "word", (F.col("n") / F.col("in_lang")).alias("share"))
 
 
+def _is_one_of(langs: list[str | None]) -> Column:
+    named = F.coalesce(F.col("lang").isin([x for x in langs if x is not None]), F.lit(False))
+    return named | F.col("lang").isNull() if None in langs else named
+
+
 def _distance(p: np.ndarray, q: np.ndarray) -> float:
     """Jensen-Shannon distance, base 2: 0 for equal distributions, 1 for disjoint ones."""
     m = (p + q) / 2
@@ -62,16 +68,30 @@ def _hash_of(words: list[str]) -> np.ndarray:
     return np.concatenate([h for _, h in spans]) if spans else np.zeros(0, np.uint64)
 
 
+def _sorted_reference(words: list[str], shares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words in order, and their shares with that of all others."""
+    h = _hash_of(words)
+    order = np.argsort(h)
+    return h[order], np.append(shares[order], max(0.0, 1 - shares.sum()))
+
+
 def _measure_pass(references: dict):
-    """Base columns, the character classes and the word distance of every text."""
+    """Base columns, the character classes and the word distance of every text.
+
+    Batches have (doc_id, text, lang), and may have (words, shares) too: rows
+    where these are set are references, before all texts of their language.
+    """
 
     def run(batches):
-        sorted_refs = {}
-        for lang, (words, shares) in references.items():
-            h = _hash_of(words)
-            order = np.argsort(h)
-            sorted_refs[lang] = (h[order], np.append(shares[order], max(0.0, 1 - shares.sum())))
+        sorted_refs = {lang: _sorted_reference(*r) for lang, r in references.items()}
+        last = None
         for batch in batches:
+            if batch.num_columns > 3:
+                sorted_refs = {} if last is None else {last: sorted_refs[last]}
+                given = batch.filter(batch.column(3).is_valid())
+                for lang, words, shares in zip(*(given.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
+                    sorted_refs[lang], last = _sorted_reference(words, np.array(shares, float)), lang
+                batch = batch.filter(batch.column(3).is_null())
             n = batch.num_rows
             out = {c: np.zeros(n, np.int64) for c in ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]}
             classes = np.zeros((n, len(CLASSES)), np.int64)
@@ -134,6 +154,15 @@ def _repeated_words(window: np.ndarray, n: int) -> int:
     return int((np.cumsum(covered[:n]) > 0).sum())
 
 
+def _reference_rows(counts: DataFrame) -> DataFrame:
+    """(lang, words, shares): one row for every language of ``counts``; at most 1 / COMMON_SHARE words each."""
+    sizes = counts.groupBy("lang").agg(F.sum("n").alias("in_lang"))
+    words = common_words(counts, sizes).groupBy(F.col("lang").alias("of")).agg(F.collect_list(F.struct("word", "share")).alias("found"))
+    found = sizes.join(words, F.col("lang").eqNullSafe(F.col("of")), "left")
+    pairs = F.coalesce("found", F.array().cast("array<struct<word:string,share:double>>"))
+    return found.select("lang", F.transform(pairs, lambda x: x["word"]).alias("words"), F.transform(pairs, lambda x: x["share"]).alias("shares"))
+
+
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text, lang): the base columns, two distances and the verdict ``kept``.
 
@@ -142,32 +171,43 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     for texts of at least ``LEAST_CHARS`` characters whose ``char_distance``
     passes ``CHAR_LIMIT``, or of at least ``LEAST_WORDS`` words whose
     ``word_distance`` passes ``WORD_LIMIT``. A null or empty text has no words.
-    Null is a language of its own; a language with too small a share of the
-    corpus has no reference, its distances are null and reject nothing. A null
-    id and repeated rows give rows like any other. Other columns are not read.
+    Null is a language of its own. A language without a word or a character has
+    no reference, the distance is null and rejects nothing. A null id and
+    repeated rows give rows like any other. An empty table gives no rows. Other
+    columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    known = common_words(docs).orderBy("lang", "word").toPandas()  # at most 1 / LANGUAGE_SHARE languages x 1 / COMMON_SHARE words
-    known["lang"] = known["lang"].astype(object).where(known["lang"].notna(), None)
-    references = {
-        (None if g["lang"].iloc[0] is None else lang): (g["word"].tolist(), g["share"].to_numpy(float))
-        for lang, g in known.groupby("lang", dropna=False)
-    }
-    measured = staged(
-        docs.mapInArrow(
-            _measure_pass(references),
-            "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-            "classes array<long>, word_distance double",
-        ),
-        "measures",
+    counts = word_counts(docs)
+    sizes = counts.groupBy("lang").agg(F.sum("n").alias("in_lang"))
+    total = sizes.agg(F.sum("in_lang")).scalar()
+    large = sizes.filter(F.col("in_lang") >= total * LANGUAGE_SHARE)
+    langs = [r.lang for r in large.select("lang").collect()]  # at most 1 / LANGUAGE_SHARE
+    references: dict = {lang: ([], []) for lang in langs}
+    for r in common_words(counts, F.broadcast(large)).orderBy("lang", "word").collect():  # for each at most 1 / COMMON_SHARE
+        references[r.lang][0].append(r.word)
+        references[r.lang][1].append(r.share)
+    references = {lang: (words, np.array(shares, float)) for lang, (words, shares) in references.items()}
+    others = counts.filter(~_is_one_of(langs))
+    measures = (
+        "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+        "classes array<long>, word_distance double"
     )
-    sums = measured.groupBy("lang").agg(*[F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES))], F.sum("n_words").alias("in_lang"))
-    total = measured.agg(F.sum("n_words")).scalar()
+    if others.isEmpty():
+        measured = docs.mapInArrow(_measure_pass(references), measures)
+    else:
+        measured = docs.filter(_is_one_of(langs)).mapInArrow(_measure_pass(references), measures)
+        rest = docs.filter(~_is_one_of(langs)).unionByName(_reference_rows(others), allowMissingColumns=True)
+        # none of these languages is large, so none is a hot key
+        rest = rest.repartition("lang").sortWithinPartitions("lang", F.col("words").isNull())
+        measured = measured.unionByName(rest.mapInArrow(_measure_pass({}), measures))
+    measured = staged(measured, "measures")
+    n_classes = [F.sum(F.col("classes")[i]).alias(f"c{i}") for i in range(len(CLASSES))]
     of_lang = sum((F.col(f"c{i}") for i in range(len(CLASSES))), F.lit(0))
-    refs = sums.filter((F.col("in_lang") >= total * LANGUAGE_SHARE) & (of_lang > 0)).select(
-        F.col("lang").alias("ref_lang"), F.array(*[F.col(f"c{i}") / of_lang for i in range(len(CLASSES))]).alias("ref")
-    )
-    joined = measured.join(F.broadcast(refs), F.col("lang").eqNullSafe(F.col("ref_lang")), "left")  # at most 1 / LANGUAGE_SHARE rows
+    refs = measured.groupBy("lang").agg(*n_classes).filter(of_lang > 0)
+    refs = refs.select(F.col("lang").alias("ref_lang"), F.array(*[F.col(f"c{i}") / of_lang for i in range(len(CLASSES))]).alias("ref"), _is_one_of(langs).alias("large"))
+    same = F.col("lang").eqNullSafe(F.col("ref_lang"))
+    joined = measured.filter(_is_one_of(langs)).join(F.broadcast(refs.filter("large")), same, "left")  # at most 1 / LANGUAGE_SHARE rows
+    joined = joined.unionByName(measured.filter(~_is_one_of(langs)).join(refs.filter("not large"), same, "left"))
     chars = F.aggregate("classes", F.lit(0).cast("long"), lambda a, x: a + x)
     joined = joined.withColumn("n_chars", chars)
     parts = F.lit(0.0)
