@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -209,6 +210,38 @@ def test_novelty_tells_random_strings_from_names():
     assert not secret_scan.novel_spans(novelty, name, [])
 
 
+def test_long_random_strings_and_values_on_the_next_line_are_novel():
+    rng, novelty = random.Random(8), secret_scan.Novelty(["configuration", "management"])
+    upper, letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    for alphabet in ("0123456789ABCDEF", upper + "0123456789", upper + letters + "0123456789+/"):
+        for n in (32, 64, 128, 512, 1024, 5000):
+            found = 0
+            for _ in range(10):
+                key = "A" + "".join(rng.choices(alphabet, k=n - 2)) + "7"
+                text = f"of the and secret value is {key} and of the"
+                found += [text_of(text, s) for s in secret_scan.novel_spans(novelty, text, [])] == [key]
+            assert found >= 9, (alphabet, n)
+    lines = ["".join(rng.choices(upper + letters + "0123456789", k=62)) + "a1" for _ in range(6)]
+    text = "the private key:\n" + "\n".join(lines) + "\n\nand then prose"
+    assert [text_of(text, s) for s in secret_scan.novel_spans(novelty, text, [])] == lines
+    twice = f"password\n  {lines[0]} and once more {lines[0]}"
+    assert [text_of(twice, s) for s in secret_scan.novel_spans(novelty, twice, [])] == lines[:1]
+    for same in ("ab1" * 400, lines[0] * 30):
+        assert not secret_scan.novel_spans(novelty, f"secret {same}", [])
+    inside = f"the secret_{lines[0]} here"
+    assert [text_of(inside, s) for s in secret_scan.novel_spans(novelty, inside, [])] == ["_" + lines[0]]
+    covered = f"token={lines[0]}"
+    assert not secret_scan.novel_spans(novelty, covered, secret_scan.base_spans(covered))
+
+
+def test_secrets_of_very_long_texts_take_linear_time():
+    novelty = secret_scan.Novelty([])
+    for text in ("token " * 200_000, "token " * 100_000 + "x" * 500_000, "secret=abcdef1 " * 60_000, "tokentoken1" * 60_000):
+        began = time.perf_counter()
+        secret_scan.novel_spans(novelty, text, secret_scan.base_spans(text))
+        assert time.perf_counter() - began < 60
+
+
 def text_of(text, span):
     return text[span[0] : span[2]]
 
@@ -284,5 +317,5 @@ def test_odd_rows_and_empty_tables(spark, corpus):
 
 
 def test_every_operator_is_registered():
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in llm.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in llm.QUERIES] == list(range(1, 14))
     assert set(sql.ORACLES) <= set(llm.QUERIES)

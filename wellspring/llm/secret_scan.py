@@ -1,22 +1,31 @@
 """Secrets: base patterns, and zstandard novelty of strings in a sensitive context.
 
-A candidate is a string of key characters shortly after a sensitive word on the
-same line. Its novelty is what it adds to the compressed size of its own line,
-with a dictionary of identifiers and of the corpus's common words primed into the
-compressor: names and prose are found in the dictionary or in the surroundings
-and add few bytes, random strings add nearly all of theirs.
+A candidate is a string of key characters shortly after a sensitive word, on its
+line or the next, or one that follows a reported candidate after blanks only (a
+key over several lines). Its novelty is what it adds to the compressed size of
+the text around it, with a dictionary of identifiers and of the corpus's common
+words primed into the compressor: names and prose are found in the dictionary or
+in the surroundings and add few bytes, random strings add nearly all of theirs.
+
+A long random string of few kinds of characters compresses for its alphabet
+alone. So a candidate is measured in pieces too short for that, each against the
+surroundings, and as a whole against the bytes its alphabet needs: the pieces
+tell names from random strings, the whole tells random strings from repetition.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.spans import Span, clear_of, digest, listed
+from wellspring.llm.spans import Span, digest, listed
 
 KINDS = ["assign", "access", "hex", "novel"]
 WORD_SHARE = 1e-4  # of all words, for a place in the dictionary: at most 10,000 words
@@ -24,6 +33,8 @@ WORD_BYTES = 64
 LEVEL = 19
 NOVELTY, LEAST_BYTES = 0.8, 12
 REACH = 48  # characters between the sensitive word and a candidate
+PIECE = 32  # characters measured at once
+AROUND = 1024  # characters of surroundings on each side
 _SEPARATORS = r"[\x20\x09-\x0D]+"
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -32,7 +43,7 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 _SENSITIVE = re.compile(
     r"passwords?|passwd|passphrase|pwd|secrets?|tokens?|api[_ -]?key|access[_ -]?key|private[_ -]?key|credentials?|bearer|authorization", re.A | re.I
 )
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{12,}")
+_RUN = re.compile(r"[A-Za-z0-9+/_=.-]+")
 # names that code has around values, part of the dictionary
 _NAMES = (
     "password passwd secret token api_key apikey access_key secret_key private_key client_id client_secret username user_name "
@@ -50,40 +61,78 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
+class Compressed:
+    """Compressed sizes of texts with a dictionary of given content."""
+
+    def __init__(self, content: str):
+        primed = zstandard.ZstdCompressionDict(_bytes(content), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        primed.precompute_compress(level=LEVEL)
+        self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=primed, write_checksum=False, write_content_size=False)
+        self.least = len(self.compressor.compress(b""))
+
+    def added(self, text: str) -> int:
+        return len(self.compressor.compress(_bytes(text))) - self.least
+
+
+def _bytes(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass")
+
+
 class Novelty:
-    """Marginal compressed bytes against the dictionary and the surroundings."""
+    """Marginal compressed bytes against the corpus's words, and against names and the surroundings.
 
-    def __init__(self, words: list[str]):
-        content = " ".join([*words, _NAMES]).encode()
-        self.primed = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        self.primed.precompute_compress(level=LEVEL)
-        self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=self.primed, write_checksum=False, write_content_size=False)
+    Both are dictionaries, not text before the candidate: what is random in the
+    surroundings would lend its letter code to the candidate.
+    """
 
-    def added(self, context: str, candidate: str) -> int:
-        before = len(self.compressor.compress(context.encode("utf-8", "surrogatepass")))
-        return len(self.compressor.compress((context + candidate).encode("utf-8", "surrogatepass"))) - before
+    def __init__(self, words: list[str]):
+        self.corpus = Compressed(" ".join([*words, _NAMES]))
+
+    def novel(self, around: str, candidate: str) -> bool:
+        n = len(candidate)
+        cuts = [*range(0, max(n - LEAST_BYTES, 0) + 1, PIECE), n]  # a short rest stays with the piece before it
+        pieces = [candidate[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]
+        least = max(LEAST_BYTES, NOVELTY * n)
+        fresh = [self.corpus.added(p) for p in pieces]
+        if sum(fresh) < least:
+            return False
+        local = Compressed(f"{_NAMES} {around}")
+        if sum(min(x, local.added(p)) for x, p in zip(fresh, pieces, strict=True)) < least:
+            return False
+        bits = math.log2(len(set(candidate)))
+        return len(pieces) == 1 or local.added(candidate) >= NOVELTY * n * bits / 8
 
 
 def novel_spans(novelty: Novelty, text: str, base: list[Span]) -> list[Span]:
+    """Novel candidates clear of the ``base`` spans (sorted by start), in time linear in the text."""
+    words = [m.end() for m in _SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    starts, ends = [a for a, _, _ in base], [0, *accumulate((b for _, _, b in base), max)]
     out: list[Span] = []
-    done = 0
-    for m in _SENSITIVE.finditer(text):
-        end = text.find("\n", m.end())
-        end = len(text) if end < 0 else end
-        line = max(text.rfind("\n", max(0, m.start() - 256), m.start()) + 1, m.start() - 256, 0)
-        for c in _CANDIDATE.finditer(text, max(m.end(), done), end):
-            if c.start() - m.end() > REACH:
-                break
-            a, b = c.start(), c.end()
-            while b > a and text[b - 1] in ".-=" and text[b - 1 : b + 1] != "==":
-                b -= 1
-            piece = text[a:b]
-            mixed = any(ch.isdigit() for ch in piece) and any(ch.isalpha() for ch in piece)
-            done = c.end()
-            if len(piece) < LEAST_BYTES or not mixed or not clear_of(a, b, base):
+    word, reported = 0, -1  # the first sensitive word after the last run's end, the end of the last run if reported
+    for m in _RUN.finditer(text):
+        a = m.start()
+        while word < len(words) and words[word] <= a:
+            word += 1
+        follows = 0 <= reported and not text[reported:a].strip() if a - reported <= REACH else False
+        if not (word and a - words[word - 1] <= REACH) and not follows:
+            # a run that holds a sensitive word is a candidate from there on
+            if word == len(words) or words[word] >= m.end():
                 continue
-            if novelty.added(text[line:a], piece) >= max(LEAST_BYTES, NOVELTY * len(piece)):
-                out.append((a, 3, b))
+            a = words[word]
+        reported = -1
+        b = m.end()
+        while b > a and text[b - 1] in ".-=" and text[b - 1 : b + 1] != "==":
+            b -= 1
+        piece = text[a:b]
+        mixed = any(ch.isdigit() for ch in piece) and any(ch.isalpha() for ch in piece)
+        if len(piece) < LEAST_BYTES or not mixed or ends[bisect_left(starts, b)] > a:
+            continue
+        around = text[max(0, a - AROUND) : a] + "\n" + text[b : b + AROUND]
+        if novelty.novel(around.replace(piece, " "), piece):
+            out.append((a, 3, b))
+            reported = b
     return out
 
 
@@ -122,8 +171,9 @@ def find_secrets(docs: DataFrame) -> DataFrame:
 
     A null text counts as empty: no spans, the digest of the empty string.
     Repeated rows and null ids give rows like any other. A span is the whole
-    match, offsets are code points, the end exclusive. The dictionary comes from
-    all texts. An empty table gives no rows; other columns are not read.
+    match, offsets are code points, the end exclusive. A string that stands in
+    its surroundings once more is as novel as one that does not. The dictionary
+    comes from all texts, the time is linear in a text's length. An empty table gives no rows; other columns are not read.
     """
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return own.mapInArrow(
