@@ -15,6 +15,7 @@ from wellspring.llm.best_fit_packing import best_fit_packing, pack
 from wellspring.llm.jaccard_join import near_duplicates
 from wellspring.llm.quality_rules import quality_rules
 from wellspring.llm.source_mix import mix_sources
+from wellspring.llm.spans import Covered
 from wellspring.llm.substring_dedup import repeated_passages
 from wellspring.llm.suffix_tree_lm import suffix_tree_scores
 from wellspring.llm.topk_search import topk_search
@@ -242,6 +243,38 @@ def test_secrets_of_very_long_texts_take_linear_time():
         assert time.perf_counter() - began < 60
 
 
+def test_spans_are_looked_up_as_by_going_through_all():
+    rng = random.Random(9)
+    for _ in range(300):
+        known = sorted((a, rng.randrange(3), a + rng.randrange(1, 12)) for a in rng.choices(range(60), k=rng.randrange(8)))
+        covered = Covered(known)
+        for a in range(60):
+            b = a + rng.randrange(1, 9)
+            over = [s for s in known if s[0] < b and s[2] > a]
+            assert covered.overlapping(a, b) == over and covered.clear(a, b) == (not over)
+            assert list(covered.starting(a)) == [s for s in known if s[0] == a]
+
+
+def test_windows_of_texts_with_many_spans_take_linear_time():
+    text = "mail ann@mail.example.com or +1 (555) 123-4567, 10.0.0.255 and 4111 1111 1111 1111; " * 3000
+    began = time.perf_counter()
+    assert len(pii.labelled_windows(text)) > 12_000 and time.perf_counter() - began < 30
+
+
+def test_of_a_repeated_id_one_row_teaches(spark):
+    rng = random.Random(10)
+    rows = [(i, prose(rng, 20) + (" uglyword" * 3 if i % 2 else "") + " a@b.example.com") for i in range(60)]
+    many = [*rows, *[(0, prose(rng, 20) + f" c{i}@d.example.com") for i in range(500)]]
+    docs = spark.createDataFrame(many, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    least = min(t for i, t in many if i == 0)
+    single = spark.createDataFrame([(0, least), *rows[1:]], "doc_id long, text string")
+    scores = {r.doc_id: r.score for r in toxicity_scores(docs, labels).filter("doc_id > 0").collect()}
+    assert scores == {r.doc_id: r.score for r in toxicity_scores(single, labels).filter("doc_id > 0").collect()}
+    a, b = pii.train(docs, 20), pii.train(single, 20)
+    assert all(np.array_equal(a.p[k], b.p[k]) for k in a.p)
+
+
 def text_of(text, span):
     return text[span[0] : span[2]]
 

@@ -15,13 +15,14 @@ kind's form are added, IP addresses and card numbers under the base's checks.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.spans import Span, clear_of, digest, listed
+from wellspring.llm.spans import Covered, Span, digest, listed
 
 KINDS = ["email", "ip", "card", "phone"]
 WINDOW, STRIDE = 64, 32
@@ -310,17 +311,18 @@ def _otherwise(text: str, kind: int) -> list[str]:
 def labelled_windows(text: str) -> list[tuple[str, list[Span]]]:
     """Windows around base spans, other numbers and words "at" or "dot", and the same with the spans written otherwise."""
     spans, out = base_spans(text), []
-    places = [a for a, _, _ in spans] + [m.start() for m in re.finditer(r"[0-9@]", text) if clear_of(m.start(), m.start() + 1, spans)][:: 1 + STRIDE // 4]
+    known = Covered(spans)
+    places = [a for a, _, _ in spans] + [m.start() for m in re.finditer(r"[0-9@]", text) if known.clear(m.start(), m.start() + 1)][:: 1 + STRIDE // 4]
     for m in _WORDED.finditer(text):  # of no address, so far as the form tells
-        if clear_of(m.start(), m.end(), spans) and not _ADDRESS.search(text, max(0, m.start() - WINDOW), m.end() + WINDOW):
+        if known.clear(m.start(), m.end()) and not _ADDRESS.search(text, max(0, m.start() - WINDOW), m.end() + WINDOW):
             places.append(m.start())
     for n, place in enumerate(sorted(places)):
         a = max(0, place - (place * 7 + n * 13) % 40)
         window = text[a : a + WINDOW]
-        inside = [(max(s, a) - a, k, min(e, a + WINDOW) - a) for s, k, e in spans if s < a + WINDOW and e > a]
+        inside = [(max(s, a) - a, k, min(e, a + WINDOW) - a) for s, k, e in known.overlapping(a, a + WINDOW)]
         out.append((window, inside))
-        for s, k, e in spans:
-            if s != place or s < a or e > a + WINDOW:
+        for s, k, e in known.starting(place):
+            if s < a or e > a + WINDOW:
                 continue
             for other in _otherwise(text[s:e], k):
                 changed = text[a:s] + other + text[e : a + WINDOW]
@@ -342,8 +344,9 @@ def _window_pass(batches):
 def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> BiLstmCrf | None:
     """Fitted on windows of the ``rows`` rows with a number or at-sign that have the least hash of their id."""
     hit = docs.filter(F.col("text").rlike("[0-9@]"))
-    ids = hit.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).distinct()
-    table = docs.join(F.broadcast(ids), "doc_id").select("text").mapInArrow(_window_pass, "text string, spans array<int>").toArrow()
+    ids = hit.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    one = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))  # of a repeated id the least text
+    table = one.select("text").mapInArrow(_window_pass, "text string, spans array<int>").toArrow()
     windows = sorted(set(zip(table["text"].to_pylist(), map(tuple, table["spans"].to_pylist()), strict=True)))
     windows = sorted(windows, key=lambda w: digest(w[0]))[: rows * ROW_WINDOWS]
     if not windows:
@@ -368,7 +371,7 @@ def grown(text: str, a: int, kind: int, b: int) -> tuple[int, int]:
 def added_spans(model: BiLstmCrf | None, text: str, base: list[Span]) -> list[Span]:
     if model is None or not (_ANCHOR.search(text) or _WORDED.search(text)):
         return []
-    out: list[Span] = []
+    known, out = Covered(base), []  # sorted and apart from each other
     for a, kind, b, margin in decode(model, text):
         while a < b and text[a] in " \n.,;:)-":
             a += 1
@@ -377,7 +380,10 @@ def added_spans(model: BiLstmCrf | None, text: str, base: list[Span]) -> list[Sp
         if margin >= MARGIN and a < b:
             a, b = grown(text, a, kind, b)
         piece = text[a:b]
-        if margin < MARGIN or not _LOOSE[kind].fullmatch(piece) or not clear_of(a, b, base + out):
+        if margin < MARGIN or not _LOOSE[kind].fullmatch(piece) or not known.clear(a, b):
+            continue
+        at = bisect_left(out, (a, kind, b))
+        if (at and out[at - 1][2] > a) or (at < len(out) and out[at][0] < b):
             continue
         if kind == 1 and not in_range(re.findall("[0-9]+", piece)):
             continue
@@ -387,7 +393,7 @@ def added_spans(model: BiLstmCrf | None, text: str, base: list[Span]) -> list[Sp
             continue
         if (a and text[a - 1].isalnum()) or (b < len(text) and text[b].isalnum()):
             continue
-        out.append((a, kind, b))
+        out.insert(at, (a, kind, b))
     return out
 
 

@@ -17,15 +17,13 @@ from __future__ import annotations
 
 import math
 import re
-from bisect import bisect_left
-from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellspring.llm.spans import Span, digest, listed
+from wellspring.llm.spans import Covered, Span, digest, listed
 
 KINDS = ["assign", "access", "hex", "novel"]
 WORD_SHARE = 1e-4  # of all words, for a place in the dictionary: at most 10,000 words
@@ -108,7 +106,7 @@ def novel_spans(novelty: Novelty, text: str, base: list[Span]) -> list[Span]:
     words = [m.end() for m in _SENSITIVE.finditer(text)]
     if not words:
         return []
-    starts, ends = [a for a, _, _ in base], [0, *accumulate((b for _, _, b in base), max)]
+    known = Covered(base)
     out: list[Span] = []
     word, reported = 0, -1  # the first sensitive word after the last run's end, the end of the last run if reported
     for m in _RUN.finditer(text):
@@ -127,7 +125,7 @@ def novel_spans(novelty: Novelty, text: str, base: list[Span]) -> list[Span]:
             b -= 1
         piece = text[a:b]
         mixed = any(ch.isdigit() for ch in piece) and any(ch.isalpha() for ch in piece)
-        if len(piece) < LEAST_BYTES or not mixed or ends[bisect_left(starts, b)] > a:
+        if len(piece) < LEAST_BYTES or not mixed or not known.clear(a, b):
             continue
         around = text[max(0, a - AROUND) : a] + "\n" + text[b : b + AROUND]
         if novelty.novel(around.replace(piece, " "), piece):

@@ -141,7 +141,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     """Per row of ``docs`` (doc_id, text): held_out, score (0 to 1, likelier toxic) and predicted (score >= 0.3).
 
     Learns from ``labels`` (doc_id, toxic) of rows whose fold of 4 is not 2: of
-    these the ``sample`` with the least hash of their id. A null label or id
+    these the ``sample`` with the least hash of their id, of a repeated id its
+    least text. A null label or id
     teaches nothing. A null, empty or wordless text is an empty bag and gets the
     bias's score. Without labels of both kinds the score is the share of toxic
     ones, or 0. Repeated rows give rows like any other. Other columns are not
@@ -152,7 +153,8 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     known = known.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(fold("doc_id", 4) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = staged(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "labels")
-    taught = docs.join(F.broadcast(chosen), "doc_id").select("toxic", "text")  # at most ``sample`` rows
+    taught = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+    taught = taught.select("toxic", "text")  # at most ``sample`` rows
     table = taught.mapInArrow(_bag_pass, "toxic int, bucket binary, count binary").toArrow()
     rows = [
         (np.frombuffer(a, np.int32), np.frombuffer(c, np.int32))
