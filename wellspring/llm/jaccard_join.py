@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from wellspring.llm.store import components, staged
 from wellspring.llm.tokens import SHINGLE, digest, distinct, lower, shingle_hashes, text_chunks, words_of
 
-COUNTER_BITS = 18  # counters of the n-gram order: a fixed 2 MB, whatever the corpus
+COUNTER_BITS = 22  # counters of the n-gram order: a fixed 16 MB, whatever the corpus
+BLOCK_BITS = 12  # counters of a row, where tasks' counters are added up
 LIST_ENTRIES = 20_000  # a longer list is salted into parts of about this size, each with a pivot of its own
 TURNS = 1  # rounds of comparing with one other member a list, before all that is left is compared
 FILTER_BITS = 24  # of a filter that spares a shuffle of all texts: a fixed 2 MB; misses nothing
@@ -57,12 +58,33 @@ def _parities(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-_SIGNED = ["id", "n", "item", "check", "counter", "hits", *CELLS]
+_SIGNED = ["id", "n", "item", "check", "block", "place", "hits", *CELLS]
+
+
+def _blocks(hits: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(block, places, counts) of the counters above 0."""
+    used = np.flatnonzero(hits)
+    ends = np.searchsorted(used, np.arange((len(hits) >> BLOCK_BITS) + 1) << BLOCK_BITS)
+    for block in np.flatnonzero(np.diff(ends)):
+        of_block = used[ends[block] : ends[block + 1]]
+        yield int(block), (of_block & (1 << BLOCK_BITS) - 1).astype(np.uint16), hits[of_block]
+
+
+def _sum_pass(batches):
+    """(block, counts) of all rows of a partition's blocks."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, place, hits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if block not in sums:
+                sums[block] = np.zeros(1 << BLOCK_BITS, np.int64)
+            sums[block][np.frombuffer(place, np.uint16)] += np.frombuffer(hits, np.uint32)
+    counts = [np.minimum(s, 2**32 - 1).astype(np.uint32).tobytes() for s in sums.values()]
+    yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(counts, pa.binary())], ["block", "hits"])
 
 
 def _signature_pass(k: int):
     def run(batches):
-        hits = np.zeros(1 << COUNTER_BITS, np.int64)
+        hits = np.zeros(1 << COUNTER_BITS, np.uint32)
         seen: set[int] = set()
         for batch in batches:
             n = batch.num_rows
@@ -83,21 +105,20 @@ def _signature_pass(k: int):
                     pa.array(a, mask=size == 0),
                     pa.array(b, mask=size == 0),
                     pa.nulls(n, pa.int32()),
-                    pa.nulls(n, pa.int64()),
+                    pa.nulls(n, pa.binary()),
+                    pa.nulls(n, pa.binary()),
                     *[pa.array(c) for c in cells],
                 ],
                 _SIGNED,
             )
-        used = np.flatnonzero(hits)
-        m = len(used)
+        blocks = list(_blocks(hits))
+        m = len(blocks)
         yield pa.record_batch(
             [
-                pa.nulls(m, pa.int64()),
-                pa.nulls(m, pa.int64()),
-                pa.nulls(m, pa.int64()),
-                pa.nulls(m, pa.int64()),
-                pa.array(used.astype(np.int32)),
-                pa.array(hits[used]),
+                *[pa.nulls(m, pa.int64())] * 4,
+                pa.array([block for block, _, _ in blocks], pa.int32()),
+                pa.array([place.tobytes() for _, place, _ in blocks], pa.binary()),
+                pa.array([counts.tobytes() for _, _, counts in blocks], pa.binary()),
                 *[pa.nulls(m, pa.int64()) for _ in CELLS],
             ],
             _SIGNED,
@@ -128,7 +149,7 @@ def _prefix_pass(k: int, percent: int, counters):
                 if item in seen:  # copies within a task; copies of other tasks meet in the list
                     continue
                 seen.add(item)
-                count = hits[_counter(s)]
+                count = hits[_counter(s)].astype(np.int64)
                 order = np.argsort(count, kind="stable")[: len(s) - (percent * len(s) + 99) // 100 + 1]
                 token, count_of = s[order].view(np.int64), count[order]
                 weight = (min(int(count.mean()), 1 << 37) << 25) | (item & 0x1FFFFFF)
@@ -209,16 +230,19 @@ class JaccardJoin:
         first = staged(
             self.docs.mapInArrow(
                 _signature_pass(k),
-                "id long, n long, item long, check long, counter int, hits long, " + ", ".join(f"{c} long" for c in CELLS),
+                "id long, n long, item long, check long, block int, place binary, hits binary, " + ", ".join(f"{c} long" for c in CELLS),
             ),
             "sets",
         )
-        self.rows = first.filter("counter is null").select("id", "n", "item", "check")
+        self.rows = first.filter("block is null").select("id", "n", "item", "check")
         one = [F.min("id").alias("id"), F.max("n").alias("n"), *[F.max(c).alias(c) for c in CELLS]]  # cells follow from the set
         self.items = staged(first.filter("n > 0").groupBy("item", "check").agg(*one), "items")
-        table = first.filter("counter is not null").groupBy("counter").agg(F.sum("hits").alias("hits")).toArrow()
-        hits = np.zeros(1 << COUNTER_BITS, np.int64)
-        hits[table["counter"].to_numpy()] = table["hits"].to_numpy()
+        blocks = first.filter("block is not null").select("block", "place", "hits").repartition("block")
+        table = blocks.mapInArrow(_sum_pass, "block int, hits binary").toArrow()  # at most 2**(COUNTER_BITS - BLOCK_BITS) rows
+        hits = np.zeros((1 << COUNTER_BITS - BLOCK_BITS, 1 << BLOCK_BITS), np.uint32)
+        for block, counts in zip(*(c.to_pylist() for c in table.columns), strict=True):
+            hits[block] = np.frombuffer(counts, np.uint32)
+        hits = hits.reshape(-1)
         self.counters = self.spark.sparkContext.broadcast(hits)
 
     def _near(self, a: str, b: str) -> F.Column:

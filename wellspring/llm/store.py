@@ -2,17 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.session import scratch_path
 
 
-def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+_passing: list[list[str]] = []  # paths of the open ``passing`` blocks, the innermost last
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables staged inside are removed at the end, but for those with ``lasting``, which an outer block may remove.
+
+    What leaves the block must be lasting or not read them. After an error they stay, for a look at them.
+    """
+    _passing.append([])
+    try:
+        yield
+    except BaseException:
+        _passing.pop()
+        raise
+    for name in _passing.pop():
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def staged(df: DataFrame, name: str = "stage", lasting: bool = False) -> DataFrame:
     """``df`` written to the cluster's shared folder and read again: computed once, lineage cut."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    blocks = _passing[:-1] if lasting else _passing
+    if blocks:
+        blocks[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
