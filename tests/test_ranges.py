@@ -4,8 +4,9 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
-from wellspring.functions.patterns import extract_all, marker_positions
+from wellspring.functions.patterns import bytes_as_text, extract_all, extract_patterns, marker_positions
 from wellspring.sources import files, ranges, repair
 
 
@@ -92,6 +93,30 @@ def test_matches_are_the_same_for_any_range(spark, tmp_path, size):
     assert got == sorted(want)
 
 
+@pytest.mark.parametrize("size", [37, 1 << 20])
+def test_first_matches_are_those_of_whole_files(spark, tmp_path, size):
+    rng = random.Random(6)
+    pieces = [b"FLAG{A_1}", b" ab ", b"xab", b"u@v", b"\xff\n", b"aXaXa", b"FLAG{", b"(aa)", b"."]
+    for i in range(40):
+        filler = rng.choice([b".", b"x\n", b"xab"]) * rng.randrange(90)
+        (tmp_path / f"{i:02}.txt").write_bytes(filler + b"".join(rng.choice(pieces) for _ in range(rng.randrange(9))))
+    (tmp_path / "empty.txt").write_bytes(b"")
+    patterns = [*PATTERNS, r"([a-z])\1", "XaX", "a*", "FLAG.A_1."]
+    whole = files.read_bytes(spark, str(tmp_path), "*.txt").select(
+        F.element_at(F.split("path", "/"), -1).alias("source_file"), bytes_as_text("content").alias("t")
+    )
+    want = sorted(tuple(r) for r in extract_patterns(whole, "t", patterns, ["source_file"]).collect())
+    got = repair.scan_files_for_patterns(spark, str(tmp_path), "*.txt", patterns, range_bytes=size)
+    assert sorted(tuple(r) for r in got.collect()) == want and len(want) > 60
+
+
+def test_first_match_over_the_end_of_a_range(spark, tmp_path):
+    (tmp_path / "big.txt").write_bytes(b"x" * ((16 << 20) - 3) + b"FLAG{A_1}" + b"y" * (17 << 20))
+    assert [tuple(r) for r in repair.scan_files_for_patterns(spark, str(tmp_path), "*.txt").collect()] == [("big.txt", 0, "FLAG{A_1}", (16 << 20) - 3)]
+    read = ranges.read_ranges(files.list_sources(spark, str(tmp_path)), ahead=1 << 20, behind=64)
+    assert read.agg(F.max(F.length("content"))).first()[0] == (17 << 20) + 64  # and no more in a task
+
+
 def test_a_file_beyond_two_gigabytes_is_cut_for_many_tasks(spark, tmp_path):
     """A sparse file, beyond what Spark hands over as one value."""
     path = tmp_path / "big.parquet"

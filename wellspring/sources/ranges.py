@@ -13,7 +13,7 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wellspring.functions.patterns import DEFAULT_PATTERNS, bytes_as_text, extract_all
@@ -191,6 +191,68 @@ def scan_ranges(
     return kept.select("path", F.element_at(F.split("path", "/"), -1).alias("source_file"), "pattern_no", "match", "offset")
 
 
+def _first_from(pattern: str) -> Column:
+    """A pattern whose first group is the first match of ``pattern`` that begins in a range, with the context before it."""
+    # the group around it moves the numbers of back references
+    moved = re.sub(r"((?<!\\)(?:\\\\)*\\)([1-9]\d*)", lambda m: f"{m[1]}{int(m[2]) + 1}", pattern)
+    skipped = [F.lit(r"(?s:\A.{"), F.col("before").cast("string"), F.lit("}.{0,"), (F.col("size") - 1).cast("string"), F.lit("}?)")]
+    return F.concat(*skipped, F.lit(f"({moved})"))
+
+
+def first_matches(
+    files: DataFrame,
+    patterns: Sequence[str] = DEFAULT_PATTERNS,
+    range_bytes: int = RANGE_BYTES,
+    longest: int = LONGEST_MATCH,
+    behind: int = 64,
+) -> DataFrame:
+    """First match of each pattern per listed file: source_file, pattern_no, match, offset; ``extract_patterns`` of whole files, in ranges.
+
+    The first match is that of the first range in which one begins. The offset
+    is where its text first stands in the file, so the ranges up to that one are
+    searched for it. ``longest`` and ``behind`` are as in ``scan_ranges``; a file of
+    one range has no such limit.
+    """
+    pieces = read_ranges(files, range_bytes, longest, behind).filter("size > 0").withColumn("_text", bytes_as_text("content"))
+    found = []
+    for i, p in enumerate(patterns):
+        match = F.call_function("regexp_extract", "_text", _first_from(p), F.lit(1))
+        # an empty match is none, yet nothing after it is the first
+        met = F.call_function("regexp_instr", "_text", _first_from(p)) > 0 if re.search(p, "") else match != ""
+        found.append(F.struct(met.alias("met"), F.lit(i).alias("pattern_no"), match.alias("match")))
+    hits = pieces.select("path", "start", F.array(*found).alias("_hits"))
+    hits = hits.select("path", "start", F.inline(F.filter("_hits", lambda h: h["met"])))
+    first = F.min(F.struct("start", "match")).alias("first")
+    hits = hits.groupBy("path", "pattern_no").agg(first).filter(F.col("first.match") != "")
+    # the same text matched by two patterns counts for the first of them
+    once = hits.groupBy("path", F.col("first.match").alias("match")).agg(F.min("pattern_no").alias("pattern_no"), F.min("first.start").alias("upto"))
+    wanted = once.groupBy("path").agg(F.collect_list(F.struct("pattern_no", "match", "upto")).alias("wanted"))
+    places = file_ranges(files, range_bytes).join(wanted, "path").select("path", "length", "start", "wanted")
+    places = places.filter(F.exists("wanted", lambda w: w["upto"] >= F.col("start")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path, length, start, sought in zip(*[batch.column(i).to_pylist() for i in range(4)], strict=True):
+                system, inner = open_filesystem(path)
+                stop = min(length, start + range_bytes)
+                ahead = max(len(w["match"]) for w in sought) - 1
+                with system.open_input_file(inner) as handle:
+                    content = handle.read_at(min(length, stop + ahead) - start, start)
+                for w in sought:
+                    text = w["match"].encode("latin-1")
+                    at = content.find(text, 0, stop - start + len(text) - 1) if w["upto"] >= start else -1
+                    if at >= 0:
+                        rows.append((path, w["pattern_no"], w["match"], start + at))
+            columns = zip(*rows, strict=True) if rows else [()] * 4
+            types = [pa.string(), pa.int32(), pa.string(), pa.int64()]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["path", "pattern_no", "match", "offset"])
+
+    placed = places.mapInArrow(run, "path STRING, pattern_no INT, match STRING, offset BIGINT")
+    placed = placed.groupBy("path", "pattern_no", "match").agg(F.min("offset").cast("int").alias("offset"))
+    return placed.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "pattern_no", "match", "offset")
+
+
 def triage_files(spark: SparkSession, path: str, glob: str = "*.parquet", range_bytes: int = RANGE_BYTES) -> DataFrame:
     return triage_ranges(list_sources(spark, path, glob), range_bytes)
 

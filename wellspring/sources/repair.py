@@ -16,9 +16,9 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellspring.functions.patterns import bytes_as_text, extract_patterns, hex_share
-from wellspring.functions.patterns import DEFAULT_PATTERNS
-from wellspring.sources.files import read_bytes
+from wellspring.functions.patterns import DEFAULT_PATTERNS, bytes_as_text, hex_share
+from wellspring.sources.files import list_sources, read_bytes
+from wellspring.sources.ranges import LONGEST_MATCH, RANGE_BYTES, first_matches
 from wellspring.sources.traces import list_files, open_filesystem
 
 # The Parquet marker, its hex text's first characters, and the hex test.
@@ -221,10 +221,12 @@ def repair_parquet(
 
 
 def scan_files_for_patterns(
-    spark: SparkSession, path: str, glob: str = "*.parquet", patterns: Sequence[str] = DEFAULT_PATTERNS
+    spark: SparkSession,
+    path: str,
+    glob: str = "*.parquet",
+    patterns: Sequence[str] = DEFAULT_PATTERNS,
+    range_bytes: int = RANGE_BYTES,
+    longest: int = LONGEST_MATCH,
 ) -> DataFrame:
-    """Pattern matches in raw files: source_file, pattern_no, match, byte offset."""
-    files = read_bytes(spark, path, glob).select(
-        F.element_at(F.split("path", "/"), -1).alias("source_file"), bytes_as_text("content").alias("_text")
-    )
-    return extract_patterns(files, "_text", patterns, keep=["source_file"])
+    """Pattern matches in raw files: source_file, pattern_no, match, byte offset. Files are read in ranges."""
+    return first_matches(list_sources(spark, path, glob), patterns, range_bytes, longest)
