@@ -2,7 +2,9 @@
 
 import io
 import os
+import re
 import struct
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -13,6 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from wellspring.registry import damage
 from wellspring.schemas import MASTER_WELLS
 from wellspring.sources import files, repair, sinks, traces
 from wellspring.streaming.incremental import incremental_load, load_batch
@@ -172,6 +175,68 @@ def test_custom_step_before_repair(spark, folder, tmp_path_factory):
         repair.repair_parquet(spark, path, f"{out}/b")
 
 
+def whole_repair(data):
+    """The same on a whole file at once: (bytes, was_hex, size, markers, cut, message)."""
+    sample = data[:100]
+    was_hex = data[:2] in (b"50", b"35") and sample.isascii() and len(re.findall(rb"[0-9A-Fa-f]", sample)) / len(sample) > 0.9
+    if was_hex:
+        try:
+            data = bytes.fromhex(data.decode("ascii"))
+        except ValueError as error:
+            return None, True, len(data), 0, None, f"hex decoding failed: {error}"
+    size, n = len(data), data.count(b"PAR1")
+    if n == 0 or n > 1 and not data.startswith(b"PAR1"):
+        return None, was_hex, size, n, None, "first marker not at the start" if n else "no marker"
+    cut = data.rfind(b"PAR1") + 4 if n > 1 else None
+    data = data[:cut]
+    try:
+        pq.read_table(io.BytesIO(data))
+    except Exception:
+        return None, was_hex, size, n, cut, "not readable after repair"
+    message = "decoded" if was_hex else "read as it is"
+    return data, was_hex, size, n, cut, f"cut {size - cut} trailing bytes" if cut is not None and cut < size else message
+
+
+@pytest.mark.parametrize("chunk", [7, 64, 1000, 1 << 20])
+def test_repair_in_chunks_is_that_of_whole_files(monkeypatch, chunk):
+    monkeypatch.setattr(repair, "CHUNK", chunk)
+    good = parquet_bytes(400)
+    wide = re.sub(rb"(.{30})", rb"\1" + b" " * 50, good.hex().encode())
+    digits = good.hex().encode()
+    cases = [
+        good, good + b"tail", b"x" + good, good[:200], b"", b"PAR", b"PAR1", hexed(good), hexed(good + b"junk").upper(), wide, digits + b"zz", digits + b"0",
+        digits[:301] + b" " + digits[301:], digits[:200] + b"q" + digits[200:] + b"\xe9", digits + b" \n" * 40, hexed(parquet_bytes(text="PAR1 inside")),
+        b"50415231" + b"0" + b"50415231" * 3 + b"0", b"5" + b" " * 3, b"PAR1" * 20,
+    ]
+    for data in cases:
+        view, facts = repair.repair_file(pa.BufferReader(data), len(data))
+        got = None if view is None else b"".join(view.chunks())
+        want = whole_repair(data)
+        assert (got, facts["was_hex"], facts["decoded_size"], facts["n_markers"], facts["cut_at"], facts["message"]) == want
+        assert facts["original_size"] == len(data) and (facts["rows"] is not None) == (got is not None)
+        steps = [lambda d: d[1:]]
+        view, facts = repair.repair_file(pa.BufferReader(b"x" + data), len(data) + 1, steps)
+        assert (None if view is None else b"".join(view.chunks())) == want[0]
+
+
+@pytest.mark.parametrize("kind", [k for k, _ in damage.PARQUET_DAMAGE])
+def test_damage_and_repair_hold_a_few_chunks(tmp_path, kind):
+    """30 MB, and 60 MB as hex text."""
+    path = tmp_path / "big.parquet"
+    pq.write_table(pa.table({"x": np.random.default_rng(1).random(3_700_000)}), path, use_dictionary=False, compression="none", row_group_size=100_000)
+    size = os.path.getsize(path)
+    make = dict(damage.PARQUET_DAMAGE)[kind]
+    tracemalloc.start()
+    with pa.OSFile(str(path)) as whole, open(tmp_path / "damaged", "wb") as out:
+        for part in make(damage._chunks(whole, size), size):
+            out.write(part)
+    with pa.OSFile(str(tmp_path / "damaged")) as handle:
+        view, facts = repair.repair_file(handle, handle.size())
+        assert facts["rows"] == 3_700_000 and sum(map(len, view.chunks())) == size > 28 << 20
+    assert tracemalloc.get_traced_memory()[1] < 24 << 20
+    tracemalloc.stop()
+
+
 def test_repaired_files_of_an_earlier_run_stay_out(spark, tmp_path):
     out = str(tmp_path / "out")
     for name in ("first", "second"):

@@ -1,11 +1,12 @@
 """Damaged copies of sound files, for the repair and error queries.
 
 Which damage a file gets follows from a hash of its name; every copy is made
-in the task that holds the path.
+in the task that holds the path, chunk by chunk.
 """
 
 from __future__ import annotations
 
+import itertools
 import posixpath
 import zlib
 from collections.abc import Callable, Iterator
@@ -17,42 +18,73 @@ from wellspring.sources.files import read_bytes
 from wellspring.sources.traces import open_filesystem
 
 
-def _with_line_breaks(data: bytes) -> bytes:
-    digits = data.hex().encode()
-    return b"\n".join(digits[i : i + 128] for i in range(0, len(digits), 128))
+CHUNK = 1 << 20  # a multiple of a line of hex text
 
+Chunks = Iterator[bytes]
 
-PARQUET_DAMAGE: list[tuple[str, Callable[[bytes], bytes]]] = [
-    ("none", lambda d: d),
-    ("hex", _with_line_breaks),
-    ("trailing", lambda d: d + b"\n# appended by a broken transfer\n"),
-    ("hex_and_trailing", lambda d: _with_line_breaks(d + b"FLAG{NOT_PARQUET}")),
+
+def _with_line_breaks(data: Chunks) -> Chunks:
+    """Hex text, 64 bytes a line."""
+    rest, started = b"", False
+    for chunk in itertools.chain(data, [None]):
+        rest += chunk or b""
+        whole = len(rest) if chunk is None else len(rest) // 64 * 64
+        digits, rest = rest[:whole].hex().encode(), rest[whole:]
+        lines = b"\n".join(digits[i : i + 128] for i in range(0, len(digits), 128))
+        if lines:
+            yield b"\n" + lines if started else lines
+            started = True
+
+
+def _cut(data: Chunks, length: int) -> Chunks:
+    for chunk in data:
+        yield chunk[:length]
+        length -= len(chunk)
+        if length <= 0:
+            return
+
+
+def _tail(data: Chunks, more: bytes) -> Chunks:
+    return itertools.chain(data, [more])
+
+
+# (kind, what it makes of a file's chunks and length)
+PARQUET_DAMAGE: list[tuple[str, Callable[[Chunks, int], Chunks]]] = [
+    ("none", lambda d, n: d),
+    ("hex", lambda d, n: _with_line_breaks(d)),
+    ("trailing", lambda d, n: _tail(d, b"\n# appended by a broken transfer\n")),
+    ("hex_and_trailing", lambda d, n: _with_line_breaks(_tail(d, b"FLAG{NOT_PARQUET}"))),
 ]
 
-TRACE_DAMAGE: list[tuple[str, Callable[[bytes], bytes]]] = [
-    ("none", lambda d: d),
-    ("magic", lambda d: b"XXXXXXXX" + d[8:]),
-    ("short", lambda d: d[: 16 + (len(d) - 16) // 2]),
-    ("extra", lambda d: d + b"\x00" * 7),
-    ("header", lambda d: d[:10]),
+TRACE_DAMAGE: list[tuple[str, Callable[[Chunks, int], Chunks]]] = [
+    ("none", lambda d, n: d),
+    ("magic", lambda d, n: (b"XXXXXXXX" + c[8:] if i == 0 else c for i, c in enumerate(d))),
+    ("short", lambda d, n: _cut(d, 16 + (n - 16) // 2)),
+    ("extra", lambda d, n: _tail(d, b"\x00" * 7)),
+    ("header", lambda d, n: _cut(d, 10)),
 ]
 
 
+def _chunks(handle, length: int) -> Chunks:
+    for at in range(0, max(length, 1), CHUNK):
+        yield handle.read_at(min(CHUNK, length - at), at)
+
+
 def _copies(spark: SparkSession, path: str, output: str, glob: str, kinds, every: bool) -> DataFrame:
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = []
             for source in batch["path"]:
                 system, inner = open_filesystem(source)
-                with system.open_input_file(inner) as handle:
-                    data = handle.read()
                 out, folder = open_filesystem(output)
                 out.create_dir(folder, recursive=True)
                 name = posixpath.basename(inner)
                 picked = kinds if every else [kinds[zlib.crc32(name.encode()) % len(kinds)]]
                 for kind, damage in picked:
-                    with out.open_output_stream(f"{folder}/{kind}-{name}") as handle:
-                        handle.write(damage(data))
+                    with system.open_input_file(inner) as handle, out.open_output_stream(f"{folder}/{kind}-{name}") as target:
+                        length = handle.size()
+                        for chunk in damage(_chunks(handle, length), length):
+                            target.write(chunk)
                     made.append((source, kind))
             yield pd.DataFrame(made, columns=["path", "kind"])
 

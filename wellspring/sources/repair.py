@@ -6,9 +6,11 @@ a failure is a row, not an exception. Spark distributes the files by size.
 
 from __future__ import annotations
 
+import bisect
+import io
 import posixpath
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
@@ -26,6 +28,9 @@ MARKER = b"PAR1"
 HEX_STARTS = ["50", "35"]
 HEX_SAMPLE = 100
 HEX_LIMIT = 0.9
+_DIGITS = b"0123456789abcdefABCDEF"
+
+CHUNK = 1 << 20
 
 MANIFEST = (
     "path STRING, original_size BIGINT, was_hex BOOLEAN, decoded_size BIGINT, n_markers BIGINT, cut_at BIGINT, "
@@ -88,43 +93,138 @@ def looks_hex(data: bytes) -> bool:
     return len(re.findall(rb"[0-9A-Fa-f]", sample)) / len(sample) > HEX_LIMIT
 
 
-def _readable(data: bytes) -> int | None:
+class _View(io.RawIOBase):
+    """The first ``size`` bytes of a file, or of what its hex text stands for, read at any place; one chunk of text is held."""
+
+    def __init__(self, handle, length: int):
+        self.handle, self.length, self.size, self.at = handle, length, length, 0
+        self.places: list[tuple[int, int, int]] = []  # of hex text: byte, and begin and end of the chunk of text
+        self.held = (0, b"")
+
+    def decode(self) -> Iterator[bytes]:
+        """All bytes that the hex text stands for; notes where its chunks begin."""
+        at, kept, size = 0, b"", 0
+        while at < self.length:
+            begin = at - len(kept)
+            text = kept + self.handle.read_at(min(CHUNK, self.length - at), at)
+            at = begin + len(text)
+            # the digits of a byte stay together
+            odd = (len(text) - len(text.rstrip(_DIGITS))) % 2
+            kept = text[-1:] if odd and at < self.length else b""
+            try:
+                chunk = bytes.fromhex(text[: len(text) - len(kept)].decode("ascii"))
+            except ValueError as error:
+                raise ValueError(self._said(begin, error)) from error
+            self.places.append((size, begin, at - len(kept)))
+            size += len(chunk)
+            yield chunk
+        self.size = size
+
+    def _said(self, begin: int, error: ValueError) -> str:
+        """The error as decoding the whole text at once gives it."""
+        for at in range(0, self.length, CHUNK):
+            text = self.handle.read_at(min(CHUNK, self.length - at), at)
+            if not text.isascii():
+                i = next(i for i, c in enumerate(text) if c > 127)
+                return f"'ascii' codec can't decode byte 0x{text[i]:02x} in position {at + i}: ordinal not in range(128)"
+        return re.sub(r"position (\d+)", lambda m: f"position {begin + int(m[1])}", str(error))
+
+    def chunks(self) -> Iterator[bytes]:
+        for at in range(0, self.size, CHUNK):
+            yield self.read_at(min(CHUNK, self.size - at), at)
+
+    def read_at(self, n: int, at: int) -> bytes:
+        n = max(0, min(n, self.size - at))
+        if not self.places:
+            return self.handle.read_at(n, at) if n else b""
+        out = []
+        while n:
+            first, data = self.held
+            if not first <= at < first + len(data):
+                first, begin, end = self.places[bisect.bisect_right(self.places, at, key=lambda p: p[0]) - 1]
+                data = bytes.fromhex(self.handle.read_at(end - begin, begin).decode("ascii"))
+                self.held = (first, data)
+            out.append(data[at - first : at - first + n])
+            at, n = at + len(out[-1]), n - len(out[-1])
+        return b"".join(out)
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.at
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        self.at = offset + (0, self.at, self.size)[whence]
+        return self.at
+
+    def read(self, n: int = -1) -> bytes:
+        data = self.read_at(self.size - self.at if n is None or n < 0 else n, self.at)
+        self.at += len(data)
+        return data
+
+
+def _readable(view: _View) -> int | None:
     """Number of rows if the bytes are a readable Parquet file."""
     try:
         rows = 0
-        for batch in pq.ParquetFile(pa.BufferReader(data)).iter_batches():
+        file = pq.ParquetFile(pa.PythonFile(view, mode="r"), buffer_size=CHUNK, pre_buffer=False)
+        for batch in file.iter_batches(use_threads=False):
             rows += batch.num_rows
         return rows
     except Exception:
         return None
 
 
-def repair_bytes(data: bytes, pre_steps: Sequence[Callable[[bytes], bytes]] = ()) -> tuple[bytes | None, dict]:
-    """Repaired bytes, or None, and the facts for the manifest."""
-    facts = {"original_size": len(data), "was_hex": False, "decoded_size": len(data), "n_markers": 0,
+def _markers(chunks: Iterable[bytes]) -> tuple[int, int, bool]:
+    """How many markers, where the last one begins, and whether the first bytes are one. A marker does not overlap itself."""
+    n, last, at, end = 0, -1, 0, b""
+    first = False
+    for chunk in chunks:
+        data = end + chunk
+        found = data.count(MARKER)
+        if found:
+            n, last = n + found, at - len(end) + data.rfind(MARKER)
+        if at - len(end) == 0:
+            first = data.startswith(MARKER)
+        at, end = at + len(chunk), data[-len(MARKER) + 1 :]
+    return n, last, first
+
+
+def repair_file(handle, length: int, pre_steps: Sequence[Callable[[bytes], bytes]] = ()) -> tuple[_View | None, dict]:
+    """A view of the repaired bytes, or None, and the facts for the manifest. Only ``pre_steps`` get the bytes as a whole."""
+    facts = {"original_size": length, "was_hex": False, "decoded_size": length, "n_markers": 0,
              "cut_at": None, "status": "failed", "message": "", "rows": None}
-    for step in pre_steps:
-        data = step(data)
-    if looks_hex(data):
+    if pre_steps:
+        data = handle.read_at(length, 0) if length else b""
+        for step in pre_steps:
+            data = step(data)
+        handle, length = pa.BufferReader(data), len(data)
+    view = _View(handle, length)
+    head = view.read_at(HEX_SAMPLE, 0)
+    if looks_hex(head):
         facts["was_hex"] = True
         try:
-            data = bytes.fromhex(data.decode("ascii"))
+            n, last, first = _markers(view.decode())
         except ValueError as error:
             facts["message"] = f"hex decoding failed: {error}"
             return None, facts
-    facts["decoded_size"] = len(data)
-    # The marker does not overlap itself, so a plain count finds them all.
-    facts["n_markers"] = data.count(MARKER)
-    if facts["n_markers"] == 0:
+    else:
+        n, last, first = _markers(view.chunks())
+    facts["decoded_size"] = view.size
+    facts["n_markers"] = n
+    if n == 0:
         facts["message"] = "no marker"
         return None, facts
-    if facts["n_markers"] > 1:
-        if not data.startswith(MARKER):
+    if n > 1:
+        if not first:
             facts["message"] = "first marker not at the start"
             return None, facts
-        facts["cut_at"] = data.rfind(MARKER) + len(MARKER)
-        data = data[: facts["cut_at"]]
-    facts["rows"] = _readable(data)
+        facts["cut_at"] = view.size = last + len(MARKER)
+    facts["rows"] = _readable(view)
     if facts["rows"] is None:
         facts["message"] = "not readable after repair"
         return None, facts
@@ -132,7 +232,7 @@ def repair_bytes(data: bytes, pre_steps: Sequence[Callable[[bytes], bytes]] = ()
     facts["message"] = "decoded" if facts["was_hex"] else "read as it is"
     if facts["cut_at"] is not None and facts["cut_at"] < facts["decoded_size"]:
         facts["message"] = f"cut {facts['decoded_size'] - facts['cut_at']} trailing bytes"
-    return data, facts
+    return view, facts
 
 
 def repair_dir(
@@ -144,7 +244,8 @@ def repair_dir(
 ) -> DataFrame:
     """Repair every file of a folder into ``output``; the result is the manifest, one row per file.
 
-    The rows sent to Python are paths; a task opens its files one at a time.
+    The rows sent to Python are paths; a task opens its files one at a time
+    and reads them in chunks.
     Output names carry a hash of the input path, so a retried task rewrites
     its own file and equal names from different folders do not collide. Run the
     returned DataFrame once (for instance by writing it) to do the work.
@@ -160,14 +261,15 @@ def repair_dir(
                 target = None
                 try:
                     with system.open_input_file(inner) as handle:
-                        data, facts = repair_bytes(handle.read(), pre_steps)
-                    if data is not None:
-                        out, folder = open_filesystem(output)
-                        out.create_dir(folder, recursive=True)
-                        stem, ending = posixpath.splitext(posixpath.basename(inner))
-                        target = f"{folder}/{stem}-{hashlib.md5(source.encode()).hexdigest()[:8]}{ending}"
-                        with out.open_output_stream(target) as handle:
-                            handle.write(data)
+                        view, facts = repair_file(handle, handle.size(), pre_steps)
+                        if view is not None:
+                            out, folder = open_filesystem(output)
+                            out.create_dir(folder, recursive=True)
+                            stem, ending = posixpath.splitext(posixpath.basename(inner))
+                            target = f"{folder}/{stem}-{hashlib.md5(source.encode()).hexdigest()[:8]}{ending}"
+                            with out.open_output_stream(target) as written:
+                                for chunk in view.chunks():
+                                    written.write(chunk)
                 except Exception as error:
                     facts = {"original_size": None, "was_hex": None, "decoded_size": None, "n_markers": None,
                              "cut_at": None, "status": "failed", "message": str(error), "rows": None}
