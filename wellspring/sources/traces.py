@@ -32,7 +32,7 @@ _SQL_TYPES = {"u4": "BIGINT", "u2": "INT", "u1": "INT", "i4": "INT", "f4": "DOUB
 _NUMPY_TYPES = {"BIGINT": np.int64, "INT": np.int32, "DOUBLE": np.float64}
 
 TASK_BYTES = 64 << 20
-READ_BYTES = 8 << 20
+READ_BYTES = 1 << 20  # a batch is some eight times as large, with the file's name in every row
 
 
 class TraceFileError(ValueError):
@@ -177,7 +177,7 @@ def _record_batch(records: np.ndarray, start: int, head: Header, name: str, layo
     if "survey_type_id" not in columns:
         columns = {"trace_num": columns.pop("trace_num"),
                    "survey_type_id": np.full(n, head.survey_type_id, dtype=np.int64), **columns}
-    arrays = [pa.array(v) for v in columns.values()] + [pa.array([name] * n, pa.string())]
+    arrays = [pa.array(v) for v in columns.values()] + [pa.repeat(pa.scalar(name, pa.string()), n)]
     return pa.RecordBatch.from_arrays(arrays, names=[*columns, "source_file"])
 
 
@@ -331,8 +331,11 @@ def check_trace_files(files: DataFrame, layout: str = LAYOUT) -> DataFrame:
 
 def pack_traces(survey_type_id: int, records: np.ndarray) -> bytes:
     """Bytes of one trace file; for tests and for exporting readings to the legacy format."""
-    head = np.array([(MAGIC, survey_type_id, len(records))], HEADER)
-    return head.tobytes() + records.tobytes()
+    return _header(survey_type_id, len(records)) + records.tobytes()
+
+
+def _header(survey_type_id: int, count: int) -> bytes:
+    return np.array([(MAGIC, survey_type_id, count)], HEADER).tobytes()
 
 
 def write_sgx(df: DataFrame, path: str, layout: str = LAYOUT, file_traces: int = 1_000_000) -> DataFrame:
@@ -346,6 +349,7 @@ def write_sgx(df: DataFrame, path: str, layout: str = LAYOUT, file_traces: int =
     """
     dtype = record_dtype(layout)
     names = [n for n, _ in parse_layout(layout)]
+    step = max(1, READ_BYTES // dtype.itemsize)
 
     def write(batches):
         from pyspark import TaskContext
@@ -360,7 +364,9 @@ def write_sgx(df: DataFrame, path: str, layout: str = LAYOUT, file_traces: int =
             files[survey] = files.get(survey, 0) + 1
             target = f"{inner}/survey{survey}-{task:05d}-{files[survey]:05d}.sgx"
             with system.open_output_stream(target) as stream:
-                stream.write(pack_traces(survey, records))
+                stream.write(_header(survey, len(records)))
+                for at in range(0, len(records), step):
+                    stream.write(records[at : at + step].tobytes())
             return pa.RecordBatch.from_pydict({"path": [target], "survey_type_id": [survey], "traces": [len(records)]})
 
         for batch in batches:
