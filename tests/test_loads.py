@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from wellspring.operators import numbering
 from wellspring.plans import file_vault, vault_star
+from wellspring.registry import bindings as b
+from wellspring.registry import load_queries
 from wellspring.sources import files, sinks, traces
 from wellspring.streaming.incremental import incremental_traces
 
@@ -193,3 +195,18 @@ def test_multisets_are_merged_by_count(spark, tmp_path):
     assert append([("p", 1, None, "f2")] * 3) == {("p", 1, None): 3, ("q", 2, "z"): 1}
     assert append([a, ("q", None, None, "f3")]) == {("p", 1, None): 3, ("q", 2, "z"): 1, ("q", None, None): 1}
 
+
+
+def test_parts_grow_with_the_files_of_a_table(spark, tmp_path):
+    (tmp_path / "lineitem.parquet").mkdir()
+    for i in range(3):
+        (tmp_path / "lineitem.parquet" / f"part-{i}.parquet").write_bytes(b"x" * 1000)
+    assert [b.parts_of(spark, str(tmp_path), "lineitem", 4, size) for size in (100, 999, 3000)] == [30, 4, 4]
+
+
+def test_buckets_follow_the_table(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(b, "parts_of", lambda *a: 11)
+    stored = load_queries._bucketed(spark, "/root/testdata/sf0.001")
+    path = {f.rsplit("/", 1)[0] for f in stored["link_seismic_reading"].inputFiles()}
+    buckets = {f.rsplit("_", 1)[1] for f in stored["link_seismic_reading"].inputFiles()}
+    assert len(path) == 1 and len(buckets) == 11
