@@ -27,31 +27,70 @@ HEX_LIMIT = 0.9
 
 RANGE_BYTES = 16 << 20
 LONGEST_MATCH = 1 << 20
+BATCH_BYTES, BATCH_ROWS = 1 << 20, 1000  # of ranges handed on at once
 
 
 def file_ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """(path, length, start) of all ranges of the listed files, dealt to as many tasks as there are shuffle partitions."""
+    """(path, length, start) of all ranges of the listed files, dealt to as many tasks as there are shuffle partitions.
+
+    Small ranges that lie within the same RANGE_BYTES of a file go together, so that a task opens it once.
+    """
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0)).cast("long"), F.lit(range_bytes).cast("long"))
     tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return files.select("path", "length", F.explode(starts).alias("start")).repartition(tasks, "path", "start")
+    cut = files.select("path", "length", F.explode(starts).alias("start"))
+    return cut.repartition(tasks, F.col("path"), F.floor(F.col("start") / RANGE_BYTES))
+
+
+class _Opened:
+    """The file that a task reads from: opened once for ranges that follow each other."""
+
+    def __init__(self):
+        self.path, self.handle = None, None
+
+    def __call__(self, path: str):
+        if path != self.path:
+            self.close()
+            system, inner = open_filesystem(path)
+            self.handle, self.path = system.open_input_file(inner), path
+        return self.handle
+
+    def close(self) -> None:
+        if self.handle is not None:
+            self.handle.close()
+        self.path, self.handle = None, None
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
 
 
 def read_ranges(files: DataFrame, range_bytes: int = RANGE_BYTES, ahead: int = 0, behind: int = 0) -> DataFrame:
     """(path, start, size, before, content): each range's bytes with up to ``behind`` bytes before and ``ahead`` after it."""
 
+    names = ["path", "start", "size", "before", "content"]
+    types = [pa.string(), *[pa.int64()] * 3, pa.binary()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, length, start in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                system, inner = open_filesystem(path)
-                size = min(range_bytes, length - start)
-                first = max(0, start - behind)
-                with system.open_input_file(inner) as handle:
-                    content = handle.read_at(min(length, start + size + ahead) - first, first) if length else b""
-                yield pa.record_batch(
-                    [pa.array([path]), pa.array([start], pa.int64()), pa.array([size], pa.int64()), pa.array([start - first], pa.int64()),
-                     pa.array([content], pa.binary())],
-                    ["path", "start", "size", "before", "content"],
-                )
+        rows, held = [], 0
+
+        def out() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
+
+        with _Opened() as opened:
+            for batch in batches:
+                for path, length, start in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                    size = min(range_bytes, length - start)
+                    first = max(0, start - behind)
+                    content = opened(path).read_at(min(length, start + size + ahead) - first, first) if length else b""
+                    rows.append((path, start, size, start - first, content))
+                    held += len(content)
+                    if held >= BATCH_BYTES or len(rows) >= BATCH_ROWS:
+                        yield out()
+                        rows, held = [], 0
+            if rows:
+                yield out()
 
     return file_ranges(files, range_bytes).mapInArrow(run, "path STRING, start BIGINT, size BIGINT, before BIGINT, content BINARY")
 
@@ -108,10 +147,9 @@ def triage_ranges(files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
         types = [pa.string(), *[pa.int64()] * 2, pa.binary(), *[pa.int64()] * 5, *[longs] * 3]
         for batch in batches:
             rows = []
-            for path, length, start in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
-                system, inner = open_filesystem(path)
-                with system.open_input_file(inner) as handle:
-                    rows.append((path, length, start, *_facts_of(handle, length, start, range_bytes)))
+            with _Opened() as opened:
+                for path, length, start in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                    rows.append((path, length, start, *_facts_of(opened(path), length, start, range_bytes)))
             if rows:
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
