@@ -285,9 +285,9 @@ def incremental_trace_files(spark, sf):
 _KEYS = {file_vault.LINK: "link_hash_key", file_vault.MEASURES: "link_hash_key"}
 
 
-def _bucketed(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+def _bucketed(spark: SparkSession, sf: str, buckets: int | None = None) -> dict[str, DataFrame]:
     """Link and measurements of two loads, the second appended to the first, in as many buckets as the readings ask for."""
-    buckets = b.parts_of(spark, sf, "lineitem", 8)
+    buckets = buckets or b.parts_of(spark, sf, "lineitem", 8)
     prefix, path = f"t{uuid.uuid4().hex[:12]}_", scratch_path(spark, "buckets")
     tables = vault.build_vault(
         b.supplier_wells(spark, sf), b.survey_master(spark, sf), b.part_sensors(spark, sf), b.line_readings(spark, sf), b.LOADED_AT
