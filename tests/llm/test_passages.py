@@ -54,3 +54,22 @@ def test_all_near_paragraphs_of_a_bucket_meet(spark, leaders, monkeypatch):
     bands = spark.createDataFrame([*[rows[i] for i in order], (8, 0, 9_999)], "bucket long, odd long, content long")
     got = {tuple(r) for r in substring_dedup._colliding(bands).collect()}
     assert got == {(2 * i, 2 * i + 1) for i in range(400)}
+
+
+@pytest.mark.parametrize("leaders", [2_000, 1])
+def test_followers_of_a_leader_unlike_them_meet_each_other(spark, leaders, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "LEADERS", leaders)
+    rng, rows = random.Random(9), []
+    for i in range(60):  # halves swapped: the same parities and many equal shingles, but not similar
+        first, second = prose(rng, 12), prose(rng, 12)
+        rows += [(3 * i, f"{first} {second}"), (3 * i + 1, f"{second} {first}"), (3 * i + 2, f"{second} {first.rsplit(' ', 1)[0]} other{i}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2).selectExpr("doc_id serial", "doc_id", "text")
+    bands = docs.mapInArrow(substring_dedup._band_pass, "bucket long, odd long, content long").collect()
+    buckets = {}
+    for r in bands:
+        buckets.setdefault(r.content, set()).add(r.bucket)
+    content = {r.doc_id: r.content for r in docs.mapInArrow(substring_dedup._unit_pass, substring_dedup._UNITS).collect()}
+    found = {(r.doc_id, r.component_id) for r in repeated_passages(docs.select("doc_id", "text")).collect()}
+    meet = [i for i in range(60) if buckets[content[3 * i + 1]] & buckets[content[3 * i + 2]]]
+    assert len(meet) > 50
+    assert found == {(3 * i + j, 3 * i + 1) for i in meet for j in (1, 2)}

@@ -14,7 +14,8 @@ so are those whose ends alone differ. A bucket's paragraphs pass by in order and
 each is compared with all leaders of the bucket: it is paired with the first that
 is NEAR, or leads from then on. A bucket of more than ``LEADERS`` leaders is dealt
 out by five parts of the parities, of which NEAR ones share at least one, so that
-no pair is left uncompared there either. Pairs are verified by exact Jaccard
+no pair is left uncompared there either. Where a bucket then has paragraphs of
+several components, all NEAR ones of different components are compared. Pairs are verified by exact Jaccard
 similarity of 5-word shingles or by edit distance in words, and components of
 them are one passage. Nothing is gathered by key.
 """
@@ -38,6 +39,7 @@ NEAR = 2 * EDITS  # word parities in which similar paragraphs may differ
 PARTS = np.array([0, 13, 26, 39, 52, 64], np.uint64)  # of the parities: one more than NEAR
 LEADERS = 2_000
 FEW = 24  # leaders that are looked at one by one
+COMPARED = 4_096  # paragraphs that are compared with one at a time
 REACH = GUARANTEE - 1  # words on each side of a paragraph in which a repeat may end
 FILTER_BITS = 24  # of a filter that spares a shuffle of all paragraphs; misses nothing
 _RNG = np.random.default_rng(8)
@@ -157,17 +159,79 @@ def _band_pass(batches):
         yield out()
 
 
+PAIR, DENSE, OPEN = 0, 1, 2  # kinds of rows that come out of a bucket
+
+
+def _unmet(odds: list[int], led: list[int]) -> list[tuple[int, int]]:
+    """(place, group) of a bucket's rows that are NEAR one with which they make no pair; such rows are of one group. ``led``: the place of a row's leader, or -1."""
+    n = len(odds)
+    packed = np.array(odds, np.uint64) if n > FEW else None
+    group, free = list(range(n)), [False] * n
+    for i in range(1, n):
+        odd = odds[i]
+        if packed is None:
+            near = [j for j in range(i) if (odds[j] ^ odd).bit_count() <= NEAR]
+        else:
+            near = np.flatnonzero(np.bitwise_count(packed[:i] ^ packed[i]) <= NEAR).tolist()
+        for j in near:
+            if j != led[i]:
+                free[i] = free[j] = True
+                if group[i] != group[j]:
+                    old, new = group[i], group[j]
+                    group = [new if g == old else g for g in group]
+    return [(i, group[i]) for i in range(n) if free[i]]
+
+
 def _pair_pass(most: int | None):
-    """Sorted (bucket, odd, content) to pairs (a, b, null, null); of a bucket with more than ``most`` leaders the leaders so far and all later rows (null, content, bucket, odd)."""
+    """Sorted (bucket, odd, content) to pairs (PAIR, a, b, null, null).
+
+    Of a bucket with more than ``most`` leaders also the leaders so far and all
+    later rows (DENSE, null, content, bucket, odd). For ``_cross_links`` the rows
+    that are NEAR one they make no pair with (OPEN, ...), in a bucket for each
+    group of such; of a bucket of more than LEADERS rows all.
+    """
 
     def run(batches):
         bucket, over = None, False
-        odds, names = [], []  # of the bucket's leaders
+        odds, names, places = [], [], []  # of the bucket's leaders
+        row_odds, row_names, led = [], [], []  # of all its rows, up to LEADERS
+        opened = False
         packed = np.zeros(0, np.uint64)
+        kind, a, b, of, odd_of = out = [], [], [], [], []
+
+        def put(what, name, odd, where):
+            kind.append(what)
+            a.append(None)
+            b.append(name)
+            of.append(where)
+            odd_of.append(odd - (1 << 64) if odd >> 63 else odd)
+
+        def close():
+            if not opened and len(led) > max(2, len(odds)):
+                for i, group in _unmet(row_odds, led):
+                    put(OPEN, row_names[i], row_odds[i], hash((bucket, group)))
+
+        def seen(name, odd, leader):
+            if opened:
+                put(OPEN, name, odd, bucket)
+            else:
+                row_odds.append(odd)
+                row_names.append(name)
+                led.append(leader)
+
+        def open_all():
+            for n, o in zip(row_names, row_odds, strict=True):
+                put(OPEN, n, o, bucket)
+
+        def taken():
+            columns = [pa.array(kind, pa.int8()), *[pa.array(x, pa.int64()) for x in out[1:]]]
+            for x in out:
+                x.clear()
+            return pa.record_batch(columns, ["kind", "a", "b", "bucket", "odd"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b, of, odd_of = [], [], [], []
             columns = [batch.column(i).to_numpy() for i in range(3)]
             # a row alone in its bucket, or again the content before it, has nothing to meet
             again = columns[0][1:] == columns[0][:-1]
@@ -176,8 +240,14 @@ def _pair_pass(most: int | None):
             columns = [c[kept] for c in columns]
             for key, odd, name in zip(columns[0].tolist(), columns[1].view(np.uint64).tolist(), columns[2].tolist(), strict=True):
                 if key != bucket:
+                    close()
                     bucket, over = key, False
-                    odds, names = [], []
+                    odds, names, places = [], [], []
+                    row_odds, row_names, led = [], [], []
+                    opened = False
+                if not opened and len(led) > LEADERS:
+                    open_all()
+                    opened = True
                 if not over:
                     if len(odds) <= FEW:
                         near = next((i for i, o in enumerate(odds) if (o ^ odd).bit_count() <= NEAR), -1)
@@ -185,11 +255,14 @@ def _pair_pass(most: int | None):
                         hits = np.bitwise_count(packed[: len(odds)] ^ np.uint64(odd)) <= NEAR
                         near = int(hits.argmax()) if hits.any() else -1
                     if near >= 0:
-                        if names[near] != name:
-                            a.append(names[near])
-                            b.append(name)
-                            of.append(None)
-                            odd_of.append(None)
+                        if names[near] == name:
+                            continue
+                        kind.append(PAIR)
+                        a.append(names[near])
+                        b.append(name)
+                        of.append(None)
+                        odd_of.append(None)
+                        seen(name, odd, places[near])
                         continue
                     if len(odds) == FEW:
                         packed = np.array([*odds, *[0] * FEW], np.uint64)
@@ -199,40 +272,51 @@ def _pair_pass(most: int | None):
                         packed[len(odds)] = odd
                     odds.append(odd)
                     names.append(name)
+                    places.append(len(led))
+                    seen(name, odd, -1)
                     if most is None or len(odds) <= most:
                         continue
                     over = True
-                    led = zip(odds, names, strict=True)
+                    for n, o in zip(names, odds, strict=True):
+                        put(DENSE, n, o, bucket)
+                    if not opened:
+                        open_all()
+                        opened = True
                 else:
-                    led = [(odd, name)]
-                for o, n in led:
-                    a.append(None)
-                    b.append(n)
-                    of.append(key)
-                    odd_of.append(o - (1 << 64) if o >> 63 else o)
-            yield pa.record_batch([pa.array(x, pa.int64()) for x in (a, b, of, odd_of)], ["a", "b", "bucket", "odd"])
+                    put(DENSE, name, odd, bucket)
+                    put(OPEN, name, odd, bucket)
+            yield taken()
+        close()
+        yield taken()
 
     return run
 
 
 def _deal_pass(batches):
-    """(bucket, odd, content) to one row for each part of the parities, in a bucket of its own."""
+    """(bucket, odd, ...) to one row for each part of the parities, in a bucket of its own."""
     for batch in batches:
         bucket, odd = (batch.column(i).to_numpy().view(np.uint64) for i in range(2))
         for i, (low, high) in enumerate(zip(PARTS[:-1], PARTS[1:], strict=True)):
             part = (odd >> low) & np.uint64((1 << int(high - low)) - 1)
             key = mix(bucket ^ mix(part + np.uint64((i + 1) << 32)))
-            yield pa.record_batch([pa.array(key.view(np.int64)), batch.column(1), batch.column(2)], ["bucket", "odd", "content"])
+            yield pa.record_batch([pa.array(key.view(np.int64)), *batch.columns[1:]], batch.schema.names)
+
 
+_MET = "kind byte, a long, b long, bucket long, odd long"
 
-def _colliding(bands: DataFrame) -> DataFrame:
-    """(a, b): paragraphs of a bucket with a leader that is NEAR."""
-    order = ["bucket", "content"]
-    ddl = "a long, b long, bucket long, odd long"
-    first = staged(bands.repartition("bucket").sortWithinPartitions(*order).mapInArrow(_pair_pass(LEADERS), ddl), "met")
-    dense = first.filter("a is null").select("bucket", "odd", F.col("b").alias("content")).mapInArrow(_deal_pass, "bucket long, odd long, content long")
-    second = dense.repartition("bucket").sortWithinPartitions(*order).mapInArrow(_pair_pass(None), ddl)
-    both = first.filter("a is not null").select("a", "b").union(second.select("a", "b"))
+
+def _met(bands: DataFrame) -> DataFrame:
+    """The rows of all buckets as ``_pair_pass`` gives them."""
+    return staged(bands.repartition("bucket").sortWithinPartitions("bucket", "content").mapInArrow(_pair_pass(LEADERS), _MET), "met")
+
+
+def _colliding(bands: DataFrame, first: DataFrame | None = None) -> DataFrame:
+    """(a, b): paragraphs of a bucket with a leader that is NEAR. ``first``: the buckets' rows, if they are there."""
+    first = _met(bands) if first is None else first
+    dense = first.filter(f"kind = {DENSE}").select("bucket", "odd", F.col("b").alias("content")).mapInArrow(_deal_pass, "bucket long, odd long, content long")
+    second = dense.repartition("bucket").sortWithinPartitions("bucket", "content").mapInArrow(_pair_pass(None), _MET)
+    # open rows of dealt buckets are those of the dense one
+    both = first.filter(f"kind = {PAIR}").select("a", "b").union(second.filter(f"kind = {PAIR}").select("a", "b"))
     return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -301,18 +385,97 @@ def _verify(batches):
         yield batch.select(["a", "b"]).filter(pa.array(similar_rows(a, b)))
 
 
-def _links(docs: DataFrame) -> DataFrame:
-    """(a, b): verified pairs of different contents."""
-    bands = docs.mapInArrow(_band_pass, "bucket long, odd long, content long")
-    pairs = staged(_colliding(bands), "pairs")
-    cells = pairs.select(F.explode(F.array("a", "b")).alias("c")).select(F.shiftrightunsigned("c", 64 - FILTER_BITS).alias("cell")).distinct()
-    wanted = np.zeros(1 << FILTER_BITS, bool)
-    wanted[cells.toArrow()["cell"].to_numpy()] = True  # at most 2**FILTER_BITS cells
-    words = docs.mapInArrow(_content_pass(docs.sparkSession.sparkContext.broadcast(wanted)), "content long, words binary")
-    words = staged(words.join(pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct(), "content", "semi").dropDuplicates(["content"]), "contents")
-    both = pairs.join(words.select(F.col("content").alias("a"), F.col("words").alias("a_words")), "a")
-    both = both.join(words.select(F.col("content").alias("b"), F.col("words").alias("b_words")), "b").select("a", "b", "a_words", "b_words")
-    return staged(both.mapInArrow(_verify, "a long, b long"), "links", lasting=True)
+class _Bucket:
+    """Open rows of one bucket, of which similar ones are brought into one component."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def links(self) -> list[tuple[int, int]]:
+        """Links (root, root) between components: every NEAR pair is in one of them, or is compared."""
+        root, odd, words = (np.concatenate(p) for p in zip(*self.parts, strict=True))
+        given, root = root, root.copy()
+        out = []
+        if root.min() == root.max():
+            return out
+        for i in range(1, len(root)):
+            near = np.flatnonzero((np.bitwise_count(odd[:i] ^ odd[i]) <= NEAR) & (root[:i] != root[i]))
+            while len(near):
+                some, near = near[:COMPARED], near[COMPARED:]
+                for j in some[similar_rows(words[some], np.broadcast_to(words[i], (len(some), WIDTH)))].tolist():
+                    if root[j] != root[i]:
+                        out.append((int(given[i]), int(given[j])))
+                        root[root == root[j]] = root[i]
+                near = near[root[near] != root[i]]
+        return out
+
+
+def _cross_pass(batches):
+    """(bucket, odd, content, root, words), sorted by bucket, to links (a, b) of roots."""
+    bucket, held = None, _Bucket()
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        found = []
+        keys, odd, root = (batch.column(i).to_numpy() for i in (0, 1, 3))
+        words = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, WIDTH)
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            if keys[low] != bucket:
+                if held.parts:
+                    found += held.links()
+                bucket, held = keys[low], _Bucket()
+            held.parts.append((root[low:high], odd[low:high].view(np.uint64), words[low:high]))
+        yield _link_rows(found)
+    if held.parts:
+        yield _link_rows(held.links())
+
+
+def _link_rows(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
+def _cross_links(met: DataFrame, roots: DataFrame, words: DataFrame) -> DataFrame:
+    """(a, b): roots of paragraphs that are NEAR in a bucket, similar, and not yet in one component.
+
+    A paragraph met the first near leader alone. What is left are buckets whose
+    rows are of several components: there all NEAR ones of different components
+    are compared. Buckets of more than LEADERS rows are dealt out as before.
+    """
+    rows = met.filter(f"kind = {OPEN}").select("bucket", "odd", F.col("b").alias("content"))
+    rows = rows.join(roots, F.col("content") == F.col("node"), "left").select("bucket", "odd", "content", F.coalesce("root", "content").alias("root"))
+    rows = staged(rows, "open")
+    several = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("n")).filter("low < high")
+    rows = staged(rows.join(several.select("bucket", "n"), "bucket"), "several")
+    columns = ["bucket", "odd", "content", "root"]
+    dealt = rows.filter(F.col("n") > LEADERS).select(*columns).mapInArrow(_deal_pass, "bucket long, odd long, content long, root long")
+    both = rows.filter(F.col("n") <= LEADERS).select(*columns).union(dealt)
+    both = both.join(words, "content").select(*columns, "words")
+    return both.repartition("bucket").sortWithinPartitions("bucket", "content").mapInArrow(_cross_pass, "a long, b long")
+
+
+def _roots(docs: DataFrame) -> DataFrame:
+    """(node, root): the components of similar contents, for contents that have a similar one."""
+    with passing(docs.sparkSession):
+        met = _met(docs.mapInArrow(_band_pass, "bucket long, odd long, content long"))
+        pairs = staged(_colliding(None, met), "pairs")
+        needed = pairs.select(F.explode(F.array("a", "b")).alias("content")).union(met.filter(f"kind = {OPEN}").select("b")).distinct()
+        needed = staged(needed, "needed")
+        cells = needed.select(F.shiftrightunsigned("content", 64 - FILTER_BITS).alias("cell")).distinct()
+        wanted = np.zeros(1 << FILTER_BITS, bool)
+        wanted[cells.toArrow()["cell"].to_numpy()] = True  # at most 2**FILTER_BITS cells
+        words = docs.mapInArrow(_content_pass(docs.sparkSession.sparkContext.broadcast(wanted)), "content long, words binary")
+        words = staged(words.join(needed, "content", "semi").dropDuplicates(["content"]), "contents")
+        both = pairs.join(words.select(F.col("content").alias("a"), F.col("words").alias("a_words")), "a")
+        both = both.join(words.select(F.col("content").alias("b"), F.col("words").alias("b_words")), "b").select("a", "b", "a_words", "b_words")
+        links = staged(both.mapInArrow(_verify, "a long, b long"), "links")
+        roots = staged(components(links, "a", "b"), "roots", lasting=True)
+        more = staged(_cross_links(met, roots, words), "more")
+        if more.isEmpty():
+            return roots
+        again = components(more, "a", "b").select(F.col("node").alias("of"), F.col("root").alias("to"))
+        both = roots.join(again, F.col("root") == F.col("of"), "full")
+        return staged(both.select(F.coalesce("node", "of").alias("node"), F.coalesce("to", "root").alias("root")), "roots", lasting=True)
 
 
 def common_words(mine: bytes, kept: bytes) -> int:
@@ -364,9 +527,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
         F.monotonically_increasing_id().alias("serial"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
     units = staged(docs.mapInArrow(_unit_pass, _UNITS), "units")
-    with passing(docs.sparkSession):
-        links = _links(docs)
-    roots = components(links, "a", "b")
+    roots = _roots(docs)
     contents = units.groupBy("content").agg(
         F.min("serial").alias("low"), F.max("serial").alias("high"), F.min("doc_id").alias("id"), F.min_by("serial", "doc_id").alias("id_serial")
     )
