@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from wellspring.llm import substring_dedup
@@ -73,3 +74,43 @@ def test_followers_of_a_leader_unlike_them_meet_each_other(spark, leaders, monke
     meet = [i for i in range(60) if buckets[content[3 * i + 1]] & buckets[content[3 * i + 2]]]
     assert len(meet) > 50
     assert found == {(3 * i + j, 3 * i + 1) for i in meet for j in (1, 2)}
+
+
+def _open_rows(buckets: int, size: int):
+    """Rows of one parity each: unlike but for every fourth, which repeats the one before it with one word changed."""
+    rng = np.random.default_rng(3)
+    low = np.arange(substring_dedup.WIDTH, dtype=np.uint64)
+    words = (rng.integers(0, 2**57, (buckets * size, substring_dedup.WIDTH), dtype=np.uint64) << np.uint64(6)) + low
+    words[3::4] = words[2::4]
+    words[3::4, 11] += np.uint64(1 << 40)
+    bucket, root = np.repeat(np.arange(buckets), size), np.arange(buckets * size) + 100
+    columns = [bucket, np.full(len(root), 2**24 - 1), root, root, [w.tobytes() for w in words]]
+    return words, pa.table(dict(zip(["bucket", "odd", "content", "root", "words"], columns, strict=True)))
+
+
+@pytest.mark.parametrize("buckets, size, rows", [(500, 8, 1_000), (3, 400, 77), (1, 1_200, 100)])
+def test_unlike_open_rows_are_excluded_without_a_look_at_their_words(monkeypatch, buckets, size, rows):
+    words, table = _open_rows(buckets, size)
+    calls, real = [], substring_dedup.similar_rows
+    monkeypatch.setattr(substring_dedup, "similar_rows", lambda a, b: calls.append(len(a)) or real(a, b))
+    out = list(substring_dedup._cross_pass(iter(table.to_batches(max_chunksize=rows))))
+    got = {frozenset(x) for b in out for x in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+    assert got == {frozenset((i + 99, i + 100)) for i in range(3, len(words), 4)}
+    assert sum(calls) < len(words) and len(calls) < 20
+
+
+def test_signs_exclude_no_similar_pair():
+    rng = np.random.default_rng(4)
+    some = rng.integers(0, 2**63, 3, dtype=np.uint64)
+    a = some[rng.integers(0, 3, (4_000, substring_dedup.WIDTH))]
+    a[::2] = rng.integers(0, 2**63, a[::2].shape, dtype=np.uint64)
+    b = a.copy()
+    for i in range(len(b)):
+        b[i] = np.roll(b[i], -rng.integers(0, 4))
+        b[i, rng.integers(0, substring_dedup.WIDTH, rng.integers(0, 4))] = some[0]
+    similar = substring_dedup.similar_rows(a, b)
+    slow = [bool(substring_dedup.edit_distance(x, y) <= substring_dedup.EDITS) for x, y in zip(a, b, strict=True)]
+    assert 0.1 < similar.mean() < 0.9 and (similar >= slow).all()
+    signs, i = substring_dedup._Signs(np.concatenate([a, b])), np.arange(len(a))
+    assert (signs.allow(i, i + len(a)) | ~similar).all()
+    assert not signs.allow(i[::2][:-1], i[::2][1:]).any()

@@ -39,7 +39,10 @@ NEAR = 2 * EDITS  # word parities in which similar paragraphs may differ
 PARTS = np.array([0, 13, 26, 39, 52, 64], np.uint64)  # of the parities: one more than NEAR
 LEADERS = 2_000
 FEW = 24  # leaders that are looked at one by one
-COMPARED = 4_096  # paragraphs that are compared with one at a time
+PART = WIDTH // (EDITS + 1)
+COMPARED = 4_096  # pairs that are compared at a time
+BLOCK_PAIRS = 1 << 19  # pairs of a bucket that are looked at at a time
+HELD_ROWS = 20_000  # of whole buckets are looked at together
 REACH = GUARANTEE - 1  # words on each side of a paragraph in which a repeat may end
 FILTER_BITS = 24  # of a filter that spares a shuffle of all paragraphs; misses nothing
 _RNG = np.random.default_rng(8)
@@ -363,6 +366,15 @@ def _shingle_rows(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, np.concatenate([np.ones((n, 1), bool), rows[:, 1:] != rows[:, :-1]], axis=1)
 
 
+def _may_align(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """At most EDITS words of ``a`` have no equal one in ``b`` within EDITS places, as of every row that EDITS edits make."""
+    met = a == b
+    for d in range(1, EDITS + 1):
+        met[:, d:] |= a[:, d:] == b[:, :-d]
+        met[:, :-d] |= a[:, :-d] == b[:, d:]
+    return met.shape[1] - met.sum(axis=1) <= EDITS
+
+
 def similar_rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """100 * |intersection| >= PERCENT * |union| of 5-word shingles, or at most EDITS words inserted, dropped or changed."""
     if not len(a):
@@ -371,64 +383,141 @@ def similar_rows(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     both = ((x[:, :, None] == y[:, None, :]).any(axis=2) & x_new).sum(axis=1)
     good = both * 100 >= PERCENT * (x_new.sum(axis=1) + y_new.sum(axis=1) - both)
     rest = np.flatnonzero(~good)
+    rest = rest[_may_align(a[rest], b[rest])]
     good[rest] = edit_distances(a[rest], b[rest]) <= EDITS
     return good
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    return bool(similar_rows(a[None], b[None])[0])
-
-
-def _verify(batches):
-    for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(-1, WIDTH) for i in (2, 3))
-        yield batch.select(["a", "b"]).filter(pa.array(similar_rows(a, b)))
-
-
-class _Bucket:
-    """Open rows of one bucket, of which similar ones are brought into one component."""
-
-    def __init__(self):
-        self.parts: list[tuple[np.ndarray, ...]] = []
+class _Signs:
+    """What follows from the words of each paragraph, to exclude pairs that are not similar without a look at the words."""
+
+    def __init__(self, words: np.ndarray):
+        n = len(words)
+        self.n = np.zeros(n, np.int64)  # distinct shingles
+        self.held = np.zeros((n, 4), np.uint64)  # 256 cells that hold a shingle or not
+        self.words = np.zeros((n, 32), np.int8)  # words in each of 32 cells
+        self.parts = np.zeros((n, WIDTH - PART + 1), np.uint64)  # of PART words, from every place
+        for first in range(0, n, HELD_ROWS):
+            at = slice(first, first + HELD_ROWS)
+            some = words[at]
+            shingles, new = _shingle_rows(some)
+            self.n[at] = new.sum(axis=1)
+            bit, quarter = np.uint64(1) << (shingles & np.uint64(63)), shingles >> np.uint64(6) & np.uint64(3)
+            for i in range(4):
+                self.held[at, i] = np.bitwise_or.reduce(np.where(quarter == i, bit, np.uint64(0)), axis=1)
+            cell = (some >> np.uint64(8) & np.uint64(31)).astype(np.int64) + 32 * np.arange(len(some))[:, None]
+            self.words[at] = np.bincount(cell.ravel(), minlength=32 * len(some)).reshape(-1, 32)
+            parts = np.concatenate([runs(some.reshape(-1), PART), np.zeros(PART - 1, np.uint64)])
+            self.parts[at] = parts.reshape(some.shape)[:, : WIDTH - PART + 1]
+
+    def allow(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Of each pair of rows: few enough shingles of one only for the similarity, or what EDITS edits leave.
+
+        A cell that one of two sets holds alone stands for a shingle of that set alone. At
+        PERCENT, those in one set only are at most (100 - PERCENT) / (100 + PERCENT) of both sizes.
+        EDITS edits take or add 2 * EDITS words at most, and of EDITS + 1 parts they leave
+        one whole, which the other row holds within EDITS places.
+        """
+        apart = np.bitwise_count(self.held[i] ^ self.held[j]).sum(axis=1, dtype=np.int64)
+        good = apart * (100 + PERCENT) <= (100 - PERCENT) * (self.n[i] + self.n[j])
+        rest = np.flatnonzero(~good)
+        rest = rest[np.abs(self.words[i[rest]] - self.words[j[rest]]).sum(axis=1) <= 2 * EDITS]
+        a, b = self.parts[i[rest]], self.parts[j[rest]]
+        for place in range(0, PART * (EDITS + 1), PART):
+            beside = b[:, max(0, place - EDITS) : place + EDITS + 1]
+            good[rest] |= (a[:, place, None] == beside).any(axis=1)
+        return good
+
+
+class _Buckets:
+    """Open rows of some whole buckets, sorted by bucket, of which similar ones are brought into one component."""
+
+    def __init__(self, bucket: np.ndarray, odd: np.ndarray, root: np.ndarray, words: np.ndarray):
+        self.odd, self.words = odd, words
+        self.names, self.root = np.unique(root, return_inverse=True)
+        self.to = np.arange(len(self.names))  # of every component the one it has come into
+        self.ends = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
+        self.signs = _Signs(words)
+        self.found: list[tuple[int, int]] = []
 
     def links(self) -> list[tuple[int, int]]:
-        """Links (root, root) between components: every NEAR pair is in one of them, or is compared."""
-        root, odd, words = (np.concatenate(p) for p in zip(*self.parts, strict=True))
-        given, root = root, root.copy()
-        out = []
-        if root.min() == root.max():
-            return out
-        for i in range(1, len(root)):
-            near = np.flatnonzero((np.bitwise_count(odd[:i] ^ odd[i]) <= NEAR) & (root[:i] != root[i]))
-            while len(near):
-                some, near = near[:COMPARED], near[COMPARED:]
-                for j in some[similar_rows(words[some], np.broadcast_to(words[i], (len(some), WIDTH)))].tolist():
-                    if root[j] != root[i]:
-                        out.append((int(given[i]), int(given[j])))
-                        root[root == root[j]] = root[i]
-                near = near[root[near] != root[i]]
-        return out
+        """Links (root, root) between components: every NEAR pair is in one of them, or is not similar."""
+        waiting, pairs = [], 0
+        for low, high in zip(self.ends[:-1].tolist(), self.ends[1:].tolist(), strict=True):
+            rows = max(1, BLOCK_PAIRS // (high - low))
+            for first in range(low, high, rows):
+                last = min(first + rows, high)
+                now = self.to[self.root[low:last]]
+                near = np.bitwise_count(self.odd[first:last, None] ^ self.odd[None, low:last]) <= NEAR
+                near &= now[first - low :, None] != now[None, :]
+                i, j = np.nonzero(near)
+                i, j = i + first, j + low
+                before = j < i
+                i, j = i[before], j[before]
+                allowed = self.signs.allow(i, j)
+                i, j = i[allowed], j[allowed]
+                if len(i):
+                    waiting.append((i, j))
+                    pairs += len(i)
+                if pairs >= COMPARED:
+                    self._compare(*[np.concatenate(x) for x in zip(*waiting, strict=True)])
+                    waiting, pairs = [], 0
+        if waiting:
+            self._compare(*[np.concatenate(x) for x in zip(*waiting, strict=True)])
+        return self.found
+
+    def _compare(self, i: np.ndarray, j: np.ndarray) -> None:
+        """Links the components of the similar ones among pairs: first one pair for two components, then what is still apart."""
+        low, high = (f(self.root[i], self.root[j]) for f in (np.minimum, np.maximum))
+        _, one = np.unique(self.to[low] * len(self.to) + self.to[high], return_index=True)
+        rest = np.ones(len(i), bool)
+        rest[one] = False
+        for of in (one, np.flatnonzero(rest)):
+            for first in range(0, len(of), COMPARED):
+                some = of[first : first + COMPARED]
+                some = some[self.to[self.root[i[some]]] != self.to[self.root[j[some]]]]
+                hit = some[similar_rows(self.words[i[some]], self.words[j[some]])]
+                for a, b in zip(self.root[i[hit]].tolist(), self.root[j[hit]].tolist(), strict=True):
+                    x, y = self._end(a), self._end(b)
+                    if x != y:
+                        self.found.append((int(self.names[a]), int(self.names[b])))
+                        self.to[max(x, y)] = min(x, y)
+                if len(hit):
+                    while (self.to[self.to] != self.to).any():
+                        self.to = self.to[self.to]
+
+    def _end(self, a: int) -> int:
+        while self.to[a] != a:
+            a = int(self.to[a])
+        return a
 
 
 def _cross_pass(batches):
-    """(bucket, odd, content, root, words), sorted by bucket, to links (a, b) of roots."""
-    bucket, held = None, _Bucket()
+    """(bucket, odd, content, root, words), sorted by bucket, to links (a, b) of roots; some whole buckets at a time."""
+    held, rows = [], 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        found = []
         keys, odd, root = (batch.column(i).to_numpy() for i in (0, 1, 3))
         words = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(-1, WIDTH)
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-            if keys[low] != bucket:
-                if held.parts:
-                    found += held.links()
-                bucket, held = keys[low], _Bucket()
-            held.parts.append((root[low:high], odd[low:high].view(np.uint64), words[low:high]))
-        yield _link_rows(found)
-    if held.parts:
-        yield _link_rows(held.links())
+        columns = [keys, odd.view(np.uint64), root, words]
+        # up to where the last bucket begins all are whole
+        cut = int(np.flatnonzero(keys != keys[-1])[-1]) + 1 if keys[0] != keys[-1] else 0
+        if not cut and held and held[-1][0][-1] != keys[0]:
+            if rows >= HELD_ROWS:
+                yield _link_rows(_links_of(held))
+                held, rows = [], 0
+        elif cut and rows + cut >= HELD_ROWS:
+            yield _link_rows(_links_of([*held, [c[:cut] for c in columns]]))
+            held, rows, columns = [], 0, [c[cut:] for c in columns]
+        held.append(columns)
+        rows += len(columns[0])
+    if held:
+        yield _link_rows(_links_of(held))
+
+
+def _links_of(parts: list[list[np.ndarray]]) -> list[tuple[int, int]]:
+    return _Buckets(*[np.concatenate(c) for c in zip(*parts, strict=True)]).links()
 
 
 def _link_rows(found: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -451,7 +540,8 @@ def _cross_links(met: DataFrame, roots: DataFrame, words: DataFrame) -> DataFram
     dealt = rows.filter(F.col("n") > LEADERS).select(*columns).mapInArrow(_deal_pass, "bucket long, odd long, content long, root long")
     both = rows.filter(F.col("n") <= LEADERS).select(*columns).union(dealt)
     both = both.join(words, "content").select(*columns, "words")
-    return both.repartition("bucket").sortWithinPartitions("bucket", "content").mapInArrow(_cross_pass, "a long, b long")
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # as given: work is by pairs, so small parts are not to be merged by size
+    return both.repartition(parts, "bucket").sortWithinPartitions("bucket", "content").mapInArrow(_cross_pass, "a long, b long")
 
 
 def _roots(docs: DataFrame) -> DataFrame:
