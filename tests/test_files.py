@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from wellspring.operators.vault import build_link, build_measurement_satellite
 from wellspring.registry import damage
 from wellspring.schemas import MASTER_WELLS
 from wellspring.sources import files, repair, sinks, traces
@@ -349,3 +350,26 @@ def test_a_batch_run_again_adds_nothing(spark, tmp_path):
     before = [spark.read.parquet(p).count() for p in paths]
     load_batch(batch, *paths, "2025-01-02 00:00:00")
     assert [spark.read.parquet(p).count() for p in paths] == before
+
+
+def test_batches_are_moved_without_their_hashes(spark, tmp_path, monkeypatch):
+    batch = _readings(spark, 0, 50).withColumn("record_source", F.lit("f"))
+    paths, moved, real = [str(tmp_path / "l"), str(tmp_path / "s")], [], sinks.gathered
+    monkeypatch.setattr(sinks, "gathered", lambda df, *by: moved.append(set(df.columns)) or real(df, *by))
+    for day in (batch, batch.union(batch.limit(1)), batch.limit(1)):
+        load_batch(day, *paths, "2025-01-01 00:00:00")
+    assert len(moved) == 6 and not set().union(*moved) & {"hash_diff", "well_hash_key", "survey_hash_key", "sensor_hash_key"}
+    link, rows = (spark.read.parquet(p) for p in paths)
+    assert rows.count() == 51 and rows.join(link, "link_hash_key", "left_anti").isEmpty()
+    plain = build_measurement_satellite(batch, None, "2025-01-01 00:00:00")
+    assert rows.select(*plain.columns).exceptAll(plain).count() == 1 and plain.exceptAll(rows.select(*plain.columns)).isEmpty()
+    links = build_link(batch, None, "2025-01-01 00:00:00")
+    assert sorted(links.collect()) == sorted(link.select(*links.columns).collect())
+
+
+def test_a_stored_row_with_another_hash_is_no_equal(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(1, "p")], "a long, part string")
+    for name in ("one", "two", "two"):
+        sinks.append_counted(rows, path, "part", derive=lambda df, name=name: {"hash": F.lit(name)}, columns=["a", "hash", "part"])
+    assert sorted(r.hash for r in spark.read.parquet(path).collect()) == ["one", "two"]
