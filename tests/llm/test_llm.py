@@ -88,6 +88,17 @@ def test_jaccard_join_against_brute_force(corpus):
     assert sorted(map(tuple, near_duplicates(df).collect()), key=key) == sorted(want, key=key)
 
 
+def test_lists_settled_by_their_pivot_are_not_opened(spark):
+    # two texts a group, too far apart to be linked, with common n-grams among the first of each
+    texts = [" ".join([*[f"g{g}w{i}" for i in range(104)], *[f"g{g}t{t}w{i}" for i in range(16)]]) for g in range(12) for t in range(2)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    join = jaccard_join.JaccardJoin(df)
+    index = join.index()
+    assert index.count() > 0
+    known = spark.createDataFrame([], "p long, x long, overlap long")
+    assert join.open_entries(index, known, spark.createDataFrame([], "node long, root long")).isEmpty()
+
+
 def test_parts_of_salted_lists_keep_their_links(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LIST_ENTRIES", 2)
     rng = random.Random(8)

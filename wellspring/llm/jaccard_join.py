@@ -24,6 +24,8 @@ it decides speed alone, never the result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,7 @@ LIST_ENTRIES = 20_000  # a longer list is salted into parts of about this size,
 TURNS = 1  # rounds of comparing with one other member a list, before all that is left is compared
 FILTER_BITS = 24  # of a filter that spares a shuffle of all texts: a fixed 2 MB; misses nothing
 OUT_ROWS = 100_000
+UNPACKED = 64  # texts of a batch that are unpacked at once
 CELLS = [f"cell{i}" for i in range(8)]  # 64 parities each
 
 
@@ -61,13 +64,17 @@ def _parities(s: np.ndarray) -> np.ndarray:
 _SIGNED = ["id", "n", "item", "check", "block", "place", "hits", *CELLS]
 
 
-def _blocks(hits: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(block, places, counts) of the counters above 0."""
-    used = np.flatnonzero(hits)
-    ends = np.searchsorted(used, np.arange((len(hits) >> BLOCK_BITS) + 1) << BLOCK_BITS)
-    for block in np.flatnonzero(np.diff(ends)):
-        of_block = used[ends[block] : ends[block + 1]]
-        yield int(block), (of_block & (1 << BLOCK_BITS) - 1).astype(np.uint16), hits[of_block]
+def _blocks(hits: np.ndarray) -> Iterator[tuple[int, bytes, bytes]]:
+    """(block, bits of the counters above 0, their counts) of the blocks that have any; low bytes of the counts come first, mostly zero ones last."""
+    for block, counts in enumerate(hits.reshape(-1, 1 << BLOCK_BITS)):
+        if (used := counts > 0).any():
+            yield block, np.packbits(used).tobytes(), counts[used].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _block_counts(place: bytes, hits: bytes) -> np.ndarray:
+    counts = np.zeros(1 << BLOCK_BITS, np.int64)
+    counts[np.unpackbits(np.frombuffer(place, np.uint8)).astype(bool)] = np.frombuffer(hits, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0]
+    return counts
 
 
 def _sum_pass(batches):
@@ -77,7 +84,7 @@ def _sum_pass(batches):
         for block, place, hits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if block not in sums:
                 sums[block] = np.zeros(1 << BLOCK_BITS, np.int64)
-            sums[block][np.frombuffer(place, np.uint16)] += np.frombuffer(hits, np.uint32)
+            sums[block] += _block_counts(place, hits)
     counts = [np.minimum(s, 2**32 - 1).astype(np.uint32).tobytes() for s in sums.values()]
     yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array(counts, pa.binary())], ["block", "hits"])
 
@@ -117,8 +124,8 @@ def _signature_pass(k: int):
             [
                 *[pa.nulls(m, pa.int64())] * 4,
                 pa.array([block for block, _, _ in blocks], pa.int32()),
-                pa.array([place.tobytes() for _, place, _ in blocks], pa.binary()),
-                pa.array([counts.tobytes() for _, _, counts in blocks], pa.binary()),
+                pa.array([place for _, place, _ in blocks], pa.binary()),
+                pa.array([counts for _, _, counts in blocks], pa.binary()),
                 *[pa.nulls(m, pa.int64()) for _ in CELLS],
             ],
             _SIGNED,
@@ -128,7 +135,11 @@ def _signature_pass(k: int):
 
 
 def _prefix_pass(k: int, percent: int, counters):
-    """(token, salt, salts, item, n, place, weight) for the first n - ceil(n * percent / 100) + 1 n-grams of every set."""
+    """(token, salt, item, spot, rank) for the first n - ceil(n * percent / 100) + 1 n-grams of every set.
+
+    ``spot`` is the set's size and the n-gram's place, 32 bits each; ``rank`` how
+    common the set's n-grams are, its last bit whether the list has salted parts.
+    """
 
     def run(batches):
         hits = counters.value
@@ -139,7 +150,7 @@ def _prefix_pass(k: int, percent: int, counters):
 
         def out():
             columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-            return pa.record_batch([pa.array(c) for c in columns], ["token", "salt", "salts", "item", "n", "place", "weight"])
+            return pa.record_batch([pa.array(c) for c in columns], ["token", "salt", "item", "spot", "rank"])
 
         for batch in batches:
             for _, s in _sets(batch.column(1), k):
@@ -152,18 +163,15 @@ def _prefix_pass(k: int, percent: int, counters):
                 count = hits[_counter(s)].astype(np.int64)
                 order = np.argsort(count, kind="stable")[: len(s) - (percent * len(s) + 99) // 100 + 1]
                 token, count_of = s[order].view(np.int64), count[order]
-                weight = (min(int(count.mean()), 1 << 37) << 25) | (item & 0x1FFFFFF)
                 salts = 1 + np.maximum(count_of - usual, 0) // LIST_ENTRIES
                 m = len(order)
                 parts.append(
                     (
                         token,
                         (abs(item) % salts).astype(np.int32),
-                        salts.astype(np.int32),
                         np.full(m, item, np.int64),
-                        np.full(m, len(s), np.int32),
-                        np.arange(m, dtype=np.int32),
-                        np.full(m, weight, np.int64),
+                        len(s) << 32 | np.arange(m, dtype=np.int64),
+                        int(count.mean()) << 1 | (salts > 1).astype(np.int64),
                     )
                 )
                 rows += m
@@ -176,27 +184,38 @@ def _prefix_pass(k: int, percent: int, counters):
     return run
 
 
+def _packed(texts: pa.Array) -> pa.Array:
+    """Every text compressed by itself, behind its length in bytes."""
+    raw = texts.cast(pa.large_binary()).to_pylist()
+    return pa.array([len(t).to_bytes(8, "little") + pa.compress(t, "zstd", asbytes=True) for t in raw], pa.binary())
+
+
+def _unpacked(packed: pa.Array) -> pa.Array:
+    raw = [pa.decompress(t[8:], int.from_bytes(t[:8], "little"), "zstd", asbytes=True) for t in packed.to_pylist()]
+    return pa.array(raw, pa.large_binary()).cast(pa.large_string())
+
+
 def _overlap_pass(k: int):
     """Adds the exact overlap of two texts' sets; neighbouring rows often share the first text."""
 
     def run(batches):
-        for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            found = np.zeros(batch.num_rows, np.int64)
-            last, last_set = None, None
-            for i, s in _sets(right, k):
-                if (p := batch.column(0)[i].as_py()) != last:
-                    (_, last_set), last = next(iter(_sets(left.slice(i, 1), k))), p
-                found[i] = len(np.intersect1d(last_set, s, assume_unique=True))
-            yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(found)], ["p", "x", "overlap"]
-            )
+        last, last_set = None, None
+        for whole in batches:
+            for start in range(0, whole.num_rows, UNPACKED):
+                batch = whole.slice(start, UNPACKED)
+                left, right = batch.column(2), _unpacked(batch.column(3))
+                found = np.zeros(batch.num_rows, np.int64)
+                for i, s in _sets(right, k):
+                    if (p := batch.column(0)[i].as_py()) != last:
+                        (_, last_set), last = next(iter(_sets(_unpacked(left.slice(i, 1)), k))), p
+                    found[i] = len(np.intersect1d(last_set, s, assume_unique=True))
+                yield pa.record_batch([batch.column(0), batch.column(1), pa.array(found)], ["p", "x", "overlap"])
 
     return run
 
 
 def _wanted_pass(k: int, bits):
-    """(item, text) of the texts whose item the filter may hold, once a task."""
+    """(item, packed text) of the texts whose item the filter may hold, once a task."""
 
     def run(batches):
         wanted = bits.value
@@ -213,7 +232,7 @@ def _wanted_pass(k: int, bits):
                     rows.append(i)
                     items.append(item)
             if rows:
-                yield pa.record_batch([pa.array(items, pa.int64()), batch.column(1).take(pa.array(rows))], ["item", "text"])
+                yield pa.record_batch([pa.array(items, pa.int64()), _packed(batch.column(1).take(pa.array(rows)))], ["item", "text"])
 
     return run
 
@@ -245,7 +264,7 @@ class JaccardJoin:
         hits = hits.reshape(-1)
         self.counters = self.spark.sparkContext.broadcast(hits)
 
-    def _near(self, a: str, b: str) -> F.Column:
+    def _near(self, a: str, b: str | F.Column) -> F.Column:
         """The sizes allow the similarity."""
         return F.least(a, b) * 100 >= F.greatest(a, b) * self.percent
 
@@ -264,28 +283,48 @@ class JaccardJoin:
         return (both - apart) * (100 + self.percent) >= both * (2 * self.percent)
 
     def index(self) -> DataFrame:
-        """Entries with their list's pivot: lists of two or more items, and of a salted list every part, also one with one item."""
-        entries = self.docs.mapInArrow(
-            _prefix_pass(self.k, self.percent, self.counters),
-            "token long, salt int, salts int, item long, n int, place int, weight long",
-        )
-        by = Window.partitionBy("token", "salt").orderBy(F.desc("weight"), "item")
+        """Entries with their list's pivot: lists of two or more items, and of a salted list every part, also one with one item.
+
+        ``open`` marks what comparing with the pivots may leave to compare: in a
+        list of one part, members other than the pivot that have one of a near
+        size beside them, and their pivot; of a salted list all.
+        """
+        entries = self.docs.mapInArrow(_prefix_pass(self.k, self.percent, self.counters), "token long, salt int, item long, spot long, rank long")
+        of_part = Window.partitionBy("token", "salt")
+        by = of_part.orderBy(F.desc("rank"), "item")
         to_here = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         entries = entries.select(
             "token",
             "salt",
-            "salts",
             "item",
-            "n",
-            "place",
-            "weight",
+            "spot",
+            "rank",
             F.first("item").over(to_here).alias("p"),
-            F.first("n").over(to_here).alias("p_n"),
-            F.first("place").over(to_here).alias("p_place"),
+            F.first("spot").over(to_here).alias("p_spot"),
             F.lead("item").over(by).alias("next"),
         )
-        # a part with one item has its last row left, since the other parts may hold items like it
-        return staged(entries.filter("item != p or item != next or (salts > 1 and next is null)").drop("next", "salts"), "index")
+        salted = F.col("rank").bitwiseAND(1) == 1
+        # copies in several tasks leave one entry; a part with one item keeps it, since the other parts may hold items like it
+        entries = entries.filter("next is null or item != next").filter(F.expr("item != p or next is not null") | salted)
+        size, place = (lambda c: F.shiftright(c, 32).cast("int")), (lambda c: F.col(c).bitwiseAND((1 << 32) - 1).cast("int"))
+        entries = entries.select(
+            "token",
+            "salt",
+            "item",
+            size("spot").alias("n"),
+            place("spot").alias("place"),
+            F.shiftright("rank", 1).alias("weight"),
+            "p",
+            size("p_spot").alias("p_n"),
+            place("p_spot").alias("p_place"),
+            salted.alias("salted"),
+        )
+        member = F.col("item") != F.col("p")
+        by_size = of_part.orderBy(member.desc(), "n")
+        beside = [F.lag("n").over(by_size), F.lead(F.when(member, F.col("n"))).over(by_size)]
+        entries = entries.withColumn("near", member & reduce(or_, [n.isNotNull() & self._near("n", n) for n in beside]))
+        open_ = F.col("salted") | F.when(member, F.col("near")).otherwise(F.max("near").over(of_part))
+        return staged(entries.withColumn("open", open_).drop("near"), "index")
 
     def star_pairs(self, index: DataFrame) -> DataFrame:
         """(p, x): every member with its list's pivot, and the pivots of a salted list's parts with the first part's."""
@@ -309,7 +348,7 @@ class JaccardJoin:
         held = np.zeros(1 << FILTER_BITS, bool)
         held[cells["cell"].to_numpy()] = True  # at most 2**FILTER_BITS cells
         bits = self.spark.sparkContext.broadcast(np.packbits(held))
-        found = self.docs.mapInArrow(_wanted_pass(self.k, bits), "item long, text string")
+        found = self.docs.mapInArrow(_wanted_pass(self.k, bits), "item long, text binary")
         return found.join(wanted, "item").dropDuplicates(["item"])
 
     def overlaps(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -328,9 +367,10 @@ class JaccardJoin:
         )
 
     def open_entries(self, index: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
-        """Entries of lists that span two or more components, with their root and their overlap with the list's pivot."""
-        entries = index.join(roots, F.col("item") == F.col("node"), "left").withColumn("root", F.coalesce("root", "item")).drop("node")
-        lists = entries.groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b")
+        """Open entries of lists whose members span two or more components, with their root and their overlap with the list's pivot."""
+        entries = index.filter("open").join(roots, F.col("item") == F.col("node"), "left").withColumn("root", F.coalesce("root", "item")).drop("node")
+        # the pivot of a list's only part has been compared with every member
+        lists = entries.filter("salted or item != p").groupBy("token").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a != b")
         answers = known.select("p", F.col("x").alias("item"), "overlap")
         open_ = entries.join(lists, "token", "semi").join(answers, ["p", "item"], "left")
         open_ = open_.select("token", "item", "n", "place", "weight", "p", "p_n", "root", "overlap")
@@ -366,7 +406,7 @@ class JaccardJoin:
     def other_pivots(self, entries: DataFrame, turn: int) -> DataFrame:
         """One entry of every open list from outside its first pivot's component, each turn another one."""
         mine = entries.filter("item = p").select("token", F.col("root").alias("p_root")).distinct()
-        by = F.col("weight") if turn == 0 else F.xxhash64("token", "item", F.lit(turn))
+        by = F.struct("weight", "item") if turn == 0 else F.xxhash64("token", "item", F.lit(turn))
         chosen = entries.join(mine, "token").filter("root != p_root").groupBy("token").agg(F.max_by("item", by).alias("item"))
         return entries.join(chosen, ["token", "item"]).select(*entries.columns).dropDuplicates(["token"])
 
