@@ -16,7 +16,7 @@ from wellspring.llm.jaccard_join import JaccardJoin
 from wellspring.llm.pii import redact_personal_data
 from wellspring.llm.quality_rules import quality_rules
 from wellspring.llm.source_mix import mix_sources
-from wellspring.llm.store import passing, staged
+from wellspring.llm.store import may_be_among, passing, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -31,11 +31,16 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(*COLUMNS, F.xxhash64(*[F.struct(F.col(c).isNull(), c) for c in COLUMNS]).alias("key"))
 
 
-def _rows_of(keyed: DataFrame, kept: DataFrame) -> DataFrame:
-    """Rows whose key is in ``kept`` (key, copies, rows), in all as often as it says, however many equal rows there are."""
-    met = keyed.join(kept, "key")
+def _rows_of(keyed: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Rows in all as often as ``verdicts`` (every key, copies, rows) says for their key, however many equal rows there are.
+
+    Only rows whose key may have another verdict than one copy of one row are joined; the other texts are not moved.
+    """
+    other = may_be_among(verdicts.filter("copies != 1 or rows != 1"), "key")
+    met = keyed.filter(other).join(verdicts.filter("copies > 0"), "key")
     found = met.filter("rows = 1").union(met.filter("rows > 1").dropDuplicates(["key"]))
-    return found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
+    return keyed.filter(~other).select(*COLUMNS).union(found)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,8 +53,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _keyed(docs)
     with passing(spark):
         verdicts = quality_rules(rows.select(F.col("key").alias("doc_id"), "text", "lang"))
-        kept = staged(verdicts.filter("kept").select(F.col("doc_id").alias("key")).distinct(), "kept", lasting=True)
-    return rows.join(kept, "key", "semi").select(*COLUMNS)
+        verdicts = staged(verdicts.select(F.col("doc_id").alias("key"), F.coalesce("kept", F.lit(False)).alias("kept")).distinct(), "kept", lasting=True)
+    other = may_be_among(verdicts.filter("not kept"), "key")  # texts of all other rows are not moved
+    met = rows.filter(other).join(verdicts.filter("kept"), "key", "semi")
+    return rows.filter(~other).select(*COLUMNS).union(met.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,8 +76,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         linked = of_key.filter("n > 0").join(ids, "key").groupBy("group").agg(F.min(by_id).alias("kept"), F.min_by("rows", by_id).alias("rows"))
         linked = linked.select("kept.key", F.lit(1).cast("long").alias("copies"), "rows")
         kept = linked.union(of_key.filter("n = 0").select("key", F.col("rows").alias("copies"), "rows"))
-        kept = staged(kept, "kept", lasting=True)
-    return _rows_of(rows, kept)
+        dropped = of_key.select("key").distinct().join(kept, "key", "anti")
+        verdicts = kept.union(dropped.select("key", F.lit(0).cast("long"), F.lit(1).cast("long")))
+        verdicts = staged(verdicts, "kept", lasting=True)
+    return _rows_of(rows, verdicts)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -94,7 +103,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _keyed(docs)
     with passing(spark):
         taken = mix_sources(rows.select(F.col("key").alias("doc_id"), "text", "source")).groupBy(F.col("doc_id").alias("key"))
-        taken = taken.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).filter("copies > 0")
+        taken = taken.agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
         taken = staged(taken, "taken", lasting=True)
     return _rows_of(rows, taken)
 

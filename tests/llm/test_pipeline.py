@@ -6,9 +6,11 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wellspring.llm import pii, quality_rules
+from wellspring.llm.store import may_be_among
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -209,3 +211,15 @@ def test_run_gives_the_rows_of_its_stages(spark, stages):
 def test_an_empty_table_goes_through_all_stages(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rows_taken_once_are_not_joined(spark):
+    rows = [(i, f"text {i}", None if i % 3 else "en", "web", i) for i in range(1000)] + [(7, "text 7", None, "web", 7), (None, None, None, None, None)]
+    keyed = corpus_pipeline._keyed(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    of_key = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("id"))
+    copies = F.when(F.col("id") == 7, 2).when(F.col("id") == 8, 0).when(F.col("id") == 9, 3).otherwise(F.col("rows"))
+    verdicts = of_key.select("key", copies.cast("long").alias("copies"), "rows")
+    joined = keyed.filter(may_be_among(verdicts.filter("copies != 1 or rows != 1"), "key")).select("doc_id").collect()
+    assert {7, 8, 9} <= {r.doc_id for r in joined} and len(joined) < 10
+    want = Counter(rows) - Counter([rows[8]]) + Counter([rows[9]] * 2)
+    assert Counter(map(tuple, corpus_pipeline._rows_of(keyed, verdicts).collect())) == want
