@@ -16,7 +16,7 @@ from wellspring.llm.jaccard_join import JaccardJoin
 from wellspring.llm.pii import redact_personal_data
 from wellspring.llm.quality_rules import quality_rules
 from wellspring.llm.source_mix import mix_sources
-from wellspring.llm.store import may_be_among, passing, staged
+from wellspring.llm.store import marked, passing, staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -36,11 +36,11 @@ def _rows_of(keyed: DataFrame, verdicts: DataFrame) -> DataFrame:
 
     Only rows whose key may have another verdict than one copy of one row are joined; the other texts are not moved.
     """
-    other = may_be_among(verdicts.filter("copies != 1 or rows != 1"), "key")
-    met = keyed.filter(other).join(verdicts.filter("copies > 0"), "key")
+    keyed = marked(keyed, "key", verdicts.filter("copies != 1 or rows != 1"))
+    met = keyed.filter("met").join(verdicts.filter("copies > 0"), "key")
     found = met.filter("rows = 1").union(met.filter("rows > 1").dropDuplicates(["key"]))
     found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*COLUMNS)
-    return keyed.filter(~other).select(*COLUMNS).union(found)
+    return keyed.filter("not met").select(*COLUMNS).union(found)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +54,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     with passing(spark):
         verdicts = quality_rules(rows.select(F.col("key").alias("doc_id"), "text", "lang"))
         verdicts = staged(verdicts.select(F.col("doc_id").alias("key"), F.coalesce("kept", F.lit(False)).alias("kept")).distinct(), "kept", lasting=True)
-    other = may_be_among(verdicts.filter("not kept"), "key")  # texts of all other rows are not moved
-    met = rows.filter(other).join(verdicts.filter("kept"), "key", "semi")
-    return rows.filter(~other).select(*COLUMNS).union(met.select(*COLUMNS))
+    rows = marked(rows, "key", verdicts.filter("not kept"))  # texts of all other rows are not moved
+    met = rows.filter("met").join(verdicts.filter("kept"), "key", "semi")
+    return rows.filter("not met").select(*COLUMNS).union(met.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wellspring.llm import pii, quality_rules
-from wellspring.llm.store import may_be_among
+from wellspring.llm.store import marked
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -219,7 +219,7 @@ def test_rows_taken_once_are_not_joined(spark):
     of_key = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("id"))
     copies = F.when(F.col("id") == 7, 2).when(F.col("id") == 8, 0).when(F.col("id") == 9, 3).otherwise(F.col("rows"))
     verdicts = of_key.select("key", copies.cast("long").alias("copies"), "rows")
-    joined = keyed.filter(may_be_among(verdicts.filter("copies != 1 or rows != 1"), "key")).select("doc_id").collect()
+    joined = marked(keyed, "key", verdicts.filter("copies != 1 or rows != 1")).filter("met").select("doc_id").collect()
     assert {7, 8, 9} <= {r.doc_id for r in joined} and len(joined) < 10
     want = Counter(rows) - Counter([rows[8]]) + Counter([rows[9]] * 2)
     assert Counter(map(tuple, corpus_pipeline._rows_of(keyed, verdicts).collect())) == want
