@@ -23,6 +23,7 @@ from wellspring.llm.store import staged
 
 SLICES = 2
 BLOCK, QUERY_BLOCK = 2048, 512  # vectors of a block, in the mean
+QUERY_ROWS = 128  # of a block, compared at once
 SCALE = 256
 
 
@@ -68,6 +69,8 @@ def _query_pass(scale: int, every: int):
 
 
 def _matrix(vectors: list[bytes], width: int) -> np.ndarray:
+    if all(len(v) == 8 * width for v in vectors):
+        return np.frombuffer(b"".join(vectors), np.int64).reshape(len(vectors), width)
     out = np.zeros((len(vectors), width), np.int64)
     for row, v in zip(out, vectors, strict=True):
         v = np.frombuffer(v, np.int64)
@@ -87,57 +90,58 @@ def _slices(width: int) -> list[slice]:
     return [slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
+def _parts(row: dict, width: int):
+    """A pair of blocks as (queries, their places, vectors' ids, scores of each list), some queries at a time."""
+    v, cs = _matrix(row["vec"], width), np.array(row["c"])
+    for at in range(0, len(row["q"]), QUERY_ROWS):
+        here = slice(at, at + QUERY_ROWS)
+        q = _matrix(row["q_vec"][here], width)
+        yield np.array(row["q"][here]), here, cs, [_product(q[:, s], v[:, s]) for s in _slices(width)]
+
+
 def _local_lists(width: int, k: int):
-    """Phase 1: (q, c, total, slice, low): best entries of each list in the block, with exact totals, and the list's least score."""
+    """Phase 1: (q, c, total, low0, ...): of the best entries of all lists in the block those with the k best exact totals, and each list's least score."""
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                q, v = _matrix(row["q_vec"], width), _matrix(row["vec"], width)
-                ids, cs = np.array(row["q"]), np.array(row["c"])
-                by_slice = [_product(q[:, s], v[:, s]) for s in _slices(width)]
-                total = sum(by_slice)
-                for number, scores in enumerate(by_slice):
-                    best = np.argpartition(-scores, min(k, len(cs)) - 1, axis=1)[:, : min(k, len(cs))]
-                    n = best.shape[1]
+                for ids, _, cs, lists in _parts(row, width):
+                    n = min(k, len(cs))
+                    heads = np.hstack([np.argpartition(-scores, n - 1, axis=1)[:, :n] for scores in lists])
+                    heads.sort(axis=1)
+                    totals = np.take_along_axis(sum(lists), heads, 1)
+                    totals[:, 1:][heads[:, 1:] == heads[:, :-1]] = np.iinfo(np.int64).min  # an entry of several lists counts once
+                    best = np.argpartition(-totals, n - 1, axis=1)[:, :n]
                     yield pa.record_batch(
                         [
                             pa.array(np.repeat(ids, n)),
-                            pa.array(cs[best].ravel()),
-                            pa.array(np.take_along_axis(total, best, 1).ravel()),
-                            pa.array(np.full(best.size, number, np.int32)),
-                            pa.array(np.repeat(scores.min(axis=1), n)),
+                            pa.array(cs[np.take_along_axis(heads, best, 1)].ravel()),
+                            pa.array(np.take_along_axis(totals, best, 1).ravel()),
+                            *[pa.array(np.repeat(scores.min(axis=1), n)) for scores in lists],
                         ],
-                        ["q", "c", "total", "slice", "low"],
+                        ["q", "c", "total", *[f"low{s}" for s in range(SLICES)]],
                     )
 
     return run
 
 
 def _entries(width: int):
-    """Phase 2: (q, c, slice, score): all entries of a list that reach the query's cutoff there."""
+    """Phases 2 and 3: (q, c, score): entries that reach the query's cutoff in a list, and by what their unseen lists may add its bound, resolved; those at the bound at least."""
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                q, v = _matrix(row["q_vec"], width), _matrix(row["vec"], width)
-                ids, cs, cutoffs = np.array(row["q"]), np.array(row["c"]), np.array(row["cutoffs"])
-                for number, s in enumerate(_slices(width)):
-                    scores = _product(q[:, s], v[:, s])
-                    at = np.nonzero(scores >= cutoffs[:, number][:, None])
-                    yield pa.record_batch(
-                        [pa.array(ids[at[0]]), pa.array(cs[at[1]]), pa.array(np.full(len(at[0]), number, np.int32)), pa.array(scores[at])],
-                        ["q", "c", "slice", "score"],
-                    )
-
-    return run
-
-
-def _resolve(width: int):
-    def run(batches):
-        for batch in batches:
-            q, v = _matrix(batch.column(2).to_pylist(), width), _matrix(batch.column(3).to_pylist(), width)
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array((q * v).sum(axis=1))], ["q", "c", "score"])
+                cutoffs, bounds = np.array(row["cutoffs"]), np.array(row["bounds"])
+                for ids, here, cs, lists in _parts(row, width):
+                    reached = [scores >= cutoffs[here, number][:, None] for number, scores in enumerate(lists)]
+                    at = np.nonzero(np.logical_or.reduce(reached))
+                    # an unseen list adds less than its cutoff
+                    most = sum(np.where(seen[at], scores[at], cutoffs[here, number][at[0]]) for number, (scores, seen) in enumerate(zip(lists, reached, strict=True)))
+                    open_ = most >= bounds[here][at[0]]
+                    at = (at[0][open_], at[1][open_])
+                    total = sum(scores[at] for scores in lists)
+                    kept = total >= bounds[here][at[0]]
+                    yield pa.record_batch([pa.array(ids[at[0][kept]]), pa.array(cs[at[1][kept]]), pa.array(total[kept])], ["q", "c", "score"])
 
     return run
 
@@ -164,14 +168,15 @@ def topk_search(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = SC
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("embedding"))
     keep = k + 1  # a query's own row is among its class
     ids = rows.mapInArrow(_quantize_pass(scale, keep), "vec binary, vec_id long")
-    place = F.row_number().over(Window.partitionBy("vec").orderBy("vec_id"))
-    ids = staged(ids.withColumn("place", place).filter(F.col("place") <= keep), "ids")
-    classes = ids.groupBy("vec").agg(F.min("vec_id").alias("first_id"))
-    # named by id and vector, since an id may come with several vectors
-    classes = staged(classes.select(F.xxhash64("first_id", "vec").alias("c"), "first_id", "vec"), "classes")
+    by_id = Window.partitionBy("vec").orderBy("vec_id")
+    ids = ids.withColumns({"place": F.row_number().over(by_id), "first_id": F.first("vec_id").over(by_id)}).filter(F.col("place") <= keep)
+    # a class is named by id and vector, since an id may come with several vectors
+    ids = staged(ids.withColumn("c", F.xxhash64("first_id", "vec")), "ids")
+    classes = ids.filter("place = 1").select("c", "first_id", "vec")
     width = (classes.agg(F.max(F.length("vec"))).first()[0] or 0) // 8
     asked = rows.mapInArrow(_query_pass(scale, every), "vec binary, query_id long").distinct()
-    asked = staged(asked.join(classes, "vec").select("query_id", F.col("c").alias("q")), "queries")
+    # vectors are small in files and shuffles and large in a broadcast
+    asked = staged(asked.join(classes.hint("merge"), "vec").select("query_id", F.col("c").alias("q")), "queries")
     q_vectors = classes.join(asked.select(F.col("q").alias("c")).distinct(), "c", "semi").select("c", "vec")
 
     all_blocks, n_blocks = _blocks(classes.select("c", "vec"), BLOCK, "block")
@@ -180,37 +185,25 @@ def topk_search(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = SC
     q_blocks = staged(q_blocks.select("q_block", F.col("c").alias("q"), F.col("vec").alias("q_vec")), "blocks")
     to_all = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))).alias("block")
 
-    lists = q_blocks.select("q", "q_vec", to_all).join(all_blocks, "block").select("q", "q_vec", "c", "vec")
-    lists = staged(lists.mapInArrow(_local_lists(width, keep), "q long, c long, total long, slice int, low long"), "lists")
-    lows = lists.groupBy("q").agg(*[F.min(F.when(F.col("slice") == s, F.col("low"))).alias(f"low{s}") for s in range(SLICES)])
-    best = lists.groupBy("q", "c").agg(F.max("total").alias("total"))
-    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("total"), "c"))).filter(F.col("rank") <= keep)
+    # shuffled by block: a broadcast of the repeated queries would grow with queries times blocks
+    lists = q_blocks.select("q", "q_vec", to_all).join(all_blocks.hint("merge"), "block").select("q", "q_vec", "c", "vec")
+    low_columns = [f"low{s}" for s in range(SLICES)]
+    lists = staged(lists.mapInArrow(_local_lists(width, keep), "q long, c long, total long, " + ", ".join(f"{c} long" for c in low_columns)), "lists")
+    lows = lists.groupBy("q").agg(*[F.min(c).alias(c) for c in low_columns])
+    best = lists.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("total"), "c"))).filter(F.col("rank") <= keep)
     bound = best.groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.min("total").alias("bound"))
-    low_sum = sum((F.col(f"low{s}") for s in range(SLICES)), F.lit(0))
+    low_sum = sum((F.col(c) for c in low_columns), F.lit(0))
     share = F.floor((F.col("bound") - low_sum) / SLICES)
     # fewer than k + 1 candidates so far: no bound, everything is reported
-    cutoffs = lows.join(bound, "q").select(
-        "q", "bound", *[F.when(F.col("n") >= keep, F.col(f"low{s}") + share).otherwise(F.col(f"low{s}")).alias(f"cut{s}") for s in range(SLICES)]
-    )
+    cutoffs = lows.join(bound, "q").select("q", "bound", F.array(*[F.when(F.col("n") >= keep, F.col(c) + share).otherwise(F.col(c)) for c in low_columns]).alias("cutoffs"))
     cutoffs = staged(cutoffs, "cutoffs")
     with_cuts = q_blocks.select("q_block", F.explode(F.arrays_zip("q", "q_vec")).alias("one")).select("q_block", "one.q", "one.q_vec")
-    with_cuts = with_cuts.join(cutoffs, "q").groupBy("q_block").agg(
-        F.collect_list(F.struct("q", "q_vec", F.array(*[f"cut{s}" for s in range(SLICES)]).alias("cutoffs"))).alias("all")
-    )
-    with_cuts = with_cuts.select(F.col("all.q").alias("q"), F.col("all.q_vec").alias("q_vec"), F.col("all.cutoffs").alias("cutoffs"), to_all)
-    entries = with_cuts.join(all_blocks, "block").select("q", "q_vec", "cutoffs", "c", "vec")
-    entries = entries.mapInArrow(_entries(width), "q long, c long, slice int, score long")
-    seen = entries.groupBy("q", "c").agg(F.sum("score").alias("known"), F.count(F.lit(1)).alias("seen"), *[F.max(F.when(F.col("slice") == s, 1)).alias(f"has{s}") for s in range(SLICES)])
-    most = F.col("known") + sum((F.when(F.col(f"has{s}").isNull(), F.col(f"cut{s}")).otherwise(0) for s in range(SLICES)), F.lit(0))
-    seen = staged(seen.join(cutoffs, "q").filter(most >= F.col("bound")).select("q", "c", "known", "seen"), "entries")
-    exact = seen.filter(F.col("seen") == SLICES).select("q", "c", F.col("known").alias("score"))
-    part = seen.filter(F.col("seen") < SLICES).select("q", "c")
-    part = part.join(classes.select(F.col("c").alias("q"), F.col("vec").alias("q_vec")), "q").join(classes.select("c", "vec"), "c")
-    resolved = part.select("q", "c", "q_vec", "vec").mapInArrow(_resolve(width), "q long, c long, score long")
-    scores = exact.union(resolved).join(classes.select("c", "first_id"), "c")
+    with_cuts = with_cuts.join(cutoffs, "q").groupBy("q_block").agg(F.collect_list(F.struct("q", "q_vec", "cutoffs", "bound")).alias("all"))
+    with_cuts = with_cuts.select(*[F.col(f"all.{c}").alias(n) for c, n in (("q", "q"), ("q_vec", "q_vec"), ("cutoffs", "cutoffs"), ("bound", "bounds"))], to_all)
+    entries = with_cuts.join(all_blocks.hint("merge"), "block").select("q", "q_vec", "cutoffs", "bounds", "c", "vec")
+    scores = staged(entries.mapInArrow(_entries(width), "q long, c long, score long"), "entries").join(classes.select("c", "first_id"), "c")
     top = scores.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "first_id"))).filter(F.col("rank") <= keep)
-    own = ids.join(classes, "vec").select("c", "vec_id")
-    members = top.select("q", "c", "score").join(own, "c")
+    members = top.select("q", "c", "score").join(ids.select("c", "vec_id"), "c")
     members = members.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "vec_id"))).filter(F.col("rank") <= keep)
     again = F.row_number().over(Window.partitionBy("q", "c", "vec_id").orderBy("rank"))
     members = members.withColumn("again", again)
