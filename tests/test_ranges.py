@@ -5,8 +5,10 @@ import re
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from wellspring.functions.patterns import bytes_as_text, extract_all, extract_patterns, marker_positions
+from wellspring.registry import damage
 from wellspring.sources import files, ranges, repair
 
 
@@ -149,3 +151,31 @@ def test_all_matches_and_marker_places(spark):
     assert got == sorted(want)
     with pytest.raises(ValueError):
         extract_all(df, "t", ["a*"])
+
+
+def test_files_are_found_in_tasks_as_spark_lists_them(spark, tmp_path):
+    names = [
+        "a.txt", "b.bin", ".hidden.txt", "_tmp.txt", "_metadata.txt", "_k=1.txt", "é ü+%20.txt", "in/c.txt", "in/deep/er/d.txt", "in/_no/e.txt", "in/.no/f.txt",
+        "k=1/g.txt", "h.txt._COPYING_", "empty.txt", "_metadata/k.txt", "_metadata/_metadata", "two/i.csv", "two/j.tx",
+    ]
+    for i, name in enumerate(names):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"x" * (0 if name == "empty.txt" else i + 1))
+    (tmp_path / "none").mkdir()
+    places = [str(tmp_path), f"{tmp_path}/", f"file:{tmp_path}", f"file://{tmp_path}", f"{tmp_path}/{{in,two}}", f"{tmp_path}/a.txt", f"{tmp_path}/none"]
+    for place in places:
+        for glob in ("*", "*.{txt,csv}", "[^a]*.t?t") if place == str(tmp_path) else ("*.t*",):
+            want = sorted(tuple(r) for r in files.list_sources(spark, place, glob).select("path", "length").collect())
+            assert sorted(tuple(r) for r in files.find_files(spark, place, glob).collect()) == want, (place, glob)
+    with pytest.raises(AnalysisException):
+        files.find_files(spark, str(tmp_path / "missing"))
+
+
+def test_many_small_files_are_not_listed_by_the_driver(spark, tmp_path):
+    """The driver's file index holds every file, and plans a task for every 32 of them."""
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("name"), F.lit(b"u@v").alias("content"))
+    damage.write_files(rows, str(tmp_path / "raw")).write.format("noop").mode("overwrite").save()
+    assert 200 < len(list((tmp_path / "raw").iterdir())) <= 256
+    for found in (ranges.scan_files(spark, str(tmp_path / "raw"), "*", PATTERNS, 100), ranges.triage_files(spark, str(tmp_path / "raw"), "*", 100)):
+        assert found.count() == 3000
+        assert "FileScan" not in found._jdf.queryExecution().executedPlan().toString()

@@ -19,6 +19,7 @@ from wellspring.sources.traces import open_filesystem
 
 
 CHUNK = 1 << 20  # a multiple of a line of hex text
+FOLDERS = 256  # that many files are spread over, so that no one lists them all
 
 Chunks = Iterator[bytes]
 
@@ -102,14 +103,18 @@ def damage_traces(spark: SparkSession, path: str, output: str) -> DataFrame:
 
 
 def write_files(rows: DataFrame, output: str) -> DataFrame:
-    """Every row of ``rows`` (name, content) as a file of its own. Run the result once to write."""
+    """Every row of ``rows`` (name, content) as a file of its own, in a folder that follows from its name. Run the result once to write."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, folder = open_filesystem(output)
-        out.create_dir(folder, recursive=True)
+        made = set()
         for batch in batches:
             for name, content in zip(batch["name"], batch["content"], strict=True):
-                with out.open_output_stream(f"{folder}/{name}") as handle:
+                part = f"{folder}/{zlib.crc32(str(name).encode()) % FOLDERS:03d}"
+                if part not in made:
+                    out.create_dir(part, recursive=True)
+                    made.add(part)
+                with out.open_output_stream(f"{part}/{name}") as handle:
                     handle.write(content)
             yield batch[["name"]]
 

@@ -4,7 +4,7 @@ A file is cut into ranges and these are dealt to the tasks; nothing holds a
 whole file. A range reads a little further than its end, so that a marker or a
 match that begins in it is complete, and reports what begins in it only. The
 facts of a file's ranges are then folded to one row. Files come as a listing
-(path, length), for instance from Spark's file index.
+(path, length), for instance from ``find_files``, which lists them in the tasks.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wellspring.functions.patterns import DEFAULT_PATTERNS, bytes_as_text, extract_all
-from wellspring.sources.files import list_sources
+from wellspring.sources.files import find_files
 from wellspring.sources.traces import open_filesystem
 
 # The Parquet marker, its hex text, the first characters of hex text, and the share that makes a text hex.
@@ -292,10 +292,10 @@ def first_matches(
 
 
 def triage_files(spark: SparkSession, path: str, glob: str = "*.parquet", range_bytes: int = RANGE_BYTES) -> DataFrame:
-    return triage_ranges(list_sources(spark, path, glob), range_bytes)
+    return triage_ranges(find_files(spark, path, glob), range_bytes)
 
 
 def scan_files(
     spark: SparkSession, path: str, glob: str = "*", patterns: Sequence[str] = DEFAULT_PATTERNS, range_bytes: int = RANGE_BYTES
 ) -> DataFrame:
-    return scan_ranges(list_sources(spark, path, glob), patterns, range_bytes)
+    return scan_ranges(find_files(spark, path, glob), patterns, range_bytes)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellspring.functions.patterns import DEFAULT_PATTERNS, bytes_as_text, hex_share
-from wellspring.sources.files import list_sources, read_bytes
+from wellspring.sources.files import find_files, read_bytes
 from wellspring.sources.ranges import LONGEST_MATCH, RANGE_BYTES, first_matches
 from wellspring.sources.traces import list_files, open_filesystem
 
@@ -331,4 +331,4 @@ def scan_files_for_patterns(
     longest: int = LONGEST_MATCH,
 ) -> DataFrame:
     """Pattern matches in raw files: source_file, pattern_no, match, byte offset. Files are read in ranges."""
-    return first_matches(list_sources(spark, path, glob), patterns, range_bytes, longest)
+    return first_matches(find_files(spark, path, glob), patterns, range_bytes, longest)
