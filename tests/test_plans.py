@@ -127,3 +127,42 @@ def test_the_suite_scans_every_table_once(spark, tmp_path):
     scans = [line for line in text.splitlines() if "FileScan parquet" in line]
     assert len(scans) == len(stored)
     assert "Join" not in text
+
+
+def test_link_and_measurements_are_shuffled_before_they_are_hashed(spark):
+    """Three shuffles, of plain columns: the links' dedup, and both tables by key for the join or for their buckets."""
+    from wellspring.registry.load_queries import _bucketed
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = registry.QUERIES["link_sat"](spark, SF)
+        text = plan(joined, "simple")
+        assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning(") == 3
+        moved = re.findall(r"\n\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", plan(joined))
+        assert len(moved) == 3 and "hash" not in " ".join(moved)
+        assert sorted(joined.collect(), key=str) == sorted(_plain_link_sat(spark).collect(), key=str)
+        assert all(f.endswith(".zstd.parquet") for t in _bucketed(spark, SF, 4).values() for f in t.inputFiles())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def _plain_link_sat(spark):
+    from wellspring.operators import vault
+
+    v = Vault(spark, SF)
+    return vault.link_with_measurements(v["link_seismic_reading"], v["sat_seismic_measurements"])
+
+
+def test_rows_placed_by_key_are_the_same(spark):
+    from wellspring.operators import vault
+
+    rows = [(w, s, n, t, i % 3, float(i), 1, src) for i, (w, s, n, t, src) in enumerate(
+        [(1, 1, 5, 1, "b"), (1, 1, 5, 1, "a"), (1, 1, 5, None, "a"), (1, 1, None, None, "c"), (None, None, None, None, "d"), (None, None, None, None, None)] * 3)]
+    schema = "well_id long, survey_type_id long, sensor_id long, t int, trace_num int, depth_ft double, quality_flag int, record_source string"
+    df = spark.createDataFrame(rows, schema).selectExpr("* except (t)", "timestamp_seconds(t) AS timestamp", "depth_ft AS amplitude")
+    for name in ("build_link", "build_measurement_satellite"):
+        build = getattr(vault, name)
+        want = sorted(build(df, None, b.LOADED_AT).collect(), key=str)
+        for place in (True, 3):
+            assert sorted(build(df, None, b.LOADED_AT, place=place).collect(), key=str) == want and len(want) >= 5

@@ -22,6 +22,7 @@ class Vault:
 
     spark: SparkSession
     sf: str
+    place: bool = False  # readings and links by their key, for a join of all of them
 
     @cached_property
     def tables(self) -> dict[str, DataFrame]:
@@ -31,6 +32,7 @@ class Vault:
             b.part_sensors(self.spark, self.sf),
             b.line_readings(self.spark, self.sf),
             b.LOADED_AT,
+            place=self.place,
         )
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -193,7 +195,7 @@ def hub_sat(spark, sf):
     ),
 )
 def link_sat(spark, sf):
-    v = Vault(spark, sf)
+    v = Vault(spark, sf, place=True)
     return vault.link_with_measurements(v[LINK], v[MEASURES])
 
 
