@@ -290,7 +290,8 @@ def _bucketed(spark: SparkSession, sf: str, buckets: int | None = None) -> dict[
     buckets = buckets or b.parts_of(spark, sf, "lineitem", 8)
     prefix, path = f"t{uuid.uuid4().hex[:12]}_", scratch_path(spark, "buckets")
     tables = vault.build_vault(
-        b.supplier_wells(spark, sf), b.survey_master(spark, sf), b.part_sensors(spark, sf), b.line_readings(spark, sf), b.LOADED_AT
+        b.supplier_wells(spark, sf), b.survey_master(spark, sf), b.part_sensors(spark, sf), b.line_readings(spark, sf), b.LOADED_AT,
+        place=buckets,
     )
     early = F.col("link_hash_key") < "8"
     buckets_of = {}
