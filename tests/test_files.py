@@ -373,3 +373,21 @@ def test_a_stored_row_with_another_hash_is_no_equal(spark, tmp_path):
     for name in ("one", "two", "two"):
         sinks.append_counted(rows, path, "part", derive=lambda df, name=name: {"hash": F.lit(name)}, columns=["a", "hash", "part"])
     assert sorted(r.hash for r in spark.read.parquet(path).collect()) == ["one", "two"]
+
+
+def test_links_of_a_batch_are_grouped_once(spark, tmp_path, monkeypatch):
+    """By the table's key alone; hash texts are left out where rows move to their partition."""
+    batch = _readings(spark, 0, 60).withColumn("record_source", F.lit("f"))
+    batch = batch.unionByName(batch.limit(20).withColumn("record_source", F.lit("e")))
+    path, moved, real = str(tmp_path / "l"), [], sinks.gathered
+    monkeypatch.setattr(sinks, "gathered", lambda df, *by: moved.append(df) or real(df, *by))
+    load_batch(batch.filter("well_id < 4"), path, str(tmp_path / "s"), "2025-01-01 00:00:00")
+    load_batch(batch, path, str(tmp_path / "s"), "2025-01-01 00:00:00")
+    links = [df for df in moved if "_more" not in df.columns]
+    assert len(links) == 2 and not any("link_hash_key" in df.columns for df in links)
+    text = links[0]._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(") == 1
+    stored = spark.read.parquet(path)
+    want = build_link(batch, None, "2025-01-01 00:00:00")
+    assert sorted(r.link_hash_key for r in stored.collect()) == sorted(r.link_hash_key for r in want.collect())
+    assert stored.exceptAll(stored.distinct()).isEmpty() and all(f.endswith(".zstd.parquet") for f in stored.inputFiles())
