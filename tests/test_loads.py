@@ -210,3 +210,31 @@ def test_buckets_follow_the_table(spark, tmp_path, monkeypatch):
     path = {f.rsplit("/", 1)[0] for f in stored["link_seismic_reading"].inputFiles()}
     buckets = {f.rsplit("_", 1)[1] for f in stored["link_seismic_reading"].inputFiles()}
     assert len(path) == 1 and len(buckets) == 11
+
+
+def test_trace_batches_meet_only_what_their_files_brought(spark, tmp_path, monkeypatch):
+    from wellspring.streaming import incremental
+
+    place, base, semis, held, real = str(tmp_path / "in"), str(tmp_path / "vault"), [], [], sinks.gathered
+
+    def gathered(df, *by):
+        if "_more" in df.columns:
+            semis.append([line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "LeftSemi" in line])
+        return real(df, *by)
+
+    def load_batch(rows, *args, **kinds):
+        held.append(rows.storageLevel.useMemory)
+        return load(rows, *args, **kinds)
+
+    load = incremental.load_batch
+    monkeypatch.setattr(sinks, "gathered", gathered)
+    monkeypatch.setattr(incremental, "load_batch", load_batch)
+    rows = [(1, 10.0, 1.5, 1)] * 2
+    for i, name in enumerate(["a", "b", "c"]):
+        sgx(f"{place}/{name}/{name}.sgx", 101, rows)
+        if i:
+            sgx(f"{place}/again{i}/a.sgx", 101, rows + rows[:i])
+        incremental_traces(spark, place, f"{base}/link", f"{base}/sat", f"{base}/ck", AT).awaitTermination()
+    got = Counter((r.record_source, r.trace_num) for r in spark.read.parquet(f"{base}/sat").collect())
+    assert got == {(f"{n}.sgx", t): 1 for n in "abc" for t in (1, 2)} | {("a.sgx", 3): 1, ("a.sgx", 4): 1}
+    assert held == [True] * 3 and [len(s) for s in semis] == [0, 1, 1] and all("record_source" in s[0] for s in semis[1:])
